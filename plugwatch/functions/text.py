@@ -23,6 +23,7 @@ DASHES = "\N{EN DASH}\N{EM DASH}\N{MINUS SIGN}"
 SEPARATORS = "\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}"
 LISTING_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 ALL_CONTROLS = r"[\x00-\x1F\x7F-\x9F]+"
+MAY_CHANGE = r"[^\x00-\x7F\xC0-\x{0131}]"
 CHUNK_BREAK = rf"(?<=[.!?;]){SPACE}+|{SPACE}*[•\-–—]{SPACE}+"
 
 
@@ -71,17 +72,22 @@ def clean_listing_text(c: Column) -> Column:
 
 @F.arrow_udf(T.StringType())
 def _nfkc(texts):
-    import pyarrow.compute as pc
+    import unicodedata
 
-    return pc.utf8_normalize(texts, form="NFKC")
+    import pyarrow as pa
+
+    # Arrow's own normalisation cuts long texts off, so Python's is used.
+    return pa.array([None if t is None else unicodedata.normalize("NFKC", t)
+                     for t in texts.to_pylist()], pa.string())
 
 
 def nfkc(c: Column) -> Column:
     """Unicode compatibility normalisation, which Spark has no function for.
 
-    Only values with non-ASCII characters leave the JVM; ASCII text is in this form already.
+    Only values with characters that it can change leave the JVM. ASCII and the common
+    accented Latin letters are in this form already.
     """
-    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    return F.coalesce(_nfkc(F.when(c.rlike(MAY_CHANGE), c)), c)
 
 
 def clean_encoding(c: Column) -> Column:

@@ -1,16 +1,20 @@
-"""Training and evaluation of the logistic model."""
+"""Training and evaluation of the logistic model.
+
+The model has few features, so it is fitted by Newton steps: one pass over the rows sums the
+gradient and the curvature, and the driver solves a system of a few equations. Spark's own
+estimator scales features to unit variance inside; with an unscaled penalty that makes scores
+of tiny variance, such as the danger score, so stiff that its line search fails.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plugwatch.session import stored
 from plugwatch.settings import MODEL_CLASSES, MODEL_FEATURES
 
 
@@ -23,20 +27,24 @@ def label_of(columns: Sequence[str]) -> Column:
 
 
 class TrainedModel:
-    """A fitted model with its features and its classes in alphabetical order."""
+    """Weights of a fitted model, with its classes in alphabetical order.
+
+    ``weights`` has one row per output: the second class of two, or every class of more. The
+    last value of a row is the intercept.
+    """
 
-    def __init__(self, model: LogisticRegressionModel, features: Sequence[str],
-                 classes: Sequence[str]):
-        self.model, self.features, self.classes = model, list(features), list(classes)
+    def __init__(self, features: Sequence[str], classes: Sequence[str], weights):
+        self.features, self.classes, self.weights = list(features), list(classes), weights
+
+    @property
+    def outputs(self) -> list[str]:
+        return self.classes[1:] if len(self.classes) == 2 else self.classes
 
     def coefficients(self) -> list[dict]:
-        """One row per positive class: the second class of two, or every class of more."""
-        matrix, offsets = self.model.coefficientMatrix.toArray(), self.model.interceptVector
-        names = self.classes[1:] if len(self.classes) == 2 else self.classes
+        """One row per output: its class, the weights and the intercept."""
         return [
-            {"class": n, **{f: float(w) for f, w in zip(self.features, row)},
-             "intercept": float(offsets[i])}
-            for i, (n, row) in enumerate(zip(names, matrix))
+            {"class": name, **dict(zip([*self.features, "intercept"], map(float, row)))}
+            for name, row in zip(self.outputs, self.weights)
         ]
 
     def coefficient_table(self, spark: SparkSession) -> DataFrame:
@@ -45,40 +53,96 @@ class TrainedModel:
             ", ".join(["class string", *[f"{f} double" for f in self.features],
                        "intercept double"]))
 
+    def with_probabilities(self, df: DataFrame) -> DataFrame:
+        """Add ``probability``, an array in the order of the outputs."""
+        logits = [
+            " + ".join([f"{row[-1]!r}D", *[f"CAST(`{f}` AS DOUBLE) * {w!r}D"
+                                           for f, w in zip(self.features, row)]])
+            for row in self.weights.tolist()
+        ]
+        if len(logits) == 1:
+            return df.withColumn("probability", F.expr(f"array(1 / (1 + exp(-({logits[0]}))))"))
+        # The largest logit is taken off, so that no exponential overflows.
+        raised = "transform(z, x -> exp(x - array_max(z)))"
+        return df.withColumn("probability", F.expr(
+            f"transform(array(array({', '.join(logits)})), z -> transform({raised},"
+            f" e -> e / aggregate({raised}, 0D, (total, x) -> total + x)))[0]"))
+
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``predicted_class`` and ``probability``, an array in the order of the classes."""
-        scored = self.model.transform(_assembled(df, self.features))
+        """Add ``probability``, per class, and ``predicted_class``, the most likely one."""
+        scored = self.with_probabilities(df)
+        if len(self.outputs) == 1:
+            scored = scored.withColumn(
+                "probability", F.array(1 - F.col("probability")[0], F.col("probability")[0]))
         names = F.array(*[F.lit(c) for c in self.classes])
-        return scored.withColumns({
-            "predicted_class": F.get(names, F.col("prediction").cast("int")),
-            "probability": vector_to_array("probability"),
-        }).drop("_features", "rawPrediction", "prediction")
-
-
-def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="_features").transform(
-        df.withColumns({f: F.col(f).cast("double") for f in features}))
+        best = F.array_position("probability", F.array_max("probability"))
+        return scored.withColumn(
+            "predicted_class", F.get(names, best.cast("int") - 1))
+
+
+def _sums(model: TrainedModel, rows: DataFrame, terms: Sequence[str]):
+    """Loss, gradient and curvature of the model over all rows, in one aggregation."""
+    import numpy as np
+
+    k, n = len(model.outputs), len(terms)
+    p = [f"probability[{i}]" for i in range(k)]
+    y = [f"CAST(true_class = '{c}' AS DOUBLE)" for c in model.outputs]
+    likelihood = (f"if(true_class = '{model.outputs[0]}', {p[0]}, 1 - {p[0]})" if k == 1 else
+                  " + ".join(f"{a} * {b}" for a, b in zip(p, y)))
+    cells = [(a, i, b, j) for a in range(k) for i in range(n) for b in range(k) for j in range(n)
+             if (a, i) <= (b, j)]
+    sums = [f"-sum(ln(greatest({likelihood}, 1e-300D)))"]
+    sums += [f"sum(({p[a]} - {y[a]}) * {terms[i]})" for a in range(k) for i in range(n)]
+    sums += [f"sum({p[a]} * ({int(a == b)} - {p[b]}) * {terms[i]} * {terms[j]})"
+             for a, i, b, j in cells]
+    found = model.with_probabilities(rows).selectExpr(
+        *[f"{s} AS s{i}" for i, s in enumerate(sums)]).first()
+    curvature = np.zeros((k * n, k * n))
+    for (a, i, b, j), value in zip(cells, found[1 + k * n:]):
+        curvature[a * n + i, b * n + j] = curvature[b * n + j, a * n + i] = value
+    return found[0], np.array(found[1:1 + k * n]), curvature
 
 
 def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
-          classes: Sequence[str] = MODEL_CLASSES, intercept: bool = False) -> TrainedModel:
+          classes: Sequence[str] = MODEL_CLASSES, intercept: bool = False,
+          max_steps: int = 100, tolerance: float = 1e-8) -> TrainedModel:
     """Fit a logistic model with an L2 penalty of weight 1 on the sum of the losses.
 
-    Spark minimises the mean loss, hence the penalty of 1/n.
+    The intercept is not penalised. The rows are stored first, as each step reads them.
     """
-    labelled = rows.withColumn("true_class", label_of(classes))
-    present = sorted(r[0] for r in labelled.select("true_class").distinct().collect())
+    import numpy as np
+
+    data = stored(rows.select(*[F.col(f).cast("double").alias(f) for f in features],
+                              label_of(classes).alias("true_class")))
+    present = sorted(r[0] for r in data.select("true_class").distinct().collect())
     if len(present) < 2:
         raise ValueError(f"training needs rows of at least two classes, found {present}")
-    index = F.array_position(F.array(*[F.lit(c) for c in present]), F.col("true_class")) - 1
-    data = _assembled(labelled, features).select(
-        "_features", index.cast("double").alias("_label"))
-    fitted = LogisticRegression(
-        featuresCol="_features", labelCol="_label", maxIter=1000, tol=1e-10,
-        regParam=1.0 / data.count(), elasticNetParam=0.0, standardization=False,
-        fitIntercept=intercept,
-    ).fit(data)
-    return TrainedModel(fitted, features, present)
+    model = TrainedModel(features, present, None)
+    k, width = len(model.outputs), len(features) + 1
+    terms = [f"`{f}`" for f in features] + (["1D"] if intercept else [])
+    penalty = np.tile([1.0] * len(features) + ([0.0] if intercept else []), k)
+
+    def at(values) -> TrainedModel:
+        weights = np.zeros((k, width))
+        weights[:, :len(terms)] = values.reshape(k, len(terms))
+        return TrainedModel(features, present, weights)
+
+    beta, step, last_loss = np.zeros(k * len(terms)), np.zeros(k * len(terms)), np.inf
+    for _ in range(max_steps):
+        loss, gradient, curvature = _sums(at(beta), data, terms)
+        loss += 0.5 * float(penalty @ beta**2)
+        if loss > last_loss + 1e-9 * abs(last_loss):  # too far: go back half the step
+            step = step / 2
+            beta = beta - step
+            continue
+        last_loss = loss
+        # Least squares, as equal shifts of all intercepts change nothing with many classes.
+        step = -np.linalg.lstsq(
+            curvature + np.diag(penalty), gradient + penalty * beta, rcond=None)[0]
+        beta = beta + step
+        if np.abs(step).max() < tolerance:
+            break
+    return at(beta)
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
