@@ -845,10 +845,9 @@ _BOX_OUT = {"left": "left_", "top": "top_", "width": "width_", "height": "height
 def _annotation_tables(spark, sf_dir):
     listed = v.derived(v.table(spark, sf_dir, "lineitem"), _IMAGES)
     # Equal positions are settled by the URLs, so that the last image is one and the same.
-    images = an.latest_images(listed, "pos_key") if "pos_key" in listed.columns else \
-        an.latest_images(listed.withColumn(
-            "_key", F.struct("pos", "absolute_url", "coco_url", "file_name")), "_key")
-    images = images.select("id", "width", "height", an.image_url().alias("url"))
+    place = F.struct("pos", "absolute_url", "coco_url", "file_name")
+    images = an.latest_images(listed.withColumn("place", place), "place").select(
+        "id", "width", "height", an.image_url().alias("url"))
     boxes = v.derived(v.table(spark, sf_dir, "orders"), _BOXES)
     corners = F.array("x", "y", "w", "h")
     boxes = boxes.select("image_id", "category_id", "pos",
@@ -865,10 +864,10 @@ def _regions(spark, sf_dir):
 
 
 def _box(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*names, *[F.round(c, 6).alias(n) for c, n in _BOX_OUT.items()])
+    return df.select(*names, *[F.col(c).alias(n) for c, n in _BOX_OUT.items()])
 
 
-_BOX_SQL = ", ".join(f"round({n}, 6) AS {n}" for n in _BOX_OUT.values())
+_BOX_SQL = ", ".join(_BOX_OUT.values())
 
 
 @query(f"SELECT image_id, coalesce(url, '') AS url, tag_name, {_BOX_SQL} FROM regions",
