@@ -96,10 +96,8 @@ def upsert_sellers(target: DataFrame, df: DataFrame) -> tuple[DataFrame, DataFra
     source = first_sellers(df)
     known = source.join(target.select("SellerID", *keys), keys, "left")
     fresh = number_rows(known.where(F.col("SellerID").isNull()).drop("SellerID"), keys, "_no")
-    top = target.agg(F.coalesce(F.max("SellerID"), F.lit(0)).alias("_top"))  # one row
-    numbered = fresh.withColumn("_one", F.lit(1)).join(
-        F.broadcast(top.withColumn("_one", F.lit(1))), "_one"
-    ).withColumn("SellerID", (F.col("_top") + F.col("_no")).cast("int"))
+    top = target.select(F.coalesce(F.max("SellerID"), F.lit(0))).scalar()
+    numbered = fresh.withColumn("SellerID", (top + F.col("_no")).cast("int"))
     columns = ["SellerID", *keys, "URL"]
     merged = known.where(F.col("SellerID").isNotNull()).select(*columns).unionByName(
         numbered.select(*columns))

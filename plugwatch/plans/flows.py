@@ -35,7 +35,11 @@ def clean_products(
     clean_encoding: bool = False,
 ) -> DataFrame:
     """Standard products to scored and flagged products, without a shuffle except for the
-    curated pairs when they are too many to broadcast."""
+    curated pairs when they are too many to broadcast.
+
+    Store the result before filtering on its flags: Spark would push such a filter below the
+    text search and run the search twice.
+    """
     df = products.where(F.col("product_group").isin([r.product_group for r in rules]))
     if find_specs:
         df = expand_specs(df)

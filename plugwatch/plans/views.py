@@ -12,7 +12,7 @@ from plugwatch.functions.specs import expand_specs
 from plugwatch.operators.images import image_maxima_flat, product_image_flags
 from plugwatch.operators.reviews import danger, keyword_vectors, negativity, review_scores
 from plugwatch.plans.flows import clean_products, decisions, evidence
-from plugwatch.session import spread
+from plugwatch.session import spread, stored
 from plugwatch.settings import TAG_THRESHOLD, RecallLists
 
 PRODUCTS = {
@@ -142,7 +142,10 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evidence(cleaned(spark, sf_dir), image_flags(spark, sf_dir),
+    """Cleaned products with evidence. The cleaned products are stored first, as in a real
+    run: a filter on a flag would otherwise be pushed below the text search and repeat it."""
+    products = stored(cleaned(spark, sf_dir).drop("text"))
+    return evidence(products, image_flags(spark, sf_dir),
                     review_scores(scored_reviews(spark, sf_dir)))
 
 

@@ -43,11 +43,13 @@ ANNOTATION_DOCUMENT = (
     " annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>>>,"
     " categories array<struct<id:bigint,name:string>>"
 )
-IMAGE_ENTRY_DDL = (
-    "struct<url:string,name:string,regions:array<struct<tagId:string,tagName:string,"
-    "left:double,top:double,width:double,height:double>>>"
+# Entries of an image list: wrapped in one object, or the rows themselves.
+_REGIONS_DDL = ("array<struct<tagId:string,tagName:string,left:double,top:double,width:double,"
+                "height:double>>")
+IMAGE_ENTRIES = (
+    f"images array<struct<url:string,name:string,regions:{_REGIONS_DDL}>>,"
+    f" url string, name string, regions {_REGIONS_DDL}"
 )
-IMAGE_ENTRY_DOCUMENT = (f"images array<{IMAGE_ENTRY_DDL}>")
 
 # Tables of the relational store.
 SELLERS_TABLE = ("SellerID int not null, Name string not null,"

@@ -37,9 +37,9 @@ def _json_files(spark: SparkSession, root: str, kind: str, schema: str, multi_li
 
 
 def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the broken records for quarantine."""
+    """Good rows, and the rows of broken records for quarantine."""
     broken = F.col(CORRUPT).isNotNull()
-    return df.where(~broken).drop(CORRUPT), df.where(broken).select(CORRUPT)
+    return df.where(~broken).drop(CORRUPT), df.where(broken)
 
 
 def read_raw_products(spark: SparkSession, root: str, marketplace: str | None = None,
@@ -129,9 +129,7 @@ def read_image_entries(spark: SparkSession, path: str) -> DataFrame:
     Columns: ``url`` (or the name), ``image_no``, ``pos``, ``tag_id``, ``tag_name`` and the
     box. An entry without regions has one row with nulls; one without url and name drops out.
     """
-    item = schemas.IMAGE_ENTRY_DDL.removeprefix("struct<").removesuffix(">")
-    raw = spark.read.schema(f"images array<{schemas.IMAGE_ENTRY_DDL}>, {item}").json(
-        path, multiLine=True)
+    raw = spark.read.schema(schemas.IMAGE_ENTRIES).json(path, multiLine=True)
     bare = F.struct("url", "name", "regions")
     rows = raw.select(F.posexplode_outer(
         F.coalesce("images", F.array(bare))).alias("image_no", "_e"))
