@@ -24,7 +24,8 @@ SEPARATORS = "\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}"
 LISTING_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 ALL_CONTROLS = r"[\x00-\x1F\x7F-\x9F]+"
 MAY_CHANGE = r"[^\x00-\x7F\xC0-\x{0131}]"
-CHUNK_BREAK = rf"(?<=[.!?;]){SPACE}+|{SPACE}*[•\-–—]{SPACE}+"
+# Starts with the whitespace itself, so that the look-behind is tried only there.
+CHUNK_BREAK = rf"{SPACE}(?<=[.!?;]{SPACE}){SPACE}*|{SPACE}*[•\-–—]{SPACE}+"
 
 
 def strip(c: Column) -> Column:

@@ -13,13 +13,14 @@ from plugwatch.settings import GROUP_RULES, IP_MOISTURE_MIN, NO_RECALLS, GroupRu
 ADAPTER = "adapter"
 INDUSTRIAL = "industrial|commercial"
 WATERPROOF = (
-    r"(?iU)\bwater\s*proof(?:ed)?\b|\bwater\s*resistant\b|\bsplash\s*proof\b"
-    r"|\bsplash\s*resistant\b|\bsealed\s*(?:against)?\s*water\b"
-    r"|\bmoisture\s*(?:sealed|resistant)\b|\bweather\s*(?:proof|resistant)\b"
+    r"(?iU)\b(?:water\s*(?:proof(?:ed)?|resistant)|splash\s*(?:proof|resistant)"
+    r"|sealed\s*(?:against)?\s*water|moisture\s*(?:sealed|resistant)"
+    r"|weather\s*(?:proof|resistant))\b"
 )
 ACCESSORY = "filter|bag|backpacks|case"
 USB = "usb"
-IP_RATING = r"(?iU)\bIP([0-9X])([0-9])\b"
+# The look-ahead spares the test for a word boundary at most places.
+IP_RATING = r"(?iU)(?=IP)\bIP[0-9X][0-9]\b"
 
 
 def _mentions(text: Column, pattern: str, any_case: bool = False) -> Column:

@@ -6,15 +6,18 @@ no join, no shuffle, and the group filter reaches the scan.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugwatch.settings import GROUP_RULES, GroupRule
 
 
+def _is_one_of(column: str, values) -> str:
+    """SQL condition, false for null and for an empty list."""
+    quoted = ", ".join("'{}'".format(v.replace("\\", "\\\\").replace("'", "\\'")) for v in values)
+    return f"coalesce(`{column}` IN ({quoted}), false)" if quoted else "false"
+
+
 def known_groups(rules: tuple[GroupRule, ...] = GROUP_RULES,
                  group: str = "product_group") -> Column:
     """True for rows whose group has a rule; other rows leave the flow."""
@@ -24,18 +27,15 @@ def known_groups(rules: tuple[GroupRule, ...] = GROUP_RULES,
 def rule_flag(setting: str, rules: tuple[GroupRule, ...] = GROUP_RULES,
               group: str = "product_group") -> Column:
     """A boolean rule setting of the row's group."""
-    groups = [r.product_group for r in rules if getattr(r, setting)]
-    return F.coalesce(F.col(group).isin(groups), F.lit(False)) if groups else F.lit(False)
+    return F.expr(_is_one_of(group, [r.product_group for r in rules if getattr(r, setting)]))
 
 
 def in_irrelevant_category(rules: tuple[GroupRule, ...] = GROUP_RULES,
                            group: str = "product_group", category: str = "category") -> Column:
     """True where the category is on the irrelevant list of the row's group."""
-    hits = [
-        (F.col(group) == r.product_group) & F.col(category).isin(list(r.irrelevant_categories))
-        for r in rules if r.irrelevant_categories
-    ]
-    return F.coalesce(reduce(or_, hits), F.lit(False)) if hits else F.lit(False)
+    return F.expr(" OR ".join(
+        f"({_is_one_of(group, [r.product_group])}"
+        f" AND {_is_one_of(category, r.irrelevant_categories)})" for r in rules) or "false")
 
 
 def rule_table(spark: SparkSession, rules: tuple[GroupRule, ...] = GROUP_RULES) -> DataFrame:
