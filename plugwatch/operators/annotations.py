@@ -52,10 +52,11 @@ def regions(annotations: DataFrame, images: DataFrame, categories: DataFrame) ->
     or nameless category is called ``cat_<id>``.
 
     ``annotations``: image_id, category_id, pos, bbox; ``images``: id (unique), width,
-    height, url; ``categories``: id, name.
+    height, url; ``categories``: id, name and, if an id may repeat, pos: the last one counts.
     """
-    named = categories.select(F.col("id").alias("category_id"), "name").dropDuplicates(
-        ["category_id"])
+    place = "pos" if "pos" in categories.columns else "name"
+    named = categories.groupBy(F.col("id").alias("category_id")).agg(
+        F.max_by("name", place).alias("name"))
     sized = images.select(F.col("id").alias("image_id"), "url", F.col("width").alias("_w"),
                           F.col("height").alias("_h"))
     box = F.col("bbox")
@@ -78,23 +79,27 @@ def entries(images: DataFrame, flat: DataFrame, per_part: int = REGIONS_PER_PART
 
     ``pos`` is unique per document, so one part, the regions of one image within a range of
     ``per_part`` positions, holds at most ``per_part`` regions. Images without URL drop out.
+
+    Regions bring their URL along. Only the images without regions are joined, to the ids that
+    have some, so an image with very many regions makes no hot join key.
     """
     region = F.struct(
         "pos", F.col("tag_name").alias("tagName"), "left", "top", "width", "height")
     nested = (
-        flat.withColumn("part", F.expr(f"pos div {int(per_part)}"))
-        .groupBy("image_id", "part")
+        flat.where(F.col("url").isNotNull())
+        .groupBy("image_id", "url", F.expr(f"pos div {int(per_part)}").alias("part"))
         .agg(F.array_sort(F.collect_list(region)).alias("_regions"))
+        .select("url", "part",
+                F.transform("_regions", lambda r: r.dropFields("pos")).alias("regions"))
     )
-    plain = F.transform("_regions", lambda r: r.dropFields("pos"))
-    empty = F.array().cast("array<struct<tagName:string,left:double,top:double,"
-                           "width:double,height:double>>")
-    return (
+    bare = (
         images.where(F.col("url").isNotNull())
-        .join(nested, F.col("id") == F.col("image_id"), "left")
-        .select("url", F.coalesce("part", F.lit(0)).alias("part"),
-                F.coalesce(plain, empty).alias("regions"))
+        .join(flat.select(F.col("image_id").alias("id")).distinct(), "id", "left_anti")
+        .select("url", F.lit(0).cast("bigint").alias("part"),
+                F.array().cast("array<struct<tagName:string,left:double,top:double,"
+                               "width:double,height:double>>").alias("regions"))
     )
+    return nested.unionByName(bare)
 
 
 def conversion_counts(images: DataFrame, annotations: DataFrame,

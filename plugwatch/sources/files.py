@@ -123,13 +123,14 @@ def read_annotations(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
-def read_image_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Flat regions of an entries file, which is ``{"images": […]}`` or a bare list.
+def read_image_entries(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Flat regions of an entries file, which is ``{"images": […]}`` or a bare list; without
+    ``multi_line``, of the JSON lines of :func:`write_image_entries`.
 
     Columns: ``url`` (or the name), ``image_no``, ``pos``, ``tag_id``, ``tag_name`` and the
     box. An entry without regions has one row with nulls; one without url and name drops out.
     """
-    raw = spark.read.schema(schemas.IMAGE_ENTRIES).json(path, multiLine=True)
+    raw = spark.read.schema(schemas.IMAGE_ENTRIES).json(path, multiLine=multi_line)
     bare = F.struct("url", "name", "regions")
     rows = raw.select(F.posexplode_outer(
         F.coalesce("images", F.array(bare))).alias("image_no", "_e"))
