@@ -821,7 +821,8 @@ _ANNOTATION_CTES = {
     "listed": v.select_sql(_IMAGES, "lineitem"),
     "images": ("SELECT id, width, height, coalesce(nullif(absolute_url, ''), nullif(coco_url,"
                " ''), nullif(file_name, '')) AS url FROM (SELECT *, row_number() OVER (PARTITION"
-               " BY id ORDER BY pos DESC, absolute_url DESC, coco_url DESC, file_name DESC) AS n"
+               " BY id ORDER BY pos DESC, absolute_url DESC, coco_url DESC, file_name DESC, width"
+               " DESC) AS n"
                " FROM listed) WHERE n = 1"),
     "boxes": v.select_sql(_BOXES, "orders"),
     "categories": _NATION_TAGS,
@@ -844,8 +845,8 @@ _BOX_OUT = {"left": "left_", "top": "top_", "width": "width_", "height": "height
 
 def _annotation_tables(spark, sf_dir):
     listed = v.derived(v.table(spark, sf_dir, "lineitem"), _IMAGES)
-    # Equal positions are settled by the URLs, so that the last image is one and the same.
-    place = F.struct("pos", "absolute_url", "coco_url", "file_name")
+    # Equal positions are settled by the rest, so that the last image is one and the same.
+    place = F.struct("pos", "absolute_url", "coco_url", "file_name", "width")
     images = an.latest_images(listed.withColumn("place", place), "place").select(
         "id", "width", "height", an.image_url().alias("url"))
     boxes = v.derived(v.table(spark, sf_dir, "orders"), _BOXES)
