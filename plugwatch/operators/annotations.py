@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugwatch.functions.text import strip
+from plugwatch.operators.joins import join_unique
 
 REGIONS_PER_PART = 1000
 
@@ -61,10 +62,9 @@ def regions(annotations: DataFrame, images: DataFrame, categories: DataFrame) ->
                           F.col("height").alias("_h"))
     box = F.col("bbox")
     parts = [F.get(box, F.lit(i)) for i in range(4)]
+    placed = join_unique(annotations.where(F.size(box) == 4), sized, ["image_id"], "inner")
     return (
-        annotations.where(F.size(box) == 4)
-        .join(sized, "image_id")
-        .join(named, "category_id", "left")
+        join_unique(placed, named, ["category_id"])
         .select(
             "image_id", "url", "pos",
             F.coalesce("name", F.concat(F.lit("cat_"), F.col("category_id").cast("string")))
@@ -133,7 +133,7 @@ def tag_table(categories: DataFrame) -> DataFrame:
 def new_tags(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     """Stripped, non-blank tag names that do not exist yet, each once."""
     names = wanted.select(strip(F.col("name")).alias("name")).where("name != ''")
-    return names.join(existing.select("name"), "name", "left_anti").distinct()
+    return names.distinct().join(existing.select("name"), "name", "left_anti")
 
 
 def with_tag_ids(flat: DataFrame, tags: DataFrame) -> DataFrame:
@@ -155,8 +155,8 @@ def unknown_tags(flat: DataFrame, tags: DataFrame) -> DataFrame:
     wanted = flat.where(F.coalesce(F.col("tag_id").cast("string"), F.lit("")) == "") \
         if "tag_id" in flat.columns else flat
     names = wanted.where("tag_name != ''").select("tag_name")
-    return names.join(tags.select(F.col("name").alias("tag_name")), "tag_name",
-                      "left_anti").distinct()
+    return names.distinct().join(
+        tags.select(F.col("name").alias("tag_name")), "tag_name", "left_anti")
 
 
 def remap_tags(flat: DataFrame, image_tags: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plugwatch.operators.joins import join_unique
 from plugwatch.settings import MAX_IDS_PER_QUERY
 
 # --- Fixed values: patterns ------------------------------------------------------------
@@ -42,7 +43,7 @@ def attribute_queries(products: DataFrame, results: DataFrame) -> DataFrame:
     """
     found = results.where("product_id != ''").groupBy("product_id").agg(
         F.max_by("query", F.struct("query_no", "query")).alias("_found"))
-    out = products.join(found, "product_id", "left")
+    out = join_unique(products, found, ["product_id"])
     return out.withColumn("query", F.coalesce("_found", "query")).drop("_found") \
         .select(*products.columns)
 

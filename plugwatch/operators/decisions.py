@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plugwatch.operators.joins import join_unique
 from plugwatch.settings import (
     DROPPED_CLASSES, MODEL_CLASSES, MODEL_FEATURES, SOCKET_TAGS, TEXT_THRESHOLD,
 )
@@ -22,7 +23,7 @@ def merge_evidence(products: DataFrame, image_flags: DataFrame, reviews: DataFra
 
     A null marketplace matches a null one.
     """
-    by_image = products.join(image_flags, "product_id", "left")
+    by_image = join_unique(products, image_flags, ["product_id"])
     scores = reviews.withColumnsRenamed({"product_id": "_pid", "marketplace": "_market"})
     match = (by_image["product_id"] == scores["_pid"]) \
         & by_image["marketplace"].eqNullSafe(scores["_market"])
@@ -80,7 +81,7 @@ def match_spot_checks(products: DataFrame, spot_checks: DataFrame,
     matched = products.join(spot_checks, keys)
     unmatched = spot_checks.join(products.select(*keys).distinct(), keys, "left_anti")
     out = matched.unionByName(unmatched, allowMissingColumns=True)
-    return out if scores is None else out.join(scores, "product_id", "left")
+    return out if scores is None else join_unique(out, scores, ["product_id"])
 
 
 def training_rows(

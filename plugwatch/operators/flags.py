@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugwatch.functions.text import any_of, strip
+from plugwatch.operators.joins import join_unique
 from plugwatch.operators.rules import in_irrelevant_category, known_groups, rule_flag
 from plugwatch.settings import GROUP_RULES, IP_MOISTURE_MIN, NO_RECALLS, GroupRule, RecallLists
 
@@ -49,7 +50,7 @@ def listed(df: DataFrame, listing: DataFrame, keys: list[str], flag: str) -> Dat
     allows, and otherwise splits a hot key of ``df`` at run time.
     """
     marks = listing.select(*keys).dropna().distinct().withColumn(flag, F.lit(True))
-    return df.join(marks, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return join_unique(df, marks, keys).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def with_irrelevance(df: DataFrame, pairs: DataFrame | None = None,

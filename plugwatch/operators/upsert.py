@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugwatch.functions.text import strip
+from plugwatch.operators.joins import join_unique
 from plugwatch.operators.numbering import number_rows
 
 # --- Fixed values: column lengths of the relational tables ------------------------------
@@ -131,11 +132,11 @@ def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
     for column, (parent, parent_column) in constraints.references.items():
         parents = parent.select(F.col(parent_column).alias(column)).dropna().distinct() \
             .withColumn("_found", F.lit(True))
-        checked = checked.join(parents, column, "left").withColumn(
+        checked = join_unique(checked, parents, [column]).withColumn(
             "_orphan", F.col("_orphan")
             | (F.col(column).isNotNull() & F.col("_found").isNull())).drop("_found")
     taken = target.select(*pk).distinct().withColumn("_taken", F.lit(True))
-    checked = checked.join(taken, pk, "left").withColumn(
+    checked = join_unique(checked, taken, pk).withColumn(
         "_reason",
         F.when(F.col("_null"), "null").when(F.col("_orphan"), "reference")
         .when(F.col("_taken"), "key"))
@@ -143,6 +144,6 @@ def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
     first = checked.where(F.col("_reason").isNull()).groupBy(*pk).agg(
         F.min(F.struct(*order)).alias("_first"))
     late = F.col("_reason").isNull() & (F.struct(*order) != F.col("_first"))
-    return checked.join(first, pk, "left").withColumn(
+    return join_unique(checked, first, pk).withColumn(
         "reason", F.when(late, "key").otherwise(F.col("_reason"))
     ).select(*rows.columns, "reason")
