@@ -838,7 +838,7 @@ _ANNOTATION_CTES = {
         " width_, greatest(0, least(1, CASE WHEN pixels THEN coalesce(h / nullif(height, 0), 0)"
         " ELSE h END)) AS height_ FROM sized"),
     "tags": ("SELECT name, concat('t', id) AS id FROM categories WHERE name IS NOT NULL"
-             " AND id < 20"),
+             " AND name NOT LIKE '%3'"),
 }
 _BOX_OUT = {"left": "left_", "top": "top_", "width": "width_", "height": "height_"}
 
@@ -905,7 +905,7 @@ def tag_table(spark, sf_dir):
 
 
 def _tags(categories: DataFrame) -> DataFrame:
-    return categories.where("name IS NOT NULL AND id < 20").select(
+    return categories.where("name IS NOT NULL AND name NOT LIKE '%3'").select(
         "name", F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"))
 
 
