@@ -21,12 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugwatch.session import stored
-
 WINDOW, PART = 20, 8
 # Words that a task looks at before it passes its windows on; bounds its memory.
 BATCH_WORDS = 1_500_000
@@ -188,8 +187,9 @@ def _send(window: int, part: int, shards: int):
         blobs = list(_grouped(*_pack(*(x[~later] for x in all_of)), shards))
         runs = _as_runs(ident[later], row[later], start[later], window)
         none = [None] * len(blobs)
+        spread = (runs[1] % shards).tolist()  # settled spans go along in any shard
         return pa.RecordBatch.from_pydict({
-            "shard": pa.array([s for s, _ in blobs] + [-1] * len(runs[0]), pa.int32()),
+            "shard": pa.array([s for s, _ in blobs] + spread, pa.int32()),
             "cell": pa.array([c for _, c in blobs] + [None] * len(runs[0]), pa.binary()),
             **{k: pa.array(none + x.tolist(), t) for k, x, t in zip(RUN_NAMES, runs, RUN_TYPES)}})
 
@@ -224,6 +224,9 @@ def _settle(window: int):
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs, now = [], None
         for batch in batches:
+            sent = batch.column(1).is_valid()
+            yield batch.filter(pc.invert(sent)).select(RUN_NAMES)
+            batch = batch.filter(sent)
             for shard, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if blobs and shard != now:
                     yield ended(blobs)
@@ -260,13 +263,9 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, part: int = PART,
     """Spans of words to remove, for rows of (id long, row_id long, text): (id, row_id, spans).
     Earlier means a smaller id, then a smaller row_id, then an earlier start."""
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    sent = stored(rows.select("row_id", "id", "text").mapInArrow(
-        _send(window, part, 1 + chars // shard_chars), f"{SENT}, {RUNS}"))
-    settled = (
-        sent.filter("shard >= 0").select("shard", "cell")
-        .repartition("shard").sortWithinPartitions("shard").mapInArrow(_settle(window), RUNS)
-    )
-    runs = settled.union(sent.filter("shard < 0").select(*RUN_NAMES))
+    sent = rows.select("row_id", "id", "text").mapInArrow(
+        _send(window, part, 1 + chars // shard_chars), f"{SENT}, {RUNS}")
+    runs = sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(_settle(window), RUNS)
     # As a set, so that rows repeated without end don't fill it.
     return runs.groupBy("id", "row_id").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 
