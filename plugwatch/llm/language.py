@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plugwatch.llm.sampling import sample
+from plugwatch.llm.sampling import keyed_texts, sample
 
 LONGEST = 4
 # A run of letters is known by this many bits of a hash.
@@ -128,7 +128,10 @@ def train(df: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     c = lambda name: F.col(f"`{name}`")
     languages = df.agg(F.count_distinct(c(lang_col))).first()[0]
     slots = max(1, min(per_language, SAMPLE // max(1, languages)))
-    return fit(sample(df, c(lang_col), c(id_col).cast("string"), c(text_col), slots, SAMPLE_CHARS))
+    texts = keyed_texts(df.select(id_col, text_col), c(id_col), c(text_col), SAMPLE_CHARS)
+    labels = df.filter(F.length(c(text_col)) <= SAMPLE_CHARS).select(
+        F.xxhash64(c(id_col).cast("string")).alias("h"), c(lang_col).alias("label"))
+    return fit(sample(labels, texts, slots))
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugwatch.llm.sampling import sample
+from plugwatch.llm.sampling import keyed_texts, sample
 
 FEATURE_BITS = 18
 STARTS, ENDS = (3, 4, 5, 6), (3, 4)
@@ -278,11 +278,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     c = lambda name: F.col(f"`{name}`")
     known = labels.select(c(label_id).alias("label_id"), c(label_col).cast("int").alias("t")).filter(
         "t is not null").groupBy("label_id").agg(F.max("t").alias("t"))
-    rows = docs.select(c(id_col).alias("id"), c(text_col).alias("text"))
-    joined = rows.join(known, F.col("id") == F.col("label_id"))
-    got = sample(joined, F.when(F.col("t") > 0, "1").otherwise("0"), F.col("id").cast("string"),
-                 F.col("text"), per_label, SAMPLE_CHARS)
-    return fit([(t == "1", text) for t, text in got])
+    # Labels meet identities only; texts are read for the winners alone.
+    ids = docs.filter(F.length(c(text_col)) <= SAMPLE_CHARS).select(c(id_col).alias("id"))
+    labelled = known.join(ids, F.col("id") == F.col("label_id")).select(
+        F.xxhash64(F.col("id").cast("string")).alias("h"), (F.col("t") > 0).cast("int").alias("label"))
+    texts = keyed_texts(docs, c(id_col), c(text_col), SAMPLE_CHARS)
+    return fit([(t == "1", text) for t, text in sample(labelled, texts, per_label)])
 
 
 SPANS = "array<struct<start:int,end:int,p:double>>"

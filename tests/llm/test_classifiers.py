@@ -11,7 +11,7 @@ from plugwatch.llm import decontaminate as de
 from plugwatch.llm import language as la
 from plugwatch.llm import queries
 from plugwatch.llm import toxicity as tx
-from plugwatch.llm.sampling import sample
+from plugwatch.llm.sampling import keyed_texts, sample
 
 
 def plain_runs(text):
@@ -83,7 +83,11 @@ def test_sample_is_bounded_and_fixed(spark):
     docs = spark.range(5000).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN 'cold' WHEN id % 50 = 2 THEN NULL"
         " ELSE 'hot' END AS l", "concat('t', id, repeat('x', cast(id % 100 as int))) AS t")
-    get = lambda df: sample(df, F.col("l"), F.col("id").cast("string"), F.col("t"), 40, 60)
+    def get(df):
+        labels = df.filter("length(t) <= 60").select(
+            F.xxhash64(F.col("id").cast("string")).alias("h"), F.col("l").alias("label"))
+        return sample(labels, keyed_texts(df, F.col("id"), F.col("t"), 60), 40)
+
     got = get(docs)
     assert got == get(docs.repartition(7)) and set(Counter(k for k, _ in got)) == {"hot", "cold"}
     assert max(Counter(k for k, _ in got).values()) <= 40 and max(len(t) for _, t in got) <= 60
