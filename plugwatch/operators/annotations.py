@@ -1,7 +1,10 @@
 """Image annotations: boxes to normalised regions, categories to tags, tags to tag ids.
 
-Regions stay flat, one row per region, through all joins. Nested entries are made only for
-output, in parts of bounded size, so an image with very many regions is never one value.
+Regions stay flat, one row per region, through all joins, and the flat table is the result that
+holds at any size. Nested entries are for output: one row, and so one value, per image.
+
+Several annotation documents may be handled at once: where the tables have a column ``document``,
+ids count within it.
 """
 
 from __future__ import annotations
@@ -12,7 +15,10 @@ from pyspark.sql import functions as F
 from plugwatch.functions.text import strip
 from plugwatch.operators.joins import join_unique
 
-REGIONS_PER_PART = 1000
+
+def document_key(*frames: DataFrame) -> list[str]:
+    """``document``, if all tables tell it."""
+    return ["document"] if all("document" in f.columns for f in frames) else []
 
 
 def image_url(images_prefix: str = "") -> Column:
@@ -41,9 +47,10 @@ def normalise_box(x: Column, y: Column, w: Column, h: Column,
 
 def latest_images(images: DataFrame, position: str = "pos") -> DataFrame:
     """One row per image id: the last one listed."""
-    others = [c for c in images.columns if c != "id"]
+    keys = [*document_key(images), "id"]
+    others = [c for c in images.columns if c not in keys]
     last = F.max_by(F.struct(*others), F.col(position)).alias("_last")
-    return images.groupBy("id").agg(last).select("id", "_last.*")
+    return images.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
 def regions(annotations: DataFrame, images: DataFrame, categories: DataFrame) -> DataFrame:
@@ -54,19 +61,22 @@ def regions(annotations: DataFrame, images: DataFrame, categories: DataFrame) ->
 
     ``annotations``: image_id, category_id, pos, bbox; ``images``: id (unique), width,
     height, url; ``categories``: id, name and, if an id may repeat, pos: the last one counts.
+    ``document`` comes first if all three have it.
     """
+    doc = document_key(annotations, images, categories)
     place = "pos" if "pos" in categories.columns else "name"
-    named = categories.groupBy(F.col("id").alias("category_id")).agg(
+    named = categories.groupBy(*doc, F.col("id").alias("category_id")).agg(
         F.max_by("name", place).alias("name"))
-    sized = images.select(F.col("id").alias("image_id"), "url", F.col("width").alias("_w"),
-                          F.col("height").alias("_h"))
+    sized = images.select(*doc, F.col("id").alias("image_id"), "url",
+                          F.col("width").alias("_w"), F.col("height").alias("_h"))
     box = F.col("bbox")
     parts = [F.get(box, F.lit(i)) for i in range(4)]
-    placed = join_unique(annotations.where(F.size(box) == 4), sized, ["image_id"], "inner")
+    placed = join_unique(
+        annotations.where(F.size(box) == 4), sized, [*doc, "image_id"], "inner")
     return (
-        join_unique(placed, named, ["category_id"])
+        join_unique(placed, named, [*doc, "category_id"])
         .select(
-            "image_id", "url", "pos",
+            *doc, "image_id", "url", "pos",
             F.coalesce("name", F.concat(F.lit("cat_"), F.col("category_id").cast("string")))
             .alias("tag_name"),
             *[c.alias(n) for n, c in normalise_box(*parts, F.col("_w"), F.col("_h")).items()],
@@ -74,32 +84,24 @@ def regions(annotations: DataFrame, images: DataFrame, categories: DataFrame) ->
     )
 
 
-def entries(images: DataFrame, flat: DataFrame, per_part: int = REGIONS_PER_PART) -> DataFrame:
-    """Nested entries ``url, part, regions`` for output; images without regions have ``[]``.
-
-    ``pos`` is unique per document, so one part, the regions of one image within a range of
-    ``per_part`` positions, holds at most ``per_part`` regions. Images without URL drop out.
+def entries(images: DataFrame, flat: DataFrame, tag: str = "tag_name") -> DataFrame:
+    """Nested entries ``image_id, url, regions`` for output, one per image that has a URL.
 
-    Regions bring their URL along. Only the images without regions are joined, to the ids that
-    have some, so an image with very many regions makes no hot join key.
+    Regions come in the order of ``pos``; an image without any has ``[]``. ``tag`` is the
+    column of ``flat`` that regions carry, as ``tagName`` or ``tagId``. Images take part in the
+    grouping as rows without a region, so there is one grouping and no join.
     """
-    region = F.struct(
-        "pos", F.col("tag_name").alias("tagName"), "left", "top", "width", "height")
-    nested = (
-        flat.where(F.col("url").isNotNull())
-        .groupBy("image_id", "url", F.expr(f"pos div {int(per_part)}").alias("part"))
-        .agg(F.array_sort(F.collect_list(region)).alias("_regions"))
-        .select("url", "part",
-                F.transform("_regions", lambda r: r.dropFields("pos")).alias("regions"))
-    )
-    bare = (
-        images.where(F.col("url").isNotNull())
-        .join(flat.select(F.col("image_id").alias("id")).distinct(), "id", "left_anti")
-        .select("url", F.lit(0).cast("bigint").alias("part"),
-                F.array().cast("array<struct<tagName:string,left:double,top:double,"
-                               "width:double,height:double>>").alias("regions"))
+    keys = [*document_key(images, flat), "image_id", "url"]
+    label = F.col(tag).cast("string").alias("tagId" if tag == "tag_id" else "tagName")
+    region = F.struct("pos", label, "left", "top", "width", "height")
+    held = flat.select(*keys, region.alias("_region"))
+    bare = images.withColumnRenamed("id", "image_id").select(
+        *keys, F.lit(None).cast(held.schema["_region"].dataType).alias("_region"))
+    return (
+        held.unionByName(bare).where(F.col("url").isNotNull()).groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_region")).alias("_regions"))
+        .select(*keys, F.transform("_regions", lambda r: r.dropFields("pos")).alias("regions"))
     )
-    return nested.unionByName(bare)
 
 
 def conversion_counts(images: DataFrame, annotations: DataFrame,
@@ -139,6 +141,7 @@ def new_tags(wanted: DataFrame, existing: DataFrame) -> DataFrame:
 def with_tag_ids(flat: DataFrame, tags: DataFrame) -> DataFrame:
     """Regions with ``tag_id``: the given one, or that of the tag name; others drop out.
 
+    ``entries(images, with_tag_ids(…), "tag_id")`` keeps the images that lose all regions.
     ``tags``: name (unique), id.
     """
     ids = tags.select(F.col("name").alias("tag_name"), F.col("id").cast("string").alias("_id"))
@@ -159,22 +162,24 @@ def unknown_tags(flat: DataFrame, tags: DataFrame) -> DataFrame:
         tags.select(F.col("name").alias("tag_name")), "tag_name", "left_anti")
 
 
-def remap_tags(flat: DataFrame, image_tags: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Regions and image tags under new tag ids: ``image_id, pos, tag_id`` and the box.
+def remap_tags(images: DataFrame, flat: DataFrame, image_tags: DataFrame,
+               mapping: DataFrame) -> DataFrame:
+    """Images with their tags under new ids: ``image_id, url, pos, tag_id`` and the box.
 
-    Regions of unmapped tags drop out. An image left without regions gets its mapped
-    image-level tags instead, as rows without position and box.
+    Regions of unmapped tags drop out. An image left without regions has its mapped image-level
+    tags instead, as rows without position and box, or one row without a tag if it has none of
+    these either. Images without URL are skipped.
 
-    ``flat``: image_id, pos, tag_id, left, top, width, height; ``image_tags``: image_id,
-    tag_id; ``mapping``: old_id (unique), new_id.
+    ``images``: id (unique), url; ``flat``: image_id, pos, tag_id, left, top, width, height;
+    ``image_tags``: image_id, tag_id; ``mapping``: old_id (unique), new_id.
     """
     ids = mapping.select(F.col("old_id").alias("tag_id"), F.col("new_id").alias("_new"))
-    kept = flat.join(ids, "tag_id").withColumn("tag_id", F.col("_new")).drop("_new")
-    with_regions = kept.select("image_id").distinct()
-    fallback = (
-        image_tags.join(ids, "tag_id")
-        .join(with_regions, "image_id", "left_anti")
-        .select("image_id", F.col("_new").alias("tag_id"))
-    )
-    columns = ["image_id", "pos", "tag_id", "left", "top", "width", "height"]
-    return kept.select(*columns).unionByName(fallback, allowMissingColumns=True)
+    box = ["left", "top", "width", "height"]
+    kept = flat.join(ids, "tag_id").select("image_id", "pos", F.col("_new").alias("_tag"), *box)
+    whole = image_tags.join(ids, "tag_id").select(
+        F.col("image_id").alias("_image"), F.col("_new").alias("_whole"))
+    listed = images.where(F.col("url").isNotNull()).select(F.col("id").alias("image_id"), "url")
+    placed = listed.join(kept, "image_id", "left")
+    return placed.join(
+        whole, (F.col("image_id") == F.col("_image")) & F.col("pos").isNull(), "left"
+    ).select("image_id", "url", "pos", F.coalesce("_tag", "_whole").alias("tag_id"), *box)

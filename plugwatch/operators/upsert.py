@@ -6,14 +6,18 @@ so a failed job leaves the old table as it was.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from plugwatch import schemas
 from plugwatch.functions.text import strip
 from plugwatch.operators.joins import join_unique
 from plugwatch.operators.numbering import number_rows
+from plugwatch.session import stored
 
 # --- Fixed values: column lengths of the relational tables ------------------------------
 PRODUCT_LENGTHS = {
@@ -25,6 +29,7 @@ PRODUCT_COLUMNS = (
     "ProductID", "Marketplace", "ProductGroup", "UploadDate", "Title", "Description",
     "Rating", "Price", "Currency", "NumImages", "SellerID",
 )
+PRODUCT_REQUIRED = ("ProductID", "Marketplace", "ProductGroup", "UploadDate", "Title")
 
 
 def filled(*names: str) -> Column:
@@ -35,17 +40,40 @@ def filled(*names: str) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def conform_products(df: DataFrame) -> DataFrame:
-    """Rows with a product id, cut, stripped and cast to the table's columns."""
-    text = {n: strip(F.substring(F.col(n), 1, size)) for n, size in PRODUCT_LENGTHS.items()}
+def _fitted(lengths: Mapping[str, int], keys: Iterable[str], cut: Iterable[str]) -> dict[str, Column]:
+    """Stripped text columns; those in ``cut`` are cut to size. Keys never are: rows that differ
+    behind the cut would become one."""
+    wrong = set(cut) & set(keys)
+    if wrong:
+        raise ValueError(f"keys are not cut: {sorted(wrong)}")
+    return {n: strip(F.substring(strip(F.col(n)), 1, size) if n in set(cut) else F.col(n))
+            for n, size in lengths.items()}
+
+
+def _too_long(lengths: Mapping[str, int]) -> Column:
+    cond = F.lit(False)
+    for n, size in lengths.items():
+        cond = cond | F.coalesce(F.length(F.col(n)) > size, F.lit(False))
+    return cond
+
+
+def conform_products(df: DataFrame, cut: Iterable[str] = ()) -> DataFrame:
+    """Rows with a product id, stripped and cast to the table's columns, with ``reason``: null,
+    or why the table can't take a row: ``length`` (a text is too long) or ``null`` (a required
+    column is). Text columns named in ``cut`` are cut to size instead."""
+    text = _fitted(PRODUCT_LENGTHS, PRODUCT_REQUIRED[:3], cut)
     text["Currency"] = F.upper(text["Currency"])
+    missing = F.lit(False)
+    for c in PRODUCT_REQUIRED:
+        missing = missing | F.col(c).isNull()
     return df.where(filled("ProductID")).withColumns({
         **text,
         "Rating": F.col("Rating").cast("decimal(3,2)"),
         "Price": F.col("Price").cast("decimal(18,2)"),
         "NumImages": F.col("NumImages").cast("int"),
         "SellerID": F.col("SellerID").cast("int"),
-    }).select(*PRODUCT_COLUMNS)
+    }).select(*PRODUCT_COLUMNS).withColumn(
+        "reason", F.when(_too_long(PRODUCT_LENGTHS), "length").when(missing, "null"))
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -61,48 +89,64 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         *keys, *[F.col(f"_best.{c}").alias(c) for c in ranked]).select(*df.columns)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str],
+           order: Iterable[str] = ()) -> DataFrame:
     """The table after a merge: source rows replace or extend, other rows stay.
 
-    ``source`` has unique keys.
+    Of source rows with the same key the largest by ``order`` counts. Both tables are read and
+    grouped once. Keys of ``target`` are unique.
     """
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    both = target.withColumn("_source", F.lit(0)).unionByName(
+        source.withColumn("_source", F.lit(1)))
+    return one_per_key(both, keys, ["_source", *order]).drop("_source")
 
 
-def upsert_products(target: DataFrame, df: DataFrame) -> DataFrame:
-    """Products after the merge; of rows with the same id the latest upload counts."""
-    source = one_per_key(conform_products(df), ["ProductID"], ["UploadDate"])
-    return upsert(target.select(*PRODUCT_COLUMNS), source, ["ProductID"])
+def upsert_products(target: DataFrame, df: DataFrame,
+                    cut: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Products after the merge, and the rejected rows with their reason; of rows with the same
+    id the latest upload counts."""
+    rows = conform_products(df, cut)
+    table = upsert(target.select(*PRODUCT_COLUMNS),
+                   rows.where(F.col("reason").isNull()).drop("reason"), ["ProductID"], ["UploadDate"])
+    return table, rows.where(F.col("reason").isNotNull())
 
 
-def first_sellers(df: DataFrame) -> DataFrame:
-    """Named sellers, cut and stripped, one per name and marketplace: the lowest URL, if any."""
+def conform_sellers(df: DataFrame, cut: Iterable[str] = ()) -> DataFrame:
+    """Named sellers, stripped, with ``reason`` as for products."""
     missing = [c for c in ("Name", "Marketplace", "URL") if c not in df.columns]
     if missing:
         raise KeyError(f"columns not found: {missing}")
-    text = {n: F.substring(strip(F.col(n)), 1, size)
-            for n, size in SELLER_LENGTHS.items()}
-    return df.where(filled("Name", "Marketplace")).select(
-        *[c.alias(n) for n, c in text.items()]
-    ).groupBy("Name", "Marketplace").agg(F.min("URL").alias("URL"))
+    text = _fitted(SELLER_LENGTHS, ("Name", "Marketplace"), cut)
+    rows = df.where(filled("Name", "Marketplace")).select(*[c.alias(n) for n, c in text.items()])
+    return rows.withColumn("reason", F.when(_too_long(SELLER_LENGTHS), "length"))
 
 
-def upsert_sellers(target: DataFrame, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def first_sellers(df: DataFrame, cut: Iterable[str] = ()) -> DataFrame:
+    """Sellers that the table can take, one per name and marketplace: the lowest URL, if any."""
+    rows = conform_sellers(df, cut).where(F.col("reason").isNull())
+    return rows.groupBy("Name", "Marketplace").agg(F.min("URL").alias("URL"))
+
+
+def upsert_sellers(target: DataFrame, df: DataFrame,
+                   cut: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Sellers after the merge, and the ``SellerID, Name, Marketplace`` of all merged ones.
 
     Known sellers keep their id and take the new URL. New ones are numbered after the
-    highest id.
+    highest id. Target and source are joined once, and the join is a written table.
     """
     keys = ["Name", "Marketplace"]
-    source = first_sellers(df)
-    known = source.join(target.select("SellerID", *keys), keys, "left")
-    fresh = number_rows(known.where(F.col("SellerID").isNull()).drop("SellerID"), keys, "_no")
-    top = target.select(F.coalesce(F.max("SellerID"), F.lit(0))).scalar()
-    numbered = fresh.withColumn("SellerID", (top + F.col("_no")).cast("int"))
+    new = first_sellers(df, cut).withColumn("_new", F.lit(True))
+    old = target.select("SellerID", *keys, F.col("URL").alias("_old"))
+    both = stored(old.join(new, keys, "full"))
+    known = both.where(F.col("SellerID").isNotNull())
+    fresh = number_rows(both.where(F.col("SellerID").isNull()).select(*keys, "URL"), keys, "_no")
+    top = both.select(F.coalesce(F.max("SellerID"), F.lit(0))).scalar()
     columns = ["SellerID", *keys, "URL"]
-    merged = known.where(F.col("SellerID").isNotNull()).select(*columns).unionByName(
-        numbered.select(*columns))
-    return upsert(target.select(*columns), merged, keys), merged.select("SellerID", *keys)
+    numbered = fresh.withColumn("SellerID", (top + F.col("_no")).cast("int")).select(*columns)
+    url = F.when(F.col("_new"), F.col("URL")).otherwise(F.col("_old"))
+    table = known.withColumn("URL", url).select(*columns).unionByName(numbered)
+    ids = known.where("_new").select(*columns).unionByName(numbered)
+    return table, ids.select("SellerID", *keys)
 
 
 @dataclass(frozen=True)
@@ -115,20 +159,32 @@ class Constraints:
     references: dict[str, tuple[DataFrame, str]] = field(default_factory=dict)
 
 
+def table_constraints(name: str, tables: Mapping[str, DataFrame]) -> Constraints:
+    """The constraints of one of the five tables of ``schemas.TABLES``; ``tables`` has those it
+    refers to."""
+    ddl, key, references = schemas.TABLES[name]
+    required = tuple(f.name for f in T.StructType.fromDDL(ddl).fields if not f.nullable)
+    return Constraints(key, required, {
+        column: (tables[parent], parent_column)
+        for column, (parent, parent_column) in references.items()})
+
+
 def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
                    order: list[str]) -> DataFrame:
     """``rows`` with ``reason``: null for the rows to append, else why a row is rejected.
 
     Reasons are ``null`` (a required column), ``reference`` (a missing parent) and ``key``
     (the key exists, or an earlier valid row by ``order`` has it). ``order`` makes rows
-    distinct.
+    distinct but for those equal in all columns, of which one is appended.
     """
     pk = list(constraints.primary_key)
     required = [*pk, *[c for c in constraints.not_null if c not in pk]]
     has_null = F.lit(False)
     for c in required:
         has_null = has_null | F.col(c).isNull()
-    checked = rows.withColumn("_null", has_null).withColumn("_orphan", F.lit(False))
+    # Equal rows are counted first, before the shuffle too.
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    checked = counted.withColumn("_null", has_null).withColumn("_orphan", F.lit(False))
     for column, (parent, parent_column) in constraints.references.items():
         parents = parent.select(F.col(parent_column).alias(column)).dropna().distinct() \
             .withColumn("_found", F.lit(True))
@@ -144,6 +200,9 @@ def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
     first = checked.where(F.col("_reason").isNull()).groupBy(*pk).agg(
         F.min(F.struct(*order)).alias("_first"))
     late = F.col("_reason").isNull() & (F.struct(*order) != F.col("_first"))
-    return join_unique(checked, first, pk).withColumn(
-        "reason", F.when(late, "key").otherwise(F.col("_reason"))
-    ).select(*rows.columns, "reason")
+    told = join_unique(checked, first, pk).withColumn(
+        "_reason", F.when(late, "key").otherwise(F.col("_reason")))
+    again = told.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return again.withColumn(
+        "reason", F.when(F.col("_reason").isNull() & (F.col("_i") > 1), "key")
+        .otherwise(F.col("_reason"))).select(*rows.columns, "reason")

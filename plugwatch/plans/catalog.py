@@ -710,7 +710,7 @@ _UPSERT_OUT = ("ProductID", "Marketplace", "ProductGroup", "Title", "Description
 def product_upsert(spark, sf_dir):
     target = v.derived(v.table(spark, sf_dir, "part"), _TARGET_PRODUCTS)
     source = v.derived(v.table(spark, sf_dir, "lineitem"), _SOURCE_PRODUCTS)
-    out = up.upsert_products(target, source)
+    out, _ = up.upsert_products(target, source, cut=("Currency",))
     return out.withColumn("Description", F.coalesce("Description", F.lit(""))).select(
         *_UPSERT_OUT, F.date_format("UploadDate", "yyyy-MM-dd").alias("UploadDate"),
         F.col("Rating").cast("double"), F.col("Price").cast("double"))
@@ -779,15 +779,18 @@ _NEW_ROWS = {
 _APPEND_ORDER = ("line", "price", "part_id")
 
 
-@query(f"WITH r AS ({v.select_sql(_NEW_ROWS, 'lineitem')}), checked AS (SELECT *, CASE WHEN"
+@query(f"WITH r AS ({v.select_sql(_NEW_ROWS, 'lineitem')} UNION ALL"
+       f" {v.select_sql(_NEW_ROWS, 'lineitem')} WHERE l_quantity > 40), checked AS (SELECT *, CASE WHEN"
        " status IS NULL THEN 'null' WHEN seller_id NOT IN (SELECT s_suppkey FROM supplier WHERE"
        " s_acctbal > 0) THEN 'reference' WHEN order_id IN (SELECT o_orderkey FROM orders WHERE"
-       " o_orderstatus = 'F') THEN 'key' END AS why FROM r), ranked AS (SELECT *, rank() OVER"
+       " o_orderstatus = 'F') THEN 'key' END AS why FROM r), ranked AS (SELECT *, row_number() OVER"
        " (PARTITION BY order_id, why ORDER BY line, price, part_id) AS n FROM checked) SELECT"
        " order_id, seller_id, line, price, part_id, CASE WHEN why IS NULL THEN CASE WHEN n = 1"
        " THEN 'appended' ELSE 'key' END ELSE why END AS reason FROM ranked", {})
 def checked_append(spark, sf_dir):
-    rows = v.derived(v.table(spark, sf_dir, "lineitem"), _NEW_ROWS)
+    # Some rows come twice.
+    items = v.table(spark, sf_dir, "lineitem")
+    rows = v.derived(items.union(items.where("l_quantity > 40")), _NEW_ROWS)
     target = v.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("order_id"))
     parents = v.table(spark, sf_dir, "supplier").where("s_acctbal > 0")
@@ -809,11 +812,15 @@ _IMAGES = {
                 " STRING)) END",
     "file_name": "CASE WHEN l_tax > 0.01 THEN concat(CAST(l_partkey AS STRING), '.jpg') END",
 }
+# Several for each image, far apart in the list; some of images that are not listed.
 _BOXES = {
-    "image_id": "o_orderkey", "category_id": "o_custkey % 30", "pos": "o_orderkey",
-    "x": "o_totalprice / 1000", "y": "o_totalprice / 700",
-    "w": "CASE WHEN o_orderstatus = 'P' THEN 0.5 ELSE o_totalprice / 900 END", "h": "0.25",
-    "parts": "CASE WHEN o_orderpriority = '5-LOW' THEN 3 ELSE 4 END",
+    "image_id": "CASE WHEN l_quantity < 3 THEN -l_orderkey ELSE l_orderkey END",
+    "category_id": "l_suppkey % 30",
+    "pos": "(((l_linenumber * 1000000 + l_orderkey) * 100000 + l_partkey) * 10000 + l_suppkey) * 100"
+           " + CAST(l_quantity AS BIGINT)",
+    "x": "l_extendedprice / 100", "y": "l_extendedprice / 70",
+    "w": "CASE WHEN l_discount > 0.05 THEN 0.5 ELSE l_extendedprice / 90 END", "h": "0.25",
+    "parts": "CASE WHEN l_quantity > 45 THEN 3 ELSE 4 END",
 }
 _NATION_TAGS = ("SELECT CAST(n_nationkey AS BIGINT) AS id, CASE WHEN n_regionkey = 1 THEN NULL"
                 " ELSE n_name END AS name FROM nation")
@@ -824,7 +831,7 @@ _ANNOTATION_CTES = {
                " BY id ORDER BY pos DESC, absolute_url DESC, coco_url DESC, file_name DESC, width"
                " DESC) AS n"
                " FROM listed) WHERE n = 1"),
-    "boxes": v.select_sql(_BOXES, "orders"),
+    "boxes": v.select_sql(_BOXES, "lineitem"),
     "categories": _NATION_TAGS,
     "sized": ("SELECT b.*, url, coalesce(name, concat('cat_', category_id)) AS tag_name,"
               " greatest(x, y, w, h) > 1 AS pixels, width, height FROM boxes b JOIN images i"
@@ -849,7 +856,7 @@ def _annotation_tables(spark, sf_dir):
     place = F.struct("pos", "absolute_url", "coco_url", "file_name", "width")
     images = an.latest_images(listed.withColumn("place", place), "place").select(
         "id", "width", "height", an.image_url().alias("url"))
-    boxes = v.derived(v.table(spark, sf_dir, "orders"), _BOXES)
+    boxes = v.derived(v.table(spark, sf_dir, "lineitem"), _BOXES)
     corners = F.array("x", "y", "w", "h")
     boxes = boxes.select("image_id", "category_id", "pos",
                          F.slice(corners, F.lit(1), F.col("parts")).alias("bbox"))
@@ -878,16 +885,27 @@ def annotation_regions(spark, sf_dir):
     return _box(df, "image_id", "url", "tag_name")
 
 
-@query("SELECT url, coalesce(part, 0) AS part, coalesce(n, 0) AS regions, coalesce(first_tag, '')"
-       " AS first_tag FROM images LEFT JOIN (SELECT image_id, pos // 1000 AS part, count(*) AS n,"
-       " arg_min(tag_name, pos) AS first_tag FROM regions GROUP BY ALL) ON id = image_id"
-       " WHERE url IS NOT NULL", _ANNOTATION_CTES)
+_NO_BOX = ", ".join(f"coalesce({c}, -1) AS {c}" for c in _BOX_OUT.values())
+
+
+def _flat_entries(entries: DataFrame, tag: str) -> DataFrame:
+    """Entries as one row per region, numbered from 0; -1 and blanks where there is none."""
+    rows = entries.select("image_id", "url", F.size("regions").cast("bigint").alias("regions"),
+                          F.posexplode_outer("regions").alias("no", "r"))
+    return rows.select(
+        "image_id", "url", "regions", F.coalesce("no", F.lit(-1)).cast("bigint").alias("region_no"),
+        F.coalesce(f"r.{tag}", F.lit("")).alias("tag"),
+        *[F.coalesce(f"r.{c}", F.lit(-1.0)).alias(n) for c, n in _BOX_OUT.items()])
+
+
+@query("SELECT id AS image_id, url, count(r.pos) OVER (PARTITION BY id) AS regions,"
+       " CASE WHEN r.pos IS NULL THEN -1 ELSE row_number() OVER (PARTITION BY id ORDER BY r.pos) - 1"
+       f" END AS region_no, coalesce(tag_name, '') AS tag, {_NO_BOX} FROM images LEFT JOIN (SELECT *"
+       " EXCLUDE (url) FROM regions) r ON id = image_id WHERE url IS NOT NULL", _ANNOTATION_CTES)
 def image_entries(spark, sf_dir):
+    """One entry per image with a URL, read back region by region."""
     images, boxes, categories = _annotation_tables(spark, sf_dir)
-    df = an.entries(images, an.regions(boxes, images, categories))
-    return df.select("url", "part", F.size("regions").cast("bigint").alias("regions"),
-                     F.coalesce(F.get("regions", F.lit(0))["tagName"], F.lit(""))
-                     .alias("first_tag"))
+    return _flat_entries(an.entries(images, an.regions(boxes, images, categories)), "tagName")
 
 
 @query("SELECT (SELECT count(*) FROM images) AS num_images, (SELECT count(*) FROM boxes) AS"
@@ -909,12 +927,16 @@ def _tags(categories: DataFrame) -> DataFrame:
         "name", F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"))
 
 
-@query(f"SELECT image_id, tag_name, id AS tag_id, {_BOX_SQL} FROM regions JOIN tags"
-       " ON name = tag_name", _ANNOTATION_CTES)
+@query("SELECT i.id AS image_id, i.url, count(pos) OVER (PARTITION BY i.id) AS regions, CASE WHEN pos"
+       " IS NULL THEN -1 ELSE row_number() OVER (PARTITION BY i.id ORDER BY pos) - 1 END AS"
+       f" region_no, coalesce(r.tag_id, '') AS tag, {_NO_BOX} FROM images i LEFT JOIN (SELECT * EXCLUDE"
+       " (url, id), id AS tag_id FROM regions JOIN tags ON name = tag_name) r ON i.id = r.image_id"
+       " WHERE i.url IS NOT NULL", _ANNOTATION_CTES)
 def region_tags(spark, sf_dir):
+    """Entries under tag ids; those that lose all regions are kept."""
     images, boxes, categories = _annotation_tables(spark, sf_dir)
     df = an.with_tag_ids(an.regions(boxes, images, categories), _tags(categories))
-    return _box(df, "image_id", "tag_name", "tag_id")
+    return _flat_entries(an.entries(images, df, "tag_id"), "tagId")
 
 
 @query("SELECT DISTINCT tag_name FROM regions WHERE tag_name NOT IN (SELECT name FROM tags)",
@@ -936,14 +958,19 @@ def new_tags(spark, sf_dir):
 _REMAP_CTES = {
     **_ANNOTATION_CTES,
     "mapping": "SELECT id AS old_id, id + 100 AS new_id FROM categories WHERE name IS NOT NULL",
-    "kept": "SELECT image_id, new_id AS tag_id FROM sized JOIN mapping ON category_id = old_id",
+    "kept": ("SELECT r.*, new_id FROM regions r JOIN boxes b USING (pos) JOIN mapping"
+             " ON b.category_id = old_id"),
+    "whole": ("SELECT o_orderkey, new_id FROM orders JOIN mapping ON o_custkey % 25 = old_id"
+              " WHERE o_orderkey NOT IN (SELECT image_id FROM kept)"),
 }
 
 
-@query("SELECT image_id, tag_id, 1 AS region FROM kept UNION ALL SELECT o_orderkey, new_id, 0"
-       " FROM orders JOIN mapping ON o_custkey % 25 = old_id WHERE o_orderkey NOT IN"
-       " (SELECT image_id FROM kept)", _REMAP_CTES)
+@query(f"SELECT image_id, url, new_id AS tag_id, 1 AS region, {_BOX_SQL} FROM kept WHERE url IS NOT"
+       " NULL UNION ALL SELECT id, url, coalesce(new_id, -1), 0, -1, -1, -1, -1 FROM images LEFT JOIN"
+       " whole ON id = o_orderkey WHERE url IS NOT NULL AND id NOT IN (SELECT image_id FROM kept)",
+       _REMAP_CTES)
 def tag_remap(spark, sf_dir):
+    """Images with a URL under new tags, also those left without any."""
     images, boxes, categories = _annotation_tables(spark, sf_dir)
     by_id = categories.select("id", F.col("id").cast("string").alias("name"))
     flat = an.regions(boxes, images, by_id).withColumn(
@@ -952,8 +979,10 @@ def tag_remap(spark, sf_dir):
         F.col("o_orderkey").alias("image_id"), (F.col("o_custkey") % 25).alias("tag_id"))
     mapping = categories.where("name IS NOT NULL").select(
         F.col("id").alias("old_id"), (F.col("id") + 100).alias("new_id"))
-    return an.remap_tags(flat, image_tags, mapping).select(
-        "image_id", "tag_id", F.col("pos").isNotNull().cast("int").alias("region"))
+    return an.remap_tags(images, flat, image_tags, mapping).select(
+        "image_id", "url", F.coalesce("tag_id", F.lit(-1)).alias("tag_id"),
+        F.col("pos").isNotNull().cast("int").alias("region"),
+        *[F.coalesce(c, F.lit(-1.0)).alias(n) for c, n in _BOX_OUT.items()])
 
 
 # --- Attribution, batches, paths -----------------------------------------------------------

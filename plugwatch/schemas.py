@@ -72,3 +72,11 @@ REVIEWS_TABLE = (
     "ReviewID int not null, ProductID string, ReviewText string not null,"
     " Rating int not null, ReviewTs timestamp not null"
 )
+# Columns, primary key, and references {column: (table, its column)} of each.
+TABLES = {
+    "Sellers": (SELLERS_TABLE, ("SellerID",), {}),
+    "Products": (PRODUCTS_TABLE, ("ProductID",), {"SellerID": ("Sellers", "SellerID")}),
+    "Images": (IMAGES_TABLE, ("ImageGUID",), {"ProductID": ("Products", "ProductID")}),
+    "Labels": (LABELS_TABLE, ("LabelID",), {"ImageGUID": ("Images", "ImageGUID")}),
+    "Reviews": (REVIEWS_TABLE, ("ReviewID",), {"ProductID": ("Products", "ProductID")}),
+}

@@ -214,20 +214,40 @@ def test_regions_and_entries(spark):
         (1, "cat_8", 0.5, 0.2, 0.1, 0.0), (1, "plug", 0.1, 0.1, 1.0, 0.01),
         (2, "cat_9", 0.0, 0.0, 0.0, 0.0)]
     got = tuples(an.entries(images, flat).select(
-        "url", "part", F.transform("regions", lambda r: r["tagName"]).alias("tags")))
-    assert got == [("a.jpg", 0, ["cat_9"]), ("c.jpg", 0, ["plug", "cat_8"])]
+        "url", F.transform("regions", lambda r: r["tagName"]).alias("tags")))
+    assert got == [("a.jpg", ["cat_9"]), ("c.jpg", ["plug", "cat_8"])]
     counts = an.conversion_counts(images, annotations, categories).first()
     assert tuple(counts) == (3, 6, 2, 2, 1)
     assert tuples(an.tag_table(categories)) == [(7, "plug"), (8, "cat_8")]
 
 
-def test_entries_of_a_crowded_image_come_in_bounded_parts(spark):
-    images = spark.createDataFrame([(1, 10, 10, "u")], "id long, width int, height int, url string")
-    flat = spark.range(2500).selectExpr(
-        "1L AS image_id", "'u' AS url", "id AS pos", "'t' AS tag_name", "0D AS left", "0D AS top",
-        "0D AS width", "0D AS height")
-    sizes = [len(r.regions) for r in an.entries(images, flat).orderBy("part").collect()]
-    assert sizes == [1000, 1000, 500]
+def test_an_image_has_one_entry_in_order(spark):
+    images = spark.createDataFrame([(1, "u"), (2, "v"), (3, None)], "id long, url string")
+    places = [5001, 998, 1001, 999, 1000]
+    flat = spark.createDataFrame([(1, "u", p, f"t{p}") for p in places],
+                                 "image_id long, url string, pos long, tag_name string").selectExpr(
+        "*", "0D AS left", "0D AS top", "0D AS width", "0D AS height")
+    got = {r.url: [x.tagName for x in r.regions] for r in an.entries(images, flat).collect()}
+    assert got == {"u": [f"t{p}" for p in sorted(places)], "v": []}
+    tagged = an.with_tag_ids(flat, spark.createDataFrame([("t998", "7")], "name string, id string"))
+    ids = {r.url: [x.tagId for x in r.regions] for r in an.entries(images, tagged, "tag_id").collect()}
+    assert ids == {"u": ["7"], "v": []}
+    none = an.with_tag_ids(flat, spark.createDataFrame([("x", "7")], "name string, id string"))
+    assert {len(r.regions) for r in an.entries(images, none, "tag_id").collect()} == {0}
+
+
+def test_documents_keep_their_own_ids(spark):
+    images = spark.createDataFrame([("a", 1, 10, 10, "ua"), ("b", 1, 20, 20, "ub")],
+                                   "document string, id long, width int, height int, url string")
+    boxes = spark.createDataFrame([("a", 0, 1, 5, [5.0] * 4), ("b", 0, 1, 5, [5.0] * 4)],
+                                  "document string, pos long, image_id long, category_id long, bbox array<double>")
+    names = spark.createDataFrame([("a", 5, "na"), ("b", 5, "nb")], "document string, id long, name string")
+    flat = an.regions(boxes, images, names)
+    assert tuples(flat, "document", "url", "tag_name", "left") == [
+        ("a", "ua", "na", 0.5), ("b", "ub", "nb", 0.25)]
+    assert an.latest_images(images.withColumn("pos", F.lit(0))).count() == 2
+    assert tuples(an.entries(images, flat).select("document", "url", F.size("regions"))) == [
+        ("a", "ua", 1), ("b", "ub", 1)]
 
 
 def test_tag_ids(spark):
@@ -248,8 +268,10 @@ def test_tag_remap_falls_back_to_image_tags(spark):
     image_tags = spark.createDataFrame([(1, "b"), (2, "b"), (2, "x"), (3, "a")],
                                        "image_id int, tag_id string")
     mapping = spark.createDataFrame([("a", "A"), ("b", "B")], "old_id string, new_id string")
-    got = tuples(an.remap_tags(flat, image_tags, mapping), "image_id", "pos", "tag_id")
-    assert got == [(1, 0, "A"), (2, None, "B"), (3, None, "A")]
+    images = spark.createDataFrame([(1, "u"), (2, "v"), (3, "w"), (4, "x"), (5, None)],
+                                   "id int, url string")
+    got = tuples(an.remap_tags(images, flat, image_tags, mapping), "image_id", "url", "pos", "tag_id")
+    assert got == [(1, "u", 0, "A"), (2, "v", None, "B"), (3, "w", None, "A"), (4, "x", None, None)]
 
 
 # --- Decisions ------------------------------------------------------------------------------
@@ -426,13 +448,24 @@ def test_product_upsert(spark):
            ("a", "m", "g", t2, " x" * 400, None, 4.555, 2.0, "eurx", None, 1),
            (None, "m", "g", t2, "t", None, 1.0, 1.0, "GBP", 1, 1),
            (" ", "m", "g", t2, "t", None, 1.0, 1.0, "GBP", 1, 1),
-           ("c" * 30, "m", "g", t2, "t", None, None, None, None, 1, 1)]
+           ("c" * 30, "m", "g", t2, "t", None, None, None, None, 1, 1),
+           ("c" * 31, "m", "g", t2, "t", None, None, None, None, 1, 1),
+           ("n", "m", "g", t2, None, None, None, None, None, 1, 1)]
     target = up.conform_products(spark.createDataFrame(old, ddl))
-    rows = {r.ProductID: r for r in up.upsert_products(
-        target, spark.createDataFrame(new, ddl)).collect()}
-    assert set(rows) == {"a", "b", "c" * 18}
+    source = spark.createDataFrame(new, ddl)
+    table, rejects = up.upsert_products(target, source, cut=("Title", "Currency"))
+    rows = {r.ProductID: r for r in table.collect()}
+    # Two ids that share 18 characters are not made one: both are told as too long.
+    assert set(rows) == {"a", "b"}
+    assert tuples(rejects, "ProductID", "reason") == [("c" * 30, "length"), ("c" * 31, "length"),
+                                                      ("n", "null")]
     assert (len(rows["a"].Title), rows["a"].Currency, float(rows["a"].Price)) == (499, "EUR", 2.0)
     assert rows["b"].Title == "old b"
+    table, rejects = up.upsert_products(target, source)
+    assert {r.ProductID: r.Title for r in table.collect()} == {"a": "late", "b": "old b"}
+    assert rejects.where("ProductID = 'a' AND reason = 'length'").count() == 1
+    with pytest.raises(ValueError):
+        up.upsert_products(target, source, cut=("ProductID",))
 
 
 def test_seller_upsert(spark):
@@ -448,6 +481,10 @@ def test_seller_upsert(spark):
     assert {rows[("b", "m")][0], rows[("c", "n")][0]} == {10, 11}
     assert {tuple(r) for r in ids.collect()} == {
         (rows[k][0], *k) for k in (("a", "m"), ("b", "m"), ("c", "n"))}
+    long = spark.createDataFrame([("x" * 255 + "1", "m", "u"), ("x" * 255 + "2", "m", "u")],
+                                 "Name string, Marketplace string, URL string")
+    assert up.first_sellers(long).count() == 0
+    assert [r.reason for r in up.conform_sellers(long).collect()] == ["length"] * 2
     with pytest.raises(KeyError):
         up.upsert_sellers(target, new.drop("URL"))
 
@@ -463,6 +500,23 @@ def test_checked_append(spark):
         ("key",), ("value",), {"parent": (parents, "id")}), ["no"])
     assert dict(tuples(out, "no", "reason")) == {
         1: "key", 2: "reference", 3: "null", 4: None, 5: "key", 6: "null", 7: None}
+    twice = up.checked_append(target, rows.union(rows), up.Constraints(("key",)), ["no"])
+    reasons = sorted((r.no, r.reason or "") for r in twice.collect())
+    assert len(reasons) == 14 and [x for x in reasons if not x[1]] == [(2, ""), (7, "")]
+
+
+def test_constraints_of_the_tables(spark):
+    products = spark.createDataFrame([("p",)], "ProductID string")
+    found = up.table_constraints("Reviews", {"Products": products})
+    assert found.primary_key == ("ReviewID",)
+    assert found.not_null == ("ReviewID", "ReviewText", "Rating", "ReviewTs")
+    assert set(found.references) == {"ProductID"} and found.references["ProductID"][1] == "ProductID"
+    row = (1, "p", "t", 3, dt.datetime(2024, 1, 1))
+    rows = spark.createDataFrame([row, row, (2, "q", *row[2:]), (3, None, *row[2:]), (4, "p", None, *row[3:])],
+                                 "ReviewID int, ProductID string, ReviewText string, Rating int, ReviewTs timestamp")
+    out = up.checked_append(rows.limit(0), rows, found, ["ReviewID"])
+    assert sorted((r.ReviewID, r.reason or "") for r in out.collect()) == [
+        (1, ""), (1, "key"), (2, "reference"), (3, ""), (4, "null")]
 
 
 # --- Attribution and numbering ---------------------------------------------------------

@@ -3,24 +3,23 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from plugwatch.operators import decisions as de
 from plugwatch.operators import images as im
 from plugwatch.operators import reports as rp
-from plugwatch.plans import flows, views
+from plugwatch.plans import catalog, flows, views
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-NO_STORE = [n for n in entry.queries() if n not in (
+NO_STORE = [n for n in catalog.QUERIES if n not in (
     "train_model", "scan_raw_products", "scan_raw_reviews", "csv_round_trip")]
 
 
 @pytest.mark.parametrize("name", NO_STORE)
 def test_no_query_pairs_up_all_rows(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(catalog.QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text  # no row-at-a-time Python
@@ -79,3 +78,9 @@ def test_large_pair_lists_are_not_broadcast(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert irrelevant == views.cleaned(spark, sf_dir).where("is_irrelevant").count()
+
+
+@pytest.mark.parametrize("name, most", [("image_entries", 6), ("product_upsert", 2), ("seller_upsert", 8)])
+def test_merges_scan_their_tables_few_times(spark, sf_dir, name, most):
+    """Base tables in the plan that is run; what is stored before counts as one table."""
+    assert plan(catalog.QUERIES[name](spark, sf_dir)).count("FileScan") <= most

@@ -110,7 +110,7 @@ def test_written_image_entries_are_read_back(spark, tmp_path):
     flat = spark.range(5).selectExpr(
         "1L AS image_id", "'u' AS url", "id AS pos", "'t' AS tag_name", "id / 10D AS left",
         "0D AS top", "0D AS width", "0D AS height")
-    fi.write_image_entries(an.entries(images, flat, per_part=2), str(tmp_path / "out"))
+    fi.write_image_entries(an.entries(images, flat), str(tmp_path / "out"))
     back = fi.read_image_entries(spark, str(tmp_path / "out"), multi_line=False)
     assert rows(back, "url", "tag_name", "left") == sorted(
         [("u", "t", i / 10) for i in range(5)] + [("v", None, None)], key=str)
