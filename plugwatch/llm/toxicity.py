@@ -16,7 +16,6 @@ the matrix forgets what came before, so documents of any length and number share
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -38,6 +37,8 @@ EVIDENCE, PRECISION = 18.0, 0.9
 STEPS, RATE, DECAY = 40, 0.4, 1e-4
 # Words whose emissions a task remembers, and words of one chain: bound its memory.
 MEMORY, CHAIN = 300_000, 1_000_000
+# Words of the sample that the fit looks at at once: bounds the driver's memory.
+FIT_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
 
@@ -98,39 +99,51 @@ def marginals(emission: np.ndarray, first: np.ndarray, trans: np.ndarray):
     return p, pairs
 
 
-def label_words(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Words and beginnings ("<" first) that are told to be toxic."""
-    counts = (Counter(), Counter())
-    for words, t in zip(docs, toxic):
-        counts[int(t)].update({x for w in set(words) for x in (w, *("<" + w[:n] for n in (4, 5) if len(w) > n))})
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    out = set()
-    for x, a in counts[1].items():
-        b = counts[0][x]
-        share = (a / n1) / (a / n1 + b / n0)
-        if share < PRECISION:
+def label_words(docs: list[np.ndarray], toxic: np.ndarray, types: list[str]) -> np.ndarray:
+    """Which words are told to be toxic, themselves or by their first four or five letters.
+    ``docs`` are word numbers."""
+    sizes = int((~toxic).sum()), int(toxic.sum())
+    bad = np.zeros(len(types), dtype=bool)
+    for n in (None, 4, 5):
+        names: dict[str, int] = {}
+        part = np.array([names.setdefault(w[:n], len(names)) if n is None or len(w) > n else -1
+                         for w in types])
+        counts = np.zeros((2, len(names)))
+        for ids, t in zip(docs, toxic):
+            own = np.unique(part[ids])
+            counts[int(t), own[own >= 0]] += 1
+        told = _evident(counts[1], counts[0], sizes[1], sizes[0])
+        bad |= (part >= 0) & told[part] if len(told) else False
+    return bad
+
+
+def _evident(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Whether a toxic and b clean documents, of n1 and n0, tell that a word is toxic."""
+    share = (a / max(1, n1)) / np.maximum(a / max(1, n1) + b / max(1, n0), 1e-12)
+    whole = np.maximum(a + b, 1)
+    log = lambda x, n: np.where(x > 0, x * np.log(np.maximum(x, 1) / whole * (n0 + n1) / max(1, n)), 0)
+    return (share >= PRECISION) & (2 * (log(a, n1) + log(b, n0)) >= EVIDENCE)
+
+
+def _distinct(pairs: list[tuple[bool, str]]) -> tuple[list[np.ndarray], np.ndarray, list[str]]:
+    """The texts as word numbers, their labels, and the words; without texts that have no word, and
+    without near copies of earlier ones, whose words would count again and again: two of four
+    minima over the hashes of word triples are equal."""
+    seen, docs, toxic, known = set(), [], [], {}
+    for label, text in pairs:
+        words = words_of(text)
+        if not words:
             continue
-        whole = a + b
-        ratio = 2 * a * np.log(a / whole * (n0 + n1) / n1) + (
-            2 * b * np.log(b / whole * (n0 + n1) / n0) if b else 0.0)
-        if ratio >= EVIDENCE:
-            out.add(x)
-    return out
-
-
-def _distinct(pairs: list[tuple[bool, list[str]]]) -> list[tuple[bool, list[str]]]:
-    """Without near copies of earlier documents, whose words would count again and again: two of
-    four minima over the hashes of word triples are equal."""
-    seen, out = Counter(), []
-    for toxic, words in pairs:
         h = np.array([crc32(" ".join(words[i:i + 3]).encode("utf-8", "surrogatepass"))
                       for i in range(max(1, len(words) - 2))], dtype=np.uint64)
         marks = [(k, int((h * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()))
                  for k, m in enumerate((1, 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))]
         if sum(m in seen for m in marks) < 2:
-            out.append((toxic, words))
+            docs.append(np.fromiter((known.setdefault(w, len(known)) for w in words),
+                                    dtype=np.int32, count=len(words)))
+            toxic.append(label)
         seen.update(marks)
-    return out
+    return docs, np.array(toxic, dtype=bool), list(known)
 
 
 @dataclass
@@ -185,41 +198,44 @@ def aggregates(p: np.ndarray, starts: np.ndarray) -> np.ndarray:
 NOTHING = np.array([[1.0, np.log(1e-6), np.log(1e-6), np.log(1e-6)]])
 
 
-def fit_field(docs: list[list[str]], toxic: np.ndarray):
+def _parts(docs: list[np.ndarray]):
+    """Documents in runs of about ``FIT_WORDS`` words: their numbers, word numbers, and starts."""
+    at, held = [], 0
+    for i, d in enumerate(docs):
+        at.append(i)
+        held += len(d)
+        if held >= FIT_WORDS or i == len(docs) - 1:
+            index = np.concatenate([docs[k] for k in at])
+            starts = np.cumsum([0, *(len(docs[k]) for k in at[:-1])])
+            first = np.zeros(len(index), dtype=bool)
+            first[starts] = True
+            yield at, index, first, starts
+            at, held = [], 0
+
+
+def fit_field(docs: list[np.ndarray], toxic: np.ndarray, types: list[str]):
     """Feature weights and transitions of the field, fitted to labelled words."""
-    told = label_words(docs, toxic)
-    bad = lambda w: w in told or any("<" + w[:n] in told for n in (4, 5) if len(w) > n)
-    words, y, first = {}, [], []
-    types, index = [], []
-    known: dict[str, bool] = {}
-    for doc, t in zip(docs, toxic):
-        for i, w in enumerate(doc):
-            if w not in words:
-                words[w] = len(types)
-                types.append(w)
-                known[w] = bad(w)
-            index.append(words[w])
-            y.append(bool(t) and known[w])
-            first.append(i == 0)
-    index, y, first = np.array(index), np.array(y, dtype=float), np.array(first)
+    bad = label_words(docs, toxic, types)
     feats = [features(w) for w in types]
-    rows = np.repeat(np.arange(len(types)), [len(f) for f in feats])
-    cols = np.concatenate([np.array(f) for f in feats])
+    rows = np.repeat(np.arange(len(types), dtype=np.int32), [len(f) for f in feats])
+    cols = np.concatenate([np.array(f, dtype=np.int32) for f in feats])
+    del feats
     weights, trans = np.zeros(1 << FEATURE_BITS), np.zeros(5)
     trans[4] = -2.0
-    gold = np.zeros(4)
-    pair = (np.append(0, y[:-1]) * 2 + y).astype(int)[~first]
-    gold += np.bincount(pair, minlength=4)
-    gold_start = y[first].sum()
     state = [np.zeros(len(weights) + 5), np.zeros(len(weights) + 5)]
     n = max(1, len(docs))
     for step in range(1, STEPS + 1):
-        emission = np.bincount(rows, weights[cols], len(types))[index]
-        p, pairs = marginals(emission, first, trans)
-        by_type = np.bincount(index, p - y, len(types))
+        emission = np.bincount(rows, weights[cols], len(types))
+        by_type, moves = np.zeros(len(types)), np.zeros(5)
+        for at, index, first, _ in _parts(docs):
+            y = (bad[index] & np.repeat(toxic[at], [len(docs[k]) for k in at])).astype(float)
+            p, pairs = marginals(emission[index], first, trans)
+            by_type += np.bincount(index, p - y, len(types))
+            into = (np.append(0, y[:-1]) * 2 + y).astype(int)[~first]
+            moves[:4] += pairs.sum(1) - np.bincount(into, minlength=4)
+            moves[4] += p[first].sum() - y[first].sum()
         grad = np.concatenate([
-            np.bincount(cols, by_type[rows], len(weights)) + DECAY * n * weights,
-            pairs.sum(1) - gold, [p[first].sum() - gold_start]]) / n
+            np.bincount(cols, by_type[rows], len(weights)) + DECAY * n * weights, moves]) / n
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad ** 2
         move = RATE * (state[0] / (1 - 0.9 ** step)) / (
@@ -251,24 +267,24 @@ def _chained(docs: list[list[str]], emissions: Emissions, trans: np.ndarray):
 
 def fit(pairs: list[tuple[bool, str]]) -> Model:
     """Learns from (toxic, text) pairs: the field from two thirds, the document's score from one."""
-    known = _distinct([(t, w) for t, x in pairs if (w := words_of(x))])
-    toxic = np.array([t for t, _ in known], dtype=bool)
+    docs, toxic, types = _distinct(pairs)
     if not toxic.any() or toxic.all():
         flat = np.array([30.0 if len(toxic) and toxic.all() else -30.0, 0.0, 0.0, 0.0])
         return Model(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros(5), flat)
-    docs = [w for _, w in known]
-    order = np.arange(len(docs))
     # Every third document of each label is kept back.
     back = np.zeros(len(docs), dtype=bool)
     for label in (False, True):
-        back[order[toxic == label][2::3]] = True
+        back[np.flatnonzero(toxic == label)[2::3]] = True
     if not toxic[back].any() or toxic[back].all():
         back[:] = True
     own = ~back if (~back).any() else back
-    weights, trans = fit_field([d for d, o in zip(docs, own) if o], toxic[own])
-    p, starts = _chained([d for d, b in zip(docs, back) if b], Emissions(weights), trans)
-    document = fit_document(aggregates(p, starts), toxic[back].astype(float))
-    return Model(weights, trans, document)
+    weights, trans = fit_field([d for d, o in zip(docs, own) if o], toxic[own], types)
+    known = Emissions(weights)
+    emission = np.array([known[w] for w in types])
+    held = [d for d, b in zip(docs, back) if b]
+    x = np.concatenate([aggregates(marginals(emission[index], first, trans)[0], starts)
+                        for _, index, first, starts in _parts(held)])
+    return Model(weights, trans, fit_document(x, toxic[back].astype(float)))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
