@@ -123,7 +123,7 @@ def detect(images: DataFrame, make_detector: Callable[[], Callable[[bytes], list
         run, f"path string, predictions {PREDICTION_DDL}")
     pairs = sort_predictions(F.col("predictions"))
     return scored.select(
-        image_id(F.url_decode("path")).alias("product_id"),
+        image_id(F.col("path")).alias("product_id"),
         F.transform(pairs, lambda p: F.create_map(p["tag"], p["probability"])).alias("predictions"),
     )
 

@@ -33,9 +33,11 @@ def clean_products(
     rules: tuple[GroupRule, ...] = GROUP_RULES,
     find_specs: bool = True,
     clean_encoding: bool = False,
+    max_text_chars: int | None = None,
 ) -> DataFrame:
     """Standard products to scored and flagged products, without a shuffle except for the
-    curated pairs when they are too many to broadcast.
+    curated pairs when they are too many to broadcast. Texts are whole unless
+    ``max_text_chars`` says otherwise.
 
     Store the result before filtering on its flags: Spark would push such a filter below the
     text search and run the search twice.
@@ -48,7 +50,8 @@ def clean_products(
     df = with_irrelevance(df, pairs, rules)
     df = with_recalls(df, recalls)
     df = with_ip_rating(df)
-    df = df.withColumn("text", truncate(F.col("text")))
+    if max_text_chars is not None:
+        df = df.withColumn("text", truncate(F.col("text"), max_text_chars))
     return clean_string_columns(df) if clean_encoding else df
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,16 +37,24 @@ def local_session(app: str = "plugwatch", cores: str = "*", partitions: int = 8,
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    """A folder of this process, removed when it ends: executors of a local session are in it."""
+    path = tempfile.mkdtemp(prefix="plugwatch-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then gets a folder of its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="plugwatch-")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/plugwatch-{uuid.uuid4().hex}"
 
 

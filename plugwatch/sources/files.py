@@ -36,6 +36,13 @@ def _json_files(spark: SparkSession, root: str, kind: str, schema: str, multi_li
     return reader.json(root)
 
 
+def _folder() -> Column:
+    """The folder of the row's file. Spark encodes all but "+", which decoding would take for a
+    blank."""
+    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(path), "/[^/]*$", "")
+
+
 def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the rows of broken records for quarantine."""
     broken = F.col(CORRUPT).isNotNull()
@@ -51,8 +58,7 @@ def read_raw_products(spark: SparkSession, root: str, marketplace: str | None =
     JSON lines are split into tasks.
     """
     df = _json_files(spark, root, "product", schema, multi_line, nested_dirs=True)
-    path = F.url_decode(F.col("_metadata.file_path"))
-    folder = F.regexp_replace(path, "/[^/]*$", "")
+    folder = _folder()
     if marketplace:
         df = df.where(folder.contains(marketplace))
     return df.withColumns({
@@ -65,7 +71,7 @@ def read_raw_reviews(spark: SparkSession, root: str, legacy_ids: tuple[str, ...]
     the marketplace of its folder."""
     schema = ", ".join([schema, *[f"{c} string" for c in legacy_ids]])
     df = _json_files(spark, root, "review", schema, multi_line, nested_dirs=True)
-    folder = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), "/[^/]*$", "")
+    folder = _folder()
     return df.where(F.col(CORRUPT).isNull()).select(
         id_or_legacy("product_id", *legacy_ids).alias("product_id"),
         marketplace_from_path(folder).alias("marketplace"),
@@ -114,11 +120,14 @@ def read_image_predictions(spark: SparkSession, path: str) -> DataFrame:
 def read_annotations(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The images, annotations and categories of annotation documents, as flat tables.
 
-    ``pos`` is the place in the document's list.
+    ``pos`` is the place in the document's list, ``document`` the path of its file: ids count
+    within a document.
     """
-    docs = spark.read.schema(schemas.ANNOTATION_DOCUMENT).json(path, multiLine=True)
+    docs = spark.read.schema(schemas.ANNOTATION_DOCUMENT).json(path, multiLine=True).withColumn(
+        "document", F.col("_metadata.file_path"))
     return {
-        part: docs.select(F.posexplode(part).alias("pos", "_item")).select("pos", "_item.*")
+        part: docs.select("document", F.posexplode(part).alias("pos", "_item"))
+        .select("document", "pos", "_item.*")
         for part in ("images", "annotations", "categories")
     }
 
@@ -157,7 +166,8 @@ def read_images(spark: SparkSession, root: str, marketplace: str | None = None)
     )
     if marketplace:
         df = df.where(F.regexp_replace("path", "/[^/]*$", "").contains(marketplace))
-    return df.withColumn("product_id", image_id(F.url_decode("path")))
+    # The path of a binary file is not encoded, unlike that in _metadata.
+    return df.withColumn("product_id", image_id(F.col("path")))
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -31,7 +31,8 @@ def test_text_is_cut_after_the_flags(spark):
     values = {c: None for c in PRODUCT_COLUMNS if not c.endswith("_info")}
     values |= {"product_id": "1", "product_group": "Group A", "text": "x " * 6000 + "adapter 230V"}
     df = spark.createDataFrame([tuple(values.values())], ", ".join(f"`{c}` string" for c in values))
-    row = flows.clean_products(df, clean_encoding=True).first()
+    assert len(flows.clean_products(df).first().text) == 12_012
+    row = flows.clean_products(df, clean_encoding=True, max_text_chars=10_000).first()
     assert row.adapter_flag and row.voltage_score == 0.0
     assert len(row.text) == 9999  # cut to 10000, then the last space is stripped
 
