@@ -41,9 +41,11 @@ def process_reviews(spark: SparkSession, raw: str, out: str,
                     negativity_of: Callable[[Column], Column] = negativity,
                     danger_of: Callable[[Column], Column] | None = None,
                     multi_line: bool = True) -> DataFrame:
-    """Raw review files to ``reviews``, and their sums to ``review_scores``."""
-    rows = fi.read_raw_reviews(
-        spark, raw, ad.legacy_ids(adapters or {}), multi_line=multi_line)
+    """Raw review files to ``reviews``, their sums to ``review_scores``, and broken records to
+    ``broken_reviews``."""
+    rows, broken = fi.split_broken(fi.read_raw_reviews(
+        spark, raw, ad.legacy_ids(adapters or {}), multi_line=multi_line))
+    _save(broken, f"{out}/broken_reviews")
     cleaned, _ = flows.clean_reviews(with_feedback_scores(rows, negativity_of, danger_of))
     reviews = _save(cleaned, f"{out}/reviews")
     _save(review_scores(reviews), f"{out}/review_scores")

@@ -19,21 +19,48 @@ def _any_case(word: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same shape with text for each single value."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    return kind if isinstance(kind, T.MapType) else T.StringType()
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """Text of that shape as ``kind``, null where a single value can't be read as its type."""
+    if kind == _as_text(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value.try_cast(kind)
+
+
 def _json_files(spark: SparkSession, root: str, kind: str, schema: str, multi_line: bool,
                 nested_dirs: bool) -> DataFrame:
     """``*.json`` files below ``root`` with ``kind`` in their name, in any case.
 
     Broken records come back with only ``_corrupt_record`` set; unreadable files are skipped.
+    Values are read as text and cast afterwards, so that one of a wrong type is null and does not
+    break its file.
     """
+    wanted = T.StructType.fromDDL(schema)
     reader = (
-        spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE")
+        spark.read.schema(_as_text(wanted).add(CORRUPT, T.StringType()))
+        .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line)
         .option("ignoreCorruptFiles", True)
         .option("pathGlobFilter", f"*{_any_case(kind)}*.json")
     )
     if nested_dirs:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.json(root)
+    typed = {f.name: _typed(F.col(f"`{f.name}`"), f.dataType) for f in wanted.fields
+             if f.dataType != _as_text(f.dataType)}
+    return reader.json(root).withColumns(typed)
 
 
 def _folder() -> Column:
@@ -68,15 +95,17 @@ def read_raw_products(spark: SparkSession, root: str, marketplace: str | None =
 def read_raw_reviews(spark: SparkSession, root: str, legacy_ids: tuple[str, ...] = (),
                      schema: str = schemas.RAW_REVIEW, multi_line: bool = True) -> DataFrame:
     """One row per raw review, with the product id (or the first legacy id that is set) and
-    the marketplace of its folder."""
+    the marketplace of its folder, and one row per broken record: see :func:`split_broken`."""
     schema = ", ".join([schema, *[f"{c} string" for c in legacy_ids]])
     df = _json_files(spark, root, "review", schema, multi_line, nested_dirs=True)
     folder = _folder()
-    return df.where(F.col(CORRUPT).isNull()).select(
+    none = F.array(F.lit(None).cast(df.schema["reviews"].dataType.elementType))
+    reviews = F.when(F.col(CORRUPT).isNotNull(), none).otherwise(F.col("reviews"))
+    return df.select(
         id_or_legacy("product_id", *legacy_ids).alias("product_id"),
         marketplace_from_path(folder).alias("marketplace"),
-        F.explode("reviews").alias("_review"),
-    ).select("product_id", "marketplace", "_review.*")
+        F.explode(reviews).alias("_review"), CORRUPT,
+    ).select("product_id", "marketplace", "_review.*", CORRUPT)
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: str) -> DataFrame:

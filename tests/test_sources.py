@@ -30,9 +30,11 @@ def raw(tmp_path):
     put(b / "broken_product.json", "{not json")
     put(b / "other.json", [{"product_id": "9"}])
     put(a / "reviews.json", [
-        {"product_id": "1", "reviews": [{"content": "a", "rating": 1}, {"content": "b"}]},
+        {"product_id": "1", "reviews": [
+            {"content": "a", "rating": 1}, {"content": "b", "rating": "4 stars"}]},
         {"product_id": "", "sku": "s7", "reviews": [{"content": "c"}]},
         {"product_id": None, "reviews": []}])
+    put(a / "broken_review.json", "{no review")
     return str(tmp_path)
 
 
@@ -47,9 +49,11 @@ def test_raw_products(spark, raw):
 
 
 def test_raw_reviews(spark, raw):
-    df = fi.read_raw_reviews(spark, raw, legacy_ids=("asin", "sku"))
-    assert rows(df, "product_id", "marketplace", "content") == [
-        ("1", "alpha", "a"), ("1", "alpha", "b"), ("s7", "alpha", "c")]
+    # A rating of the wrong type is null, and costs neither its review nor its file.
+    good, broken = fi.split_broken(fi.read_raw_reviews(spark, raw, legacy_ids=("asin", "sku")))
+    assert rows(good, "product_id", "marketplace", "content", "rating") == [
+        ("1", "alpha", "a", 1), ("1", "alpha", "b", None), ("s7", "alpha", "c", None)]
+    assert [r[fi.CORRUPT] for r in broken.collect()] == ["{no review"]
 
 
 def test_partitioned_layout(spark, tmp_path):
