@@ -298,14 +298,10 @@ def coverage(spark, sf_dir):
 # --- Flags ---------------------------------------------------------------------------------
 
 
-def _in_rules(spark, sf_dir):
-    return v.products(spark, sf_dir).where(ru.known_groups())
-
-
 @query("SELECT product_id, CAST(adapter_flag AS INT) AS adapter_flag, CAST(industrial_flag AS"
-       " INT) AS industrial_flag, CAST(waterproof_flag AS INT) AS waterproof_flag FROM flagged")
+       " INT) AS industrial_flag, CAST(waterproof_flag AS INT) AS waterproof_flag FROM all_flagged")
 def text_flags(spark, sf_dir):
-    return fl.with_text_flags(_in_rules(spark, sf_dir)).select(
+    return fl.with_text_flags(v.products(spark, sf_dir)).select(
         "product_id", _flag("adapter_flag"), _flag("industrial_flag"), _flag("waterproof_flag"))
 
 
@@ -316,23 +312,23 @@ def irrelevant_products(spark, sf_dir):
 
 
 @query("SELECT product_id, CAST(recalled_flag AS INT) AS recalled_flag, CAST(is_recall_brand AS"
-       " INT) AS is_recall_brand FROM flagged")
+       " INT) AS is_recall_brand FROM all_flagged")
 def recall_flags(spark, sf_dir):
-    return fl.with_recalls(_in_rules(spark, sf_dir), v.RECALLS).select(
+    return fl.with_recalls(v.products(spark, sf_dir), v.RECALLS).select(
         "product_id", _flag("recalled_flag"), _flag("is_recall_brand"))
 
 
-@query("SELECT product_id, 0 AS recalled_flag, 0 AS is_recall_brand FROM flagged")
+@query("SELECT product_id, 0 AS recalled_flag, 0 AS is_recall_brand FROM all_flagged")
 def recall_flags_without_lists(spark, sf_dir):
-    return fl.with_recalls(_in_rules(spark, sf_dir)).select(
+    return fl.with_recalls(v.products(spark, sf_dir)).select(
         "product_id", _flag("recalled_flag"), _flag("is_recall_brand"))
 
 
 @query("SELECT product_id, coalesce(ip_rating, '') AS ip_rating, coalesce(ip_ingress, -1) AS"
        " ip_ingress, coalesce(ip_moisture, -1) AS ip_moisture, coalesce(CAST(ip_incompliance AS"
-       " INT), -1) AS ip_incompliance FROM flagged")
+       " INT), -1) AS ip_incompliance FROM all_flagged")
 def ip_rating(spark, sf_dir):
-    df = fl.with_ip_rating(_in_rules(spark, sf_dir))
+    df = fl.with_ip_rating(v.products(spark, sf_dir))
     return df.select(
         "product_id", F.coalesce("ip_rating", F.lit("")).alias("ip_rating"),
         *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("ip_ingress", "ip_moisture")],
@@ -375,7 +371,7 @@ def feedback_without_text(spark, sf_dir):
 
 def _texts_with_vectors(spark, sf_dir):
     vectors = v.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    return _documents(spark, sf_dir).join(vectors, "doc_id")
+    return _documents(spark, sf_dir).join(vectors, "doc_id", "left")
 
 
 @query("SELECT vec_id, round(max_sim, 6) AS max_sim, round(mean_sim, 6) AS mean_sim"
@@ -389,9 +385,10 @@ def keyword_similarity(spark, sf_dir):
         F.round(rv.mean_similarity(F.col("embedding"), keywords), 6).alias("mean_sim"))
 
 
-@query("SELECT doc_id, round(max_sim / words, 8) AS danger, round(greatest(0.0, least(1.0,"
-       " mean_sim / ln(1 + words))), 8) AS similarity FROM (SELECT doc_id, max_sim, mean_sim,"
-       f" {words('text')} AS words FROM documents JOIN similarity ON doc_id = vec_id)")
+@query("SELECT doc_id, round(coalesce(max_sim, 0.0) / words, 8) AS danger, round(greatest(0.0,"
+       " least(1.0, coalesce(mean_sim, 0.0) / ln(1 + words))), 8) AS similarity FROM (SELECT"
+       f" doc_id, max_sim, mean_sim, {words('text')} AS words FROM documents LEFT JOIN"
+       " similarity ON doc_id = vec_id)")
 def danger_scores(spark, sf_dir):
     keywords = v.keywords(spark, sf_dir)
     vector, text = F.col("embedding"), F.col("text")
@@ -577,11 +574,10 @@ def non_compliant_list(spark, sf_dir):
 
 
 @query("SELECT s.product_id, s.product_group, coalesce(f.title, '') AS title, compliant_flag,"
-       " non_compliant_flag FROM spot_checks s LEFT JOIN flagged f"
+       " non_compliant_flag FROM spot_checks s LEFT JOIN products f"
        " USING (product_id, product_group)")
 def spot_check_matches(spark, sf_dir):
-    products = v.products(spark, sf_dir).where(ru.known_groups()).select(
-        "product_id", "product_group", "title")
+    products = v.products(spark, sf_dir).select("product_id", "product_group", "title")
     df = de.match_spot_checks(products, v.spot_checks(spark, sf_dir))
     return df.select("product_id", "product_group", F.coalesce("title", F.lit("")).alias("title"),
                      "compliant_flag", "non_compliant_flag")

@@ -212,7 +212,7 @@ CTES: dict[str, str] = {
         " max(CASE WHEN s.kind = 'W' THEN coalesce(score, 0.0) END) AS wattage_score"
         " FROM (SELECT DISTINCT key, kind FROM specs) s LEFT JOIN kind_scores USING (key, kind)"
         " GROUP BY key"),
-    "flagged": (
+    "all_flagged": (
         "SELECT products.*, voltage_score, amperage_score, wattage_score,"
         " contains(text, 'adapter') AS adapter_flag,"
         " regexp_matches(text, 'industrial|commercial') AS industrial_flag,"
@@ -229,8 +229,8 @@ CTES: dict[str, str] = {
         r" nullif(regexp_extract(text, '(?i)\bIP([0-9X])([0-9])\b', 0), '') AS ip_rating,"
         " try_cast(ip_rating[3] AS BIGINT) AS ip_ingress,"
         " try_cast(ip_rating[4] AS BIGINT) AS ip_moisture, ip_moisture < 4 AS ip_incompliance"
-        " FROM products LEFT JOIN spec_scores USING (product_id)"
-        f" WHERE product_group IN ({_GROUPS})"),
+        " FROM products LEFT JOIN spec_scores USING (product_id)"),
+    "flagged": f"SELECT * FROM all_flagged WHERE product_group IN ({_GROUPS})",
     "keywords": "SELECT arg_min(embedding, vec_id)::DOUBLE[] AS k FROM embeddings GROUP BY label",
     "similarity": (
         "SELECT vec_id, max(list_cosine_similarity(embedding::DOUBLE[], k)) AS max_sim,"
