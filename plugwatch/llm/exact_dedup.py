@@ -69,9 +69,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           salts: int = SALTS) -> DataFrame:
     """The rows that stay, with the columns of ``df``. Of rows that repeat identity and text,
     one stays (any: a row's other columns come from one and the same row)."""
-    rows = _keyed(df, id_col, text_col, salts)
-    one = rows.groupBy("id", "digest").agg(F.any_value("row").alias("row"))
+    # As a struct, which is never null, the identity is one key of both the grouping and the join,
+    # so that the grouped rows aren't shuffled again to be joined.
+    key = F.struct("id").alias("key")
+    rows = _keyed(df, id_col, text_col, salts).select(key, "digest", "row")
+    one = rows.groupBy("key", "digest").agg(F.any_value("row").alias("row"))
     ends = winners(df, id_col, text_col, salts).select(
-        F.col("keep_id").alias("id"), "digest")
-    same = one["id"].eqNullSafe(ends["id"]) & (one["digest"] == ends["digest"])
-    return one.join(ends, same, "left_semi").select("row.*")
+        F.struct(F.col("keep_id").alias("id")).alias("key"), "digest")
+    return one.join(ends, ["key", "digest"], "left_semi").select("row.*")
