@@ -7,7 +7,8 @@ The reference is the corpus itself. Its windows are dealt out to shards by minim
 the hashes of the ``PART``-word runs inside a window. Equal windows have equal minimizers, so
 they meet in one shard, and neighbouring windows mostly share one, so that a shard gets a short
 record for a run of windows instead of one for each. A window is told by the 64 bits of its
-minimizer, the place of the minimizer in it, and 40 more bits over all its words.
+minimizer, the place of the minimizer in it, and a second hash of 64 bits over all its words, which
+tells the windows of one minimizer and place apart.
 
 Of windows that repeat within one batch of a task only the first goes to a shard: the others are
 settled at once. So a passage that fills a third of all documents reaches its shard
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 WINDOW, PART = 20, 8
 # Words that a task looks at before it passes its windows on; bounds its memory.
 BATCH_WORDS = 1_500_000
-REST = (1 << 40) - 1
 # Characters of the corpus for each shard: about 0.7 million windows, some 50 MB in a task.
 SHARD_CHARS = 4_000_000
 
@@ -66,8 +66,8 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def windows(hashes: np.ndarray, window: int = WINDOW, part: int = PART):
-    """For each window of the words: minimizer hash, where it lies in the window, and 40 bits
-    over all words."""
+    """For each window of the words: minimizer hash, where it lies in the window, and a second
+    hash over all words."""
     parts = _run_hashes(hashes, part, 1)
     n, wide = len(hashes) - window + 1, window - part + 1
     best, place = parts[:n].copy(), np.zeros(n, dtype=np.uint8)
@@ -83,18 +83,18 @@ def windows(hashes: np.ndarray, window: int = WINDOW, part: int = PART):
     for i in sorted({*range(0, window - part + 1, part), window - part}):
         rest = (rest ^ second[i:i + n]) * np.uint64(0xD6E8FEB86659FD93)
         rest ^= rest >> np.uint64(32)
-    return best, place, _mixed(rest) & np.uint64(REST)
+    return best, place, _mixed(rest)
 
 
 CELL = np.dtype([("min", "<u8"), ("row", "<i8"), ("id", "<i8"), ("start", "<i4"), ("n", "u1")])
 """A run of windows with one minimizer: the minimizer, the row, its identity (as order), the first
-window's start, and the number of windows; 5 bytes for each window follow, and a byte for the
+window's start, and the number of windows; 8 bytes for each window follow, and a byte for the
 place of the minimizer in the first one."""
 
 
 def _pack(best, place, rest, row, ident, start):
     """The windows, in order, as runs: cells, the first window's place of each, and the windows'
-    40 bits."""
+    second hashes."""
     anchor = start + place
     new = np.ones(len(best), dtype=bool)
     new[1:] = (np.diff(start) != 1) | (np.diff(anchor) != 0) | (row[1:] != row[:-1])
@@ -113,39 +113,35 @@ def _grouped(cells, places, rests, shards):
     ends = np.cumsum(cells["n"].astype(np.int64))
     begins = ends - cells["n"]
     cut = np.flatnonzero(np.diff(shard[order])) + 1
-    five = rests.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    rests = rests.astype("<u8")
     for group in np.split(order, cut):
         n = cells["n"][group].astype(np.int64)
         inside = np.repeat(begins[group] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         yield int(shard[group[0]]), b"".join((
             np.int64(len(group)).tobytes(), cells[group].tobytes(), places[group].tobytes(),
-            five[inside].tobytes()))
+            rests[inside].tobytes()))
 
 
 def _opened(blobs):
     """All windows of the blobs: min, place, rest, row, id, start."""
-    cells, places, fives = [], [], []
+    cells, places, rests = [], [], []
     for blob in blobs:
         n = int(np.frombuffer(blob, np.int64, 1)[0])
         at = 8 + n * CELL.itemsize
         cells.append(np.frombuffer(blob, CELL, n, 8))
         places.append(np.frombuffer(blob, np.uint8, n, at))
-        fives.append(np.frombuffer(blob, np.uint8, -1, at + n))
+        rests.append(np.frombuffer(blob, "<u8", -1, at + n))
     cells, places = np.concatenate(cells), np.concatenate(places)
-    fives = np.concatenate(fives).reshape(-1, 5)
-    rest = np.zeros((len(fives), 8), dtype=np.uint8)
-    rest[:, :5] = fives
     n = cells["n"].astype(np.int64)
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     wide = lambda x: np.repeat(x, n)
-    return (wide(cells["min"]), (wide(places) - inside).astype(np.uint8), rest.view("<u8")[:, 0],
+    return (wide(cells["min"]), (wide(places) - inside).astype(np.uint8), np.concatenate(rests),
             wide(cells["row"]), wide(cells["id"]), (wide(cells["start"]) + inside).astype(np.int64))
 
 
 def _later(best, place, rest, row, ident, start):
     """Which windows also start earlier, by identity, row and start."""
-    rest = (rest << np.uint64(8)) | place
-    key = best ^ _mixed(rest)
+    key = best ^ _mixed(rest + place)
     order = np.argsort(key)
     same = key[order][1:] == key[order][:-1]
     at = order[np.append(same, False) | np.append(False, same)]
@@ -153,9 +149,10 @@ def _later(best, place, rest, row, ident, start):
     if not len(at):
         return later
     # Only what shares its key is compared in full.
-    at = at[np.lexsort((start[at], row[at], ident[at], rest[at], best[at]))]
+    at = at[np.lexsort((start[at], row[at], ident[at], place[at], rest[at], best[at]))]
     new = np.ones(len(at), dtype=bool)
-    new[1:] = (best[at[1:]] != best[at[:-1]]) | (rest[at[1:]] != rest[at[:-1]])
+    new[1:] = ((best[at[1:]] != best[at[:-1]]) | (rest[at[1:]] != rest[at[:-1]])
+               | (place[at[1:]] != place[at[:-1]]))
     first = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
     later[at] = (start[at] != start[first]) | (row[at] != row[first]) | (ident[at] != ident[first])
     return later

@@ -188,3 +188,13 @@ def test_windows_share_minimizers():
     for x in (best, place, rest):
         assert (x[at] == x[100 + np.arange(81)]).all()
     assert len({*zip(best.tolist(), place.tolist(), rest.tolist())}) == len(best) - 81
+
+
+def test_windows_of_one_minimizer_are_told_by_64_bits():
+    words = np.random.default_rng(2).integers(0, 2**63, 500, dtype=np.uint64)
+    assert (sb.windows(words)[2] >> np.uint64(40)).any()
+    rest = np.array([1, 1 | 1 << 41, 1 | 1 << 63, 1], dtype=np.uint64)
+    best, place = np.full(4, 5, dtype=np.uint64), np.full(4, 3, dtype=np.uint8)
+    packed = sb._pack(best, place, rest, np.arange(4), np.arange(4), np.zeros(4, dtype=np.int64))
+    opened = sb._opened([blob for _, blob in sb._grouped(*packed, 1)])
+    assert sb._later(*opened).tolist() == [False, False, False, True]
