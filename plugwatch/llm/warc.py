@@ -24,8 +24,15 @@ SILENT = ("script", "style", "noscript", "template", "head")
 LINES = ("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form"
          " h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul").split()
 
-_SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<(%s)\b[^>]*>.*?(?:</\1\s*>|\Z)" % "|".join(SILENT),
-                   re.S | re.I)
+# A head is what may stand in one: it ends at its end tag, which may be left out, or before the
+# first thing that can't, such as <body>, another element or text.
+_COMMENT = r"<!--.*?(?:-->|\Z)"
+_SILENT = r"<(%s)\b[^>]*>.*?(?:</\%%d\s*>|\Z)" % "|".join(s for s in SILENT if s != "head")
+_HEAD = (r"<head(?=[\s/>])[^>]*>(?:\s++|" + _COMMENT + "|" + _SILENT % 2
+         + r"|<(title|noframes)\b[^>]*>[^<]*+(?:<(?!/?(?:\3|head|body)\b)[^<]*+)*+</\3\s*>"
+         r"|<(?:meta|link|base|basefont|bgsound|html)\b[^>]*>"
+         r"|</(?!(?:head|body|html|br)\b)[a-z][^>]*>)*+(?:</head\s*>)?")
+_SKIP = re.compile(_COMMENT + "|" + _SILENT % 1 + "|" + _HEAD, re.S | re.I)
 _LINE = re.compile(r"</?(?:%s)\b[^>]*>" % "|".join(LINES), re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
@@ -39,7 +46,8 @@ def plain_text(page: str) -> str:
     """The text of an HTML page: a line for each block, entities decoded, no blank lines.
 
     Comments and silent elements go; one that is never closed goes to the end of the page, as
-    in a browser. A "<" that begins no tag is text.
+    in a browser. A head ends, closed or not, before the first thing that can't stand in one. A
+    "<" that begins no tag is text.
     """
     page = _TAG.sub("", _LINE.sub("\n", _SKIP.sub(" ", page)))
     lines = (_BLANK.sub(" ", line).strip() for line in html.unescape(page).split("\n"))

@@ -214,6 +214,19 @@ def test_plain_text(page, text):
     assert warc.plain_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<!DOCTYPE html><html><head><title>T</title><body><p>Whole article text</p></body></html>",
+     "Whole article text"),
+    ("<HEAD><meta charset=x><link href=y>\n<p>a", "a"), ("<head><title>T</title>text", "text"),
+    ("<head><title>T</title><script>if (a < b) '<p>'</script><!-- <p> --><style>p</style><div>a</div>", "a"),
+    ("<head lang=en><title>a <b> c</title></p></head>x", "x"), ("<head><title>T<body><p>a", "T\na"),
+    ("<head><title>T</head><body><svg><title>U</title></svg><p>a", "TU\na"), ("<head/><p>a", "a"),
+    ("<head><title>T</title><head><meta x><p>a</p><head><title>U</title></head>b", "a\nb"), ("<head>", ""),
+])
+def test_head_without_an_end(page, text):
+    assert warc.plain_text(page) == text
+
+
 def test_warc_links_and_digests(spark):
     page = "<html lang='de'><title> A&amp;B </title><a href=\"/x\">1</a><a class=k href='/y'>2</a><p>Tag"
     rows = [(1, "http://a.example/", page), (2, None, None), (None, "http://b.example/", ""),
