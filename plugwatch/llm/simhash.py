@@ -124,6 +124,18 @@ def components(pairs: DataFrame) -> DataFrame:
     return roots.union(roots.select("root", "root")).distinct()
 
 
+def _rooted(df: DataFrame, id_col: str, text_col: str, shingle: int,
+            distance: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as (id, fp), stored, and the distinct fingerprints as (fp, first, root): the least
+    identity that has it, and the one that names its component."""
+    fps = stored(df.select(F.col(f"`{id_col}`").alias("id"),
+                           fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp")))
+    nodes = fps.groupBy("fp").agg(F.min("id").alias("first"))
+    grouped = components(links(nodes.select("fp"), distance))
+    return fps, nodes.join(grouped, nodes["fp"] == grouped["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per row of ``df``: (id, fingerprint, component_id).
@@ -133,12 +145,7 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other has a null one. Rows that repeat an identity are in the components of each of their texts.
     Other columns are not looked at; an empty table gives an empty one.
     """
-    fps = stored(df.select(F.col(f"`{id_col}`").alias("id"),
-                           fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp")))
-    nodes = fps.groupBy("fp").agg(F.min("id").alias("first"))
-    grouped = components(links(nodes.select("fp"), distance))
-    named = nodes.join(grouped, nodes["fp"] == grouped["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    fps, named = _rooted(df, id_col, text_col, shingle, distance)
     ends = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return (
         fps.join(named.select("fp", "root").join(ends, "root").select("fp", "component_id"), "fp")
@@ -148,12 +155,21 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``df`` of which one per group stays: the one with the smallest identity. Of rows
-    that repeat an identity one stays; rows without an identity stay as they are."""
-    ends = group(df, id_col, text_col, shingle, distance).select("component_id").filter(
-        F.col("component_id").isNotNull()).distinct()
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), packed(df).alias("row"))
-    kept = rows.filter("id is not null").join(
-        ends, F.col("id") == F.col("component_id"), "left_semi")
-    one = kept.groupBy("id").agg(F.any_value("row").alias("row"))
-    return one.select("row.*").unionByName(rows.filter("id is null").select("row.*"))
+    """One row of ``df`` per group: the one with the smallest identity, null ones last, and of
+    those the one with the smallest fingerprint. Rows alike in both are one text but for what the
+    fingerprint doesn't tell; any one of them stays. An identity that leads several groups, by
+    rows with different texts, stays once for each."""
+    _, named = _rooted(df, id_col, text_col, shingle, distance)
+    lead = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "fp"))
+    ends = named.groupBy("root").agg(lead.alias("lead")).select("lead.*")
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), packed(df).alias("row"),
+                     F.col(f"`{text_col}`").alias("text"))
+    told = lambda some: rows.filter(some).select(
+        "id", "row", fingerprint(F.col("text"), shingle).alias("fp"))
+    known = told("id is not null").join(
+        ends.filter("not none").select(F.col("first").alias("id"), "fp"), ["id", "fp"], "left_semi")
+    one = known.groupBy("id", "fp").agg(F.any_value("row").alias("row"))
+    # Rows without an identity are grouped first, as many may have one fingerprint.
+    lone = told("id is null").groupBy("fp").agg(F.any_value("row").alias("row")).join(
+        ends.filter("none").select("fp"), "fp", "left_semi")
+    return one.select("row.*").unionByName(lone.select("row.*"))

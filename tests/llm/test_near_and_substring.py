@@ -60,6 +60,19 @@ def test_group_odd(odd):
     assert sh.group(odd.limit(0)).count() == 0 and sh.near_dedup(odd.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(table):
+    rng = random.Random(3)
+    first, other, third = (" ".join(f"{c}{rng.randrange(400)}" for _ in range(300)) for c in "abc")
+    near = next(t for t in (first + f" w{i}" for i in range(500))
+                if 0 < (plain_simhash(t) ^ plain_simhash(first)).bit_count() <= 3)
+    rows = [(1, first), (5, near), (5, other), (5, third), (6, other), (None, "x y z"), (None, "X y z"),
+            (None, first), (None, third.upper())]
+    got = Counter(map(tuple, sh.near_dedup(table(rows).repartition(3)).collect()))
+    lone = [k for k in got if k[0] is None]
+    assert len(lone) == 1 and lone[0][1].lower() == "x y z"
+    assert got == Counter([(1, first), (5, other), (5, third), lone[0]])
+
+
 def test_group_documents(read):
     docs = read("documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
