@@ -7,6 +7,7 @@ Records of an unknown layout are kept and named, never guessed at. Only column e
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -21,13 +22,22 @@ START, SEP, END = "<|start|>", "<|sep|>", "<|end|>"
 ESCAPED = r"([<\[])(\\*)(\||/?s>|/?INST\])"
 UNESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\])"
 
+# A variant holds 128 MiB, and its parser takes strings of 20 million characters. No shorter record
+# meets these limits.
+LARGE = 20_000_000
+NAME_OR_VALUE = r'(?s)("(?:[^"\\]++|\\.)*+"\s*+:)|(")(?:[^"\\]++|\\.)*+(")'
+EQUAL = r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++"
+FIELD = re.compile(r"variant_get\(v, '\$\.([\w.]+)', '[^']*'\)")
+
 
 @dataclass(frozen=True)
 class Layout:
     """A mapping: the paths a record must and may have, and SQL for its turns.
 
     A path joins field names by "."; "[]" after a name stands for the items of an array.
-    ``turns`` is SQL over the variant ``v`` that gives ``array<struct<role, text>>``.
+    ``turns`` is SQL over the variant ``v`` that gives ``array<struct<role, text>>``. For a record
+    that no variant holds, its calls of the form ``variant_get(v, '$.path', 'type')`` are read
+    from the text instead.
     """
 
     name: str
@@ -75,7 +85,7 @@ LAYOUTS = (
         f" {_pair(_get('prompt'), _get('response'))})")),
 )
 
-def _expected(paths: tuple[str, ...]) -> str:
+def _expected(paths: tuple[str, ...], leaf: str = "") -> str:
     """The paths in the notation that Spark gives a variant's schema in, without leaf types."""
     tree: dict = {}
     for path in paths:
@@ -85,7 +95,7 @@ def _expected(paths: tuple[str, ...]) -> str:
 
     def show(node: dict) -> str:
         if not node:
-            return ""
+            return leaf
         if "[]" in node:
             return f"ARRAY<{show(node['[]'])}>"
         return "OBJECT<" + ", ".join(
@@ -104,6 +114,25 @@ def fingerprint(v: Column) -> Column:
     return F.xxhash64(field_paths(v))
 
 
+def bare(record: Column) -> Column:
+    """A record with empty strings as values, and equal neighbours in an array once: the same
+    field paths in little text."""
+    return F.regexp_replace(
+        F.regexp_replace(record, NAME_OR_VALUE, "$1$2$3"), EQUAL, "$1")
+
+
+def _from_text(layout: Layout, record_col: str) -> str:
+    """SQL for the turns of a record that no variant holds; null if it is no JSON."""
+    schema = _expected(layout.must + layout.may, "STRING").replace("OBJECT<", "STRUCT<")
+    schema = schema[:-1] + ", _corrupt_record: STRING>"
+    name = record_col.replace("`", "``")
+    read = f"from_json(`{name}`, '{schema}', map('maxStringLen', '{2**31 - 1}'))"
+    turns = FIELD.sub(lambda m: f"{read}.{m[1]}", layout.turns)
+    if re.search(r"\bv\b", turns):
+        turns = f"raise_error('the layout {layout.name} cannot read a record of this size')"
+    return f"if({read}._corrupt_record IS NULL, {turns}, NULL)"
+
+
 def canonical(df: DataFrame, record_col: str = "record",
               layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds ``turns`` and ``layout`` to the records.
@@ -111,24 +140,36 @@ def canonical(df: DataFrame, record_col: str = "record",
     A record that is null, is no JSON or has an unknown layout has null turns, and null, "broken"
     or "unknown" as layout. A null role or text becomes empty. Records without turns have an
     empty array. Columns of ``df`` named turns, layout or like the inner ones are replaced.
+
+    A record too large for a variant is told by its ``bare`` form, and its turns are read from the
+    text, where a number as text stays as it is written. If not even the bare form can be held,
+    that is an error.
     """
     known = [(layout, _expected(paths)) for layout in layouts for paths in layout.variants()]
     seen = [paths for _, paths in known]
     if len(set(seen)) < len(seen):
         raise ValueError("two layouts have the same paths")
-    rows = df.withColumn("v", F.try_parse_json(F.col(f"`{record_col}`"))).withColumn(
+    record = F.col(f"`{record_col}`")
+    rows = df.withColumn("v", F.try_parse_json(record)).withColumn(
+        "big", F.col("v").isNull() & (F.length(record) >= LARGE))
+    rows = rows.withColumn("bare", F.when(F.col("big"), bare(record))).withColumn(
+        "v", F.when(F.col("big"), F.try_parse_json("bare")).otherwise(F.col("v"))).withColumn(
         "print", fingerprint(F.col("v")))
-    name = F.when(F.col(f"`{record_col}`").isNull(), F.lit(None)).when(
-        F.col("v").isNull(), F.lit("broken"))
-    turns = F.when(F.col("v").isNull(), F.lit(None).cast(TURNS))
+    turns = F.when(F.col("v").isNull(), F.when(
+        F.length("bare") >= LARGE, F.raise_error(F.lit("a record is too large to be read"))
+        .cast(TURNS)))
+    name = F.when(record.isNull(), F.lit(None)).when(F.col("v").isNull(), F.lit("broken"))
     for layout, paths in known:
         here = F.col("print") == F.xxhash64(F.lit(paths))
-        name = name.when(here, F.lit(layout.name))
-        turns = turns.when(here, F.expr(layout.turns).cast(TURNS))
-    return rows.withColumn("layout", name.otherwise(F.lit("unknown"))).withColumn(
-        "turns", F.transform(turns, lambda t: F.struct(
+        turns = turns.when(here & F.col("big"), F.expr(_from_text(layout, record_col))
+                           .cast(TURNS)).when(here, F.expr(layout.turns).cast(TURNS))
+        name = name.when(here & F.col("big") & F.col("listed").isNull(), F.lit("broken")).when(
+            here, F.lit(layout.name))
+    return rows.withColumn("listed", turns).withColumn(
+        "layout", name.otherwise(F.lit("unknown"))).withColumn(
+        "turns", F.transform("listed", lambda t: F.struct(
             F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
-    ).drop("v", "print")
+    ).drop("v", "big", "bare", "print", "listed")
 
 
 def records(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",

@@ -83,6 +83,28 @@ def test_odd_records(spark):
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_records_beyond_the_limits_of_a_variant(spark):
+    n = chat.LARGE + 5
+    text = F.concat(F.lit('é"\\ {[</s>'), F.repeat(F.lit("x"), n))
+    rows = spark.createDataFrame([(1, 0, "user"), (1, 1, "assistant"), (2, 0, "user")],
+                                 "conv_id long, turn long, role string").withColumn(
+        "text", F.when(F.expr("conv_id = 1 AND turn = 1"), text).otherwise(F.lit("q")))
+    done = chat.format_chat(chat.records(rows))
+    got = {r.conv_id: r for r in done.select(
+        "conv_id", "layout", F.col("turns.role").alias("roles"), F.length("formatted").alias("n"),
+        F.sha2(chat.masked(F.col("formatted"), F.col("loss_spans")), 256).alias("loss")).collect()}
+    sha = hashlib.sha256(('é"\\ {[</s>' + "x" * n).encode()).hexdigest()
+    assert got[1][1:3] == ("messages", ["user", "assistant"]) and got[1].loss == sha
+    assert got[1].n == len(formatted([("user", "q"), ("assistant", 'é"\\ {[</s>')])[0]) + n
+    assert got[2].layout == "messages"
+    whole = F.concat(F.lit('{"prompt":"a b","response":"'), F.repeat(F.lit("y"), n), F.lit('"}'))
+    other = [whole, F.replace(whole, F.lit("a b"), F.lit("a\\qb")), F.replace(whole, F.lit("prompt"), F.lit("p"))]
+    df = spark.range(3).select("id", F.get(F.array(*other), F.col("id").cast("int")).alias("record"))
+    got = chat.format_chat(df).select("id", "layout", F.transform(
+        "turns", lambda t: F.length(t["text"])).alias("n")).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(0, "prompt", [3, n]), (1, "broken", None), (2, "unknown", None)]
+
+
 def test_records_ties_nulls_and_repeats(spark):
     rows = [(1, 1, "user", "b"), (1, 1, "user", "a"), (1, None, None, None), (1, 1, "user", "a"),
             (None, 0, "user", "x"), (2, 0, "assistant", "long " * 50_000)]
