@@ -90,44 +90,54 @@ def image_urls(df: DataFrame, max_images: int | None = None) -> DataFrame:
     return df.select("product_id", F.posexplode(urls).alias("position", "url"))
 
 
-def detect(images: DataFrame, make_detector: Callable[[], Callable[[bytes], list]]) -> DataFrame:
-    """Predictions of a caller's detector for ``path, content`` rows of a binary file scan.
+def detect_or_error(images: DataFrame,
+                    make_detector: Callable[[], Callable[[bytes], list]]) -> DataFrame:
+    """A row per image, ``product_id, path, predictions, error``, by a caller's detector for
+    ``path, content`` rows of a binary file scan.
 
     ``make_detector()`` runs once per task and returns a function from image bytes to
-    ``[(tag, probability), …]``. Images on which it fails are dropped.
+    ``[(tag, probability), …]``. Where it fails, ``predictions`` is null and ``error`` says why.
     """
     def run(batches):
         import pyarrow as pa
 
         detector = make_detector()
         for batch in batches:
-            paths, found = [], []
-            for path, content in zip(batch.column("path").to_pylist(),
-                                     batch.column("content").to_pylist()):
+            found, errors = [], []
+            for content in batch.column("content").to_pylist():
                 try:
                     tags = [{"tag": t, "probability": float(p)} for t, p in detector(content)]
-                except Exception:  # one bad image must not end the job
-                    continue
-                paths.append(path)
+                    error = None
+                except Exception as err:  # one bad image must not end the job
+                    tags, error = None, repr(err)
                 found.append(tags)
+                errors.append(error)
             yield pa.RecordBatch.from_pydict(
-                {"path": paths, "predictions": found},
+                {"path": batch.column("path"), "predictions": found, "error": errors},
                 schema=pa.schema([
                     ("path", pa.string()),
                     ("predictions", pa.list_(pa.struct(
                         [("tag", pa.string()), ("probability", pa.float64())]))),
+                    ("error", pa.string()),
                 ]),
             )
 
     scored = images.select("path", "content").mapInArrow(
-        run, f"path string, predictions {PREDICTION_DDL}")
+        run, f"path string, predictions {PREDICTION_DDL}, error string")
     pairs = sort_predictions(F.col("predictions"))
     return scored.select(
-        image_id(F.col("path")).alias("product_id"),
+        image_id(F.col("path")).alias("product_id"), "path",
         F.transform(pairs, lambda p: F.create_map(p["tag"], p["probability"])).alias("predictions"),
+        "error",
     )
 
 
+def detect(images: DataFrame, make_detector: Callable[[], Callable[[bytes], list]]) -> DataFrame:
+    """The predictions of :func:`detect_or_error`, without the images that failed."""
+    return detect_or_error(images, make_detector).where("error IS NULL").select(
+        "product_id", "predictions")
+
+
 def rgb_jpeg(content: bytes) -> bytes:
     """Image bytes as an RGB JPEG of quality 95, for detectors that need it. Uses Pillow."""
     try:

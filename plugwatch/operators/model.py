@@ -108,7 +108,8 @@ def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
           max_steps: int = 100, tolerance: float = 1e-8) -> TrainedModel:
     """Fit a logistic model with an L2 penalty of weight 1 on the sum of the losses.
 
-    The intercept is not penalised. The rows are stored first, as each step reads them.
+    The intercept is not penalised. The rows are stored first, as each step reads them. Training
+    that has not converged after ``max_steps`` is an error.
     """
     import numpy as np
 
@@ -141,8 +142,8 @@ def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
             curvature + np.diag(penalty), gradient + penalty * beta, rcond=None)[0]
         beta = beta + step
         if np.abs(step).max() < tolerance:
-            break
-    return at(beta)
+            return at(beta)
+    raise ValueError(f"training has not converged after {max_steps} steps")
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:

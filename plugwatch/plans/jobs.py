@@ -54,7 +54,8 @@ def process_reviews(spark: SparkSession, raw: str, out: str,
 
 def predict_images(spark: SparkSession, raw: str, out: str, make_detector: Callable,
                    marketplace: str | None = None, max_images: int | None = None) -> DataFrame:
-    """Image files to ``image_predictions``.
+    """Image files to ``image_predictions``, and those on which the detector fails, with the error,
+    to ``image_failures``.
 
     The images are chosen by path alone, so that the bytes of the others are not read into
     the choice.
@@ -63,7 +64,11 @@ def predict_images(spark: SparkSession, raw: str, out: str, make_detector: Calla
     if max_images:
         chosen = im.cap_images(images.select("product_id", "path"), max_images)
         images = images.join(chosen.select("path"), "path", "left_semi")
-    return _save(im.detect(images, make_detector), f"{out}/image_predictions")
+    told = stored(im.detect_or_error(images, make_detector))
+    _save(told.where("error IS NOT NULL").select("product_id", "path", "error"),
+          f"{out}/image_failures")
+    return _save(told.where("error IS NULL").select("product_id", "predictions"),
+                 f"{out}/image_predictions")
 
 
 def build_model(spark: SparkSession, out: str, spot_checks: str, label_prefix: str = "",

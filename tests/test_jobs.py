@@ -83,3 +83,21 @@ def test_all_jobs(spark, raw):
     assert sorted(r.product_group for r in summary.collect()) == ["Group A", "Group B", "TOTAL"]
     listed = spark.read.csv(f"{out}/reports/non_compliant_list", header=True, escape='"')
     assert json.loads(listed.first().voltage_info).keys() <= {"input", "unspecified"}
+
+
+def test_images_that_fail_are_kept(spark, raw):
+    def make():
+        def detect(content):
+            if len(content) == 2:
+                raise ValueError("broken")
+            return [("x", 0.5)]
+        return detect
+
+    out = str(raw / "o3")
+    found = jobs.predict_images(spark, str(raw / "raw"), out, make)
+    failed = spark.read.parquet(f"{out}/image_failures").collect()
+    images = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.jpg").load(str(raw / "raw")).select("length", "path").collect()
+    assert {r.path for r in failed} == {r.path for r in images if r.length == 2} != set()
+    assert {r.error for r in failed} == {"ValueError('broken')"}
+    assert found.count() + len(failed) == len(images)

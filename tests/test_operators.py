@@ -550,3 +550,10 @@ def test_path_columns(spark):
     got = [tuple(r) for r in df.select(at.group_from_path(F.col("p")),
                                        at.marketplace_from_path(F.col("p"))).collect()]
     assert got == [("group  b", "x"), (None, None)]
+
+
+def test_training_that_has_not_converged_is_an_error(spark):
+    df = spark.createDataFrame([(0.1, 1, 0), (0.9, 0, 1), (0.5, 1, 0)], "a double, no int, yes int")
+    assert mo.train(df, ["a"], ["no", "yes"]).classes == ["no", "yes"]
+    with pytest.raises(ValueError, match="converged"):
+        mo.train(df, ["a"], ["no", "yes"], max_steps=1)
