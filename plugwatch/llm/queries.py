@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugwatch.llm import chat, decontaminate, exact_dedup, language, mixing, secrets, simhash
-from plugwatch.llm import substring, toxicity, warc
+from plugwatch.llm import alignment, chat, decontaminate, exact_dedup, language, mixing, resampling
+from plugwatch.llm import secrets, simhash, substring, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MIX_POWER, MIX_SEED = 0.5, 20240501
 WARC_DATE = "2024-01-01T00:00:00Z"
+TOKENIZERS = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -101,9 +102,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str,
+                         tokenizers: tuple[str, str] = TOKENIZERS) -> DataFrame:
+    files = alignment.vocabularies(*tokenizers)
+    return alignment.align(_read(spark, sf_dir, "documents"), files)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.remove_repeats(_read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_source_mixing, op3_decontamination, op4_exact_dedup, op5_secret_scan,
-    op6_chat_format, op7_toxicity, op8_simhash_dedup, op9_warc_derivatives, op10_substring_dedup)}
+    op6_chat_format, op7_toxicity, op8_simhash_dedup, op9_warc_derivatives, op10_substring_dedup,
+    op11_importance_resampling, op12_token_alignment, op13_suffix_dedup)}
 
 _MIX = f"""
 WITH sizes AS (
@@ -226,7 +245,77 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+# CRC-32 by bytes, from the table of the reversed polynomial.
+_RESAMPLE = f"""
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(0, 256) t(i)
+  UNION ALL SELECT byte, xor(c >> 1, 3988292384 * (c & 1)), k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY byte) AS tab FROM steps WHERE k = 8),
+texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), text FROM benchmark),
+words AS (
+  SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM words GROUP BY word),
+hashed AS (
+  SELECT word, xor(4294967295::BIGINT, list_reduce(
+    [4294967295::BIGINT] || list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % {resampling.BUCKETS} AS bucket
+  FROM hexed, crc),
+counted AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+  FROM words JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT sum(s)::BIGINT AS all_s, sum(t)::BIGINT AS all_t FROM counted),
+worth AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + {resampling.BUCKETS}))::DOUBLE
+    / ((s + 1) * (all_t + {resampling.BUCKETS}))::DOUBLE))::BIGINT AS gain FROM counted, totals),
+weights AS (
+  SELECT id AS doc_id, count(*) AS n_features, sum(gain)::BIGINT AS total
+  FROM words JOIN hashed USING (word) JOIN worth USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features,
+    coalesce((total - (total % n_features + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8))::BIGINT AS h
+  FROM documents LEFT JOIN weights USING (doc_id)),
+told AS (
+  SELECT doc_id, n_features, weight,
+    weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM scored),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+  FROM told WHERE n_features >= {resampling.LEAST_WORDS}
+  QUALIFY rank <= {resampling.PERCENT} * count(*) OVER () // 100)
+SELECT told.*, rank FROM told LEFT JOIN drawn USING (doc_id)
+"""
+
+_SUFFIXES = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+runs AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * suffixes.LENGTH})) AS said
+  FROM d, unnest(range(0, greatest(length(h) // 2 - {suffixes.LENGTH - 1}, 0))) t(i)),
+again AS (SELECT doc_id, i FROM runs QUALIFY count(*) OVER (PARTITION BY said) > 1),
+cut AS (
+  SELECT *, coalesce(i > lag(i) OVER w + {suffixes.LENGTH}, true)::INT AS new
+  FROM again WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM cut),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + {suffixes.LENGTH} AS b FROM numbered GROUP BY doc_id, span),
+edges AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM spans),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed,
+    string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1)
+      AS said
+  FROM edges JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(said, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": _MIX, "op4_exact_dedup": _EXACT, "op5_secret_scan": _secrets_sql(),
     "op6_chat_format": _CHAT, "op10_substring_dedup": _SUBSTRING,
+    "op11_importance_resampling": _RESAMPLE, "op13_suffix_dedup": _SUFFIXES,
 }
