@@ -170,16 +170,19 @@ def with_feedback_scores(
     """Add ``review_text``, ``negativity_score`` and ``danger_score``.
 
     Without the feedback column the text is empty and both scores are 0. ``danger_of`` maps
-    the text column to the danger score, for example by :func:`embed` and :func:`danger`.
+    the text column to the danger score, for example by :func:`embed` and :func:`danger`; where there
+    is text it must be given.
     """
     if feedback_col not in df.columns:
         return df.withColumns({"review_text": F.lit(""), "negativity_score": F.lit(0.0),
                                "danger_score": F.lit(0.0)})
+    if danger_of is None:
+        raise ValueError("danger is a feature of the model: give danger_of")
     out = df.withColumn("review_text", F.coalesce(F.col(feedback_col).cast("string"), F.lit("")))
     text = F.col("review_text")
     return out.withColumns({
         "negativity_score": negativity_of(text),
-        "danger_score": danger_of(text) if danger_of else F.lit(0.0),
+        "danger_score": danger_of(text),
     })
 
 

@@ -1070,20 +1070,51 @@ def path_columns(spark, sf_dir):
 
 
 def _raw_layout(spark, sf_dir) -> str:
-    """Raw products and reviews in the partitioned layout."""
+    """Raw products and reviews in the partitioned layout, side by side in one folder each."""
     root = work_dir(spark)
     where = {"date": F.lit("2024-01-01"), "productgroup": F.col("product_group")}
     products = v.products(spark, sf_dir).withColumns(where)
     fi.write_partitioned(
         products.select("product_id", "title", "text", "url", "seller_id", "query", "category",
                         "manufacturer", "date", "productgroup", "marketplace"),
-        f"{root}/products")
+        root, kind="products")
     texts = v.reviews(spark, sf_dir).withColumns(
         {"date": F.lit("2024-01-01"), "productgroup": F.lit("Group A")})
     fi.write_partitioned(
         texts.select("product_id", F.array(F.struct("content")).alias("reviews"), "date",
                      "productgroup", "marketplace"),
-        f"{root}/reviews")
+        root, kind="reviews")
+    return root
+
+
+# Which records of the raw arrays lack their last bracket.
+_CUT_PRODUCT, _CUT_REVIEW = "p_partkey % 97 = 5", "doc_id % 89 = 3"
+
+
+def _raw_arrays(spark, sf_dir) -> str:
+    """Products and reviews as JSON arrays side by side, some records cut off, and one file of each
+    marketplace whose array is empty."""
+    root = work_dir(spark)
+    cut = lambda record, some: F.expr(
+        f"CASE WHEN {some} THEN left({record}, length({record}) - 1) ELSE {record} END")
+    part, docs = (v.table(spark, sf_dir, t) for t in ("part", "documents"))
+    fields = ["product_id", "title", "url", "query", "category", "text"]
+    products = part.selectExpr(
+        "p_partkey", *[f"{v.PRODUCTS[k]} AS {k}" for k in [*fields, "marketplace", "product_group"]]
+    ).withColumn("json", F.to_json(F.struct(*fields))).select(
+        cut("json", _CUT_PRODUCT).alias("record"), F.lit("2024-01-01").alias("date"),
+        F.col("product_group").alias("productgroup"), "marketplace")
+    none = products.select(F.lit("").alias("record"), F.lit("2024-01-02").alias("date"),
+                           "productgroup", "marketplace").distinct().where("productgroup = 'Group A'")
+    fi.write_arrays(products, root, "products", 500)
+    fi.write_arrays(none, root, "products")
+    rows = docs.selectExpr("doc_id", *[f"{v.REVIEWS[k]} AS {k}" for k in (
+        "product_id", "marketplace", "content")])
+    reviews = rows.withColumn("json", F.to_json(F.struct(
+        "product_id", F.array(F.struct("content", F.lit(3).alias("rating"))).alias("reviews")))).select(
+        cut("json", _CUT_REVIEW).alias("record"), F.lit("2024-01-01").alias("date"),
+        F.lit("Group A").alias("productgroup"), "marketplace")
+    fi.write_arrays(reviews, root, "reviews", 100)
     return root
 
 
@@ -1093,7 +1124,7 @@ def scan_raw_products(spark, sf_dir):
     """One marketplace's folders of the raw layout; the others are not read."""
     from plugwatch.schemas import RAW_PRODUCT
 
-    df = fi.read_partitioned(spark, f"{_raw_layout(spark, sf_dir)}/products", RAW_PRODUCT)
+    df = fi.read_partitioned(spark, _raw_layout(spark, sf_dir), RAW_PRODUCT, "product")
     return df.where("marketplace = 'mk_b'").select(
         "product_id", F.col("productgroup").alias("product_group"), "marketplace", "title")
 
@@ -1102,11 +1133,45 @@ def scan_raw_products(spark, sf_dir):
 def scan_raw_reviews(spark, sf_dir):
     from plugwatch.schemas import RAW_REVIEW
 
-    df = fi.read_partitioned(spark, f"{_raw_layout(spark, sf_dir)}/reviews", RAW_REVIEW)
+    df = fi.read_partitioned(spark, _raw_layout(spark, sf_dir), RAW_REVIEW, "review")
     rows = df.select("product_id", "marketplace", F.explode("reviews").alias("r"))
     return rows.select("product_id", "marketplace", F.md5("r.content").alias("digest"))
 
 
+@query(f"SELECT {v.PRODUCTS['product_id']} AS product_id, {v.PRODUCTS['product_group']} AS"
+       f" product_group, {v.PRODUCTS['marketplace']} AS marketplace, md5({v.PRODUCTS['text']}) AS"
+       f" digest FROM part WHERE NOT {_CUT_PRODUCT}")
+def scan_products(spark, sf_dir):
+    """The good records of arrays in which some are broken, by the reader of the jobs."""
+    rows, _ = fi.split_broken(fi.read_raw_products(spark, _raw_arrays(spark, sf_dir)))
+    return rows.select("product_id", "product_group", "marketplace", F.md5("text").alias("digest"))
+
+
+@query(f"SELECT {v.REVIEWS['product_id']} AS product_id, {v.REVIEWS['marketplace']} AS marketplace,"
+       f" md5(text) AS digest, 3 AS rating FROM documents WHERE NOT {_CUT_REVIEW}")
+def scan_reviews(spark, sf_dir):
+    rows, _ = fi.split_broken(fi.read_raw_reviews(spark, _raw_arrays(spark, sf_dir)))
+    return rows.select("product_id", "marketplace", F.md5("content").alias("digest"), "rating")
+
+
+@query(f"SELECT 'product' AS kind, 'broken' AS reason, {v.PRODUCTS['product_id']} AS product_id FROM"
+       f" part WHERE {_CUT_PRODUCT} UNION ALL SELECT 'review', 'broken', {v.REVIEWS['product_id']} FROM"
+       f" documents WHERE {_CUT_REVIEW} UNION ALL SELECT DISTINCT 'product', 'nothing read',"
+       f" {v.PRODUCTS['marketplace']} FROM part WHERE {v.PRODUCTS['product_group']} = 'Group A'")
+def scan_broken(spark, sf_dir):
+    """What the raw files hold but can't be read, each record and each file with its reason."""
+    root = _raw_arrays(spark, sf_dir)
+    products, reviews = fi.read_raw_products(spark, root), fi.read_review_records(spark, root)
+    ident = F.regexp_extract(fi.CORRUPT, '"product_id":"([^"]*)"', 1).alias("product_id")
+    broken = [fi.split_broken(rows)[1].select(F.lit(kind).alias("kind"), F.col(fi.REASON).alias("reason"), ident)
+              for kind, rows in (("product", products), ("review", reviews))]
+    unread = [fi.unread_files(spark, root, kind, rows).select(
+        F.lit(kind).alias("kind"), F.col(fi.REASON).alias("reason"),
+        F.regexp_extract(fi.FILE, "marketplace=([^/]+)", 1).alias("product_id"))
+        for kind, rows in (("product", products), ("review", reviews))]
+    return broken[0].unionByName(broken[1]).unionByName(unread[0]).unionByName(unread[1])
+
+
 @query("SELECT product_id, marketplace, product_group, text, query, category FROM products")
 def adapter_union(spark, sf_dir):
     """Standard products of three marketplaces by their adapters."""

@@ -22,33 +22,36 @@ from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
 
 
-def _save(df: DataFrame, path: str) -> DataFrame:
-    return stored(df, path)
-
-
 def process_products(spark: SparkSession, raw: str, out: str, adapters: Mapping[str, ad.Adapter],
                      pairs: DataFrame | None = None, recalls: RecallLists = NO_RECALLS,
                      for_model: bool = False, multi_line: bool = True) -> DataFrame:
-    """Raw product files to ``products``, and the sellers to ``sellers``."""
-    read = ad.read_marketplace(spark, raw, multi_line=multi_line)
-    products, sellers = ad.standardise(read, adapters, for_model)
-    _save(sellers, f"{out}/sellers")
-    return _save(flows.clean_products(products, pairs, recalls), f"{out}/products")
+    """Raw product files to ``products``, the sellers to ``sellers``, broken records to
+    ``broken_products``, and the files that gave nothing to ``unread_products``. The files are read
+    once, whatever the number of marketplaces."""
+    rows = stored(fi.read_raw_products(spark, raw, multi_line=multi_line))
+    stored(fi.split_broken(rows)[1], f"{out}/broken_products")
+    stored(fi.unread_files(spark, raw, "product", rows), f"{out}/unread_products")
+    products, sellers = ad.standardise(ad.from_rows(rows), adapters, for_model)
+    stored(sellers, f"{out}/sellers")
+    return stored(flows.clean_products(products, pairs, recalls), f"{out}/products")
 
 
 def process_reviews(spark: SparkSession, raw: str, out: str,
-                    adapters: Mapping[str, ad.Adapter] | None = None,
+                    adapters: Mapping[str, ad.Adapter] | None = None, *,
+                    danger_of: Callable[[Column], Column],
                     negativity_of: Callable[[Column], Column] = negativity,
-                    danger_of: Callable[[Column], Column] | None = None,
                     multi_line: bool = True) -> DataFrame:
-    """Raw review files to ``reviews``, their sums to ``review_scores``, and broken records to
-    ``broken_reviews``."""
-    rows, broken = fi.split_broken(fi.read_raw_reviews(
+    """Raw review files to ``reviews``, their sums to ``review_scores``, broken records to
+    ``broken_reviews``, and the files that gave nothing to ``unread_reviews``. ``danger_of`` must be
+    given, as danger is a feature of the model."""
+    records = stored(fi.read_review_records(
         spark, raw, ad.legacy_ids(adapters or {}), multi_line=multi_line))
-    _save(broken, f"{out}/broken_reviews")
+    rows, broken = fi.split_broken(fi.each_review(records))
+    stored(broken, f"{out}/broken_reviews")
+    stored(fi.unread_files(spark, raw, "review", records), f"{out}/unread_reviews")
     cleaned, _ = flows.clean_reviews(with_feedback_scores(rows, negativity_of, danger_of))
-    reviews = _save(cleaned, f"{out}/reviews")
-    _save(review_scores(reviews), f"{out}/review_scores")
+    reviews = stored(cleaned, f"{out}/reviews")
+    stored(review_scores(reviews), f"{out}/review_scores")
     return reviews
 
 
@@ -65,9 +68,9 @@ def predict_images(spark: SparkSession, raw: str, out: str, make_detector: Calla
         chosen = im.cap_images(images.select("product_id", "path"), max_images)
         images = images.join(chosen.select("path"), "path", "left_semi")
     told = stored(im.detect_or_error(images, make_detector))
-    _save(told.where("error IS NOT NULL").select("product_id", "path", "error"),
+    stored(told.where("error IS NOT NULL").select("product_id", "path", "error"),
           f"{out}/image_failures")
-    return _save(told.where("error IS NULL").select("product_id", "predictions"),
+    return stored(told.where("error IS NULL").select("product_id", "predictions"),
                  f"{out}/image_predictions")
 
 
@@ -90,7 +93,7 @@ def build_model(spark: SparkSession, out: str, spot_checks: str, label_prefix: s
     fi.write_csv(model.coefficient_table(spark), f"{out}/model/coefficients")
     fi.write_csv(metrics, f"{out}/model/metrics")
     fi.write_csv(wrong, f"{out}/model/misclassified")
-    _save(source, f"{out}/model/source")
+    stored(source, f"{out}/model/source")
     return model
 
 
@@ -109,12 +112,12 @@ def predict(spark: SparkSession, out: str, fill_missing: float | None = None) ->
     """Products, image predictions and review scores to ``decisions``."""
     predictions = spark.read.schema(schemas.IMAGE_PREDICTIONS).parquet(
         f"{out}/image_predictions")
-    flags = _save(flows.image_flags(predictions), f"{out}/image_flags")
+    flags = stored(flows.image_flags(predictions), f"{out}/image_flags")
     merged = flows.evidence(
         spark.read.parquet(f"{out}/products"), flags,
         spark.read.schema(schemas.REVIEW_SCORES).parquet(f"{out}/review_scores"))
     weights, intercept = load_coefficients(spark, f"{out}/model/coefficients")
-    return _save(flows.decisions(merged, weights, intercept, fill_missing), f"{out}/decisions")
+    return stored(flows.decisions(merged, weights, intercept, fill_missing), f"{out}/decisions")
 
 
 def summarise(spark: SparkSession, out: str) -> None:

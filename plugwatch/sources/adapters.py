@@ -67,7 +67,15 @@ def legacy_ids(adapters: Mapping[str, Adapter]) -> tuple[str, ...]:
 
 
 def read_marketplace(spark: SparkSession, root: str, **options) -> Callable[[str], DataFrame]:
-    """Reader for :func:`standardise` over the raw product files below ``root``."""
+    """Reader for :func:`standardise` over the raw product files below ``root``: good records only.
+    Use :func:`from_rows` to keep the broken ones too, and to read the files once."""
     from plugwatch.sources.files import read_raw_products, split_broken
 
     return lambda name: split_broken(read_raw_products(spark, root, name, **options))[0]
+
+
+def from_rows(rows: DataFrame) -> Callable[[str], DataFrame]:
+    """Reader for :func:`standardise` over rows of ``read_raw_products``, broken ones left out."""
+    from plugwatch.sources.files import of_marketplace, split_broken
+
+    return lambda name: split_broken(of_marketplace(rows, name))[0]

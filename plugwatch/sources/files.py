@@ -11,8 +11,11 @@ from plugwatch.operators.attribution import (
     group_from_path, id_or_legacy, marketplace_from_path,
 )
 from plugwatch.operators.images import parse_predictions
+from plugwatch.sources.tolerant import split_parts
 
 CORRUPT = "_corrupt_record"
+# Where a record that can't be read stands, and why it can't.
+FILE, POSITION, REASON = "_file", "_position", "_reason"
 
 
 def _any_case(word: str) -> str:
@@ -40,40 +43,79 @@ def _typed(value: Column, kind: T.DataType) -> Column:
     return value.try_cast(kind)
 
 
+def _named(kind: str) -> str:
+    """The pattern of ``*.json`` file names with ``kind`` in them, in any case."""
+    return f"*{_any_case(kind)}*.json"
+
+
 def _json_files(spark: SparkSession, root: str, kind: str, schema: str, multi_line: bool,
                 nested_dirs: bool) -> DataFrame:
     """``*.json`` files below ``root`` with ``kind`` in their name, in any case.
 
-    Broken records come back with only ``_corrupt_record`` set; unreadable files are skipped.
+    A file that Spark can't read as a whole is cut into its records (``sources.tolerant``), and only
+    the broken ones come back with ``_corrupt_record`` set, their file, position and reason.
     Values are read as text and cast afterwards, so that one of a wrong type is null and does not
-    break its file.
+    break its record. Files that can't be opened are skipped here: see :func:`unread_files`.
     """
     wanted = T.StructType.fromDDL(schema)
+    plain = _as_text(wanted)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     reader = (
-        spark.read.schema(_as_text(wanted).add(CORRUPT, T.StringType()))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line)
-        .option("ignoreCorruptFiles", True)
-        .option("pathGlobFilter", f"*{_any_case(kind)}*.json")
+        spark.read.schema(T.StructType([*plain.fields, T.StructField(CORRUPT, T.StringType())]))
+        .options(**options).option("multiLine", multi_line).option("ignoreCorruptFiles", True)
+        .option("pathGlobFilter", _named(kind))
     )
     if nested_dirs:
         reader = reader.option("recursiveFileLookup", True)
+    names = [f.name for f in wanted.fields]
+    broken = F.col(CORRUPT)
+    # Spark refuses to read the column of broken records alone, so another one is looked at.
+    some = F.when(broken.isNotNull() | F.col(f"`{names[0]}`").isNotNull(), broken)
+    rows = reader.json(root).withColumn(FILE, F.col("_metadata.file_path")).withColumn(
+        "_part", F.explode_outer(split_parts(some, names)))
+    part = F.col("_part")
+    again = F.from_json(part["record"], T.StructType(
+        [*plain.fields, T.StructField(CORRUPT, T.StringType())]), options)
+    rows = rows.withColumn("_again", F.when(part["record"].isNotNull() & part["reason"].isNull(), again))
+    whole = broken.isNull()
+    read = whole | (F.col("_again").isNotNull() & F.col(f"_again.{CORRUPT}").isNull())
+    told = F.coalesce(part["reason"], F.when(part.isNull(), "empty").otherwise("broken"))
+    rows = rows.select(
+        *[F.when(whole, F.col(f"`{n}`")).when(read, F.col("_again")[n]).alias(n) for n in names],
+        F.when(~read, F.coalesce(part["record"], broken)).alias(CORRUPT), FILE,
+        F.when(~read, F.coalesce(part["position"], F.lit(0))).alias(POSITION),
+        F.when(~read, told).alias(REASON))
     typed = {f.name: _typed(F.col(f"`{f.name}`"), f.dataType) for f in wanted.fields
              if f.dataType != _as_text(f.dataType)}
-    return reader.json(root).withColumns(typed)
+    return rows.withColumns(typed)
 
 
 def _folder() -> Column:
     """The folder of the row's file. Spark encodes all but "+", which decoding would take for a
     blank."""
-    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    path = F.replace(F.col(FILE), F.lit("+"), F.lit("%2B"))
     return F.regexp_replace(F.url_decode(path), "/[^/]*$", "")
 
 
 def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the rows of broken records for quarantine."""
+    """Good rows, and the rows of broken records for quarantine: ``_file``, ``_position`` (in
+    characters), ``_reason`` and the record's text."""
     broken = F.col(CORRUPT).isNotNull()
-    return df.where(~broken).drop(CORRUPT), df.where(broken)
+    return (df.where(~broken).drop(CORRUPT, FILE, POSITION, REASON),
+            df.where(broken).select(FILE, POSITION, REASON, CORRUPT))
+
+
+def unread_files(spark: SparkSession, root: str, kind: str, rows: DataFrame) -> DataFrame:
+    """The files of a kind that gave ``rows`` neither a row nor a broken record: ``_file``,
+    ``length`` and ``_reason``, ``empty`` or, where there are bytes, ``nothing read``: the file
+    can't be opened, or holds an empty list. Only names and sizes are listed."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", _named(kind)).load(root)
+        .select(F.col("_metadata.file_path").alias(FILE), "length")
+    )
+    return listed.join(rows.select(FILE).distinct(), FILE, "left_anti").withColumn(
+        REASON, F.when(F.col("length") == 0, "empty").otherwise("nothing read"))
 
 
 def read_raw_products(spark: SparkSession, root: str, marketplace: str | None = None,
@@ -82,7 +124,7 @@ def read_raw_products(spark: SparkSession, root: str, marketplace: str | None =
 
     Adds ``product_group`` and ``marketplace`` from the path. ``marketplace`` keeps the files
     whose folder names it. Files that hold one JSON array are read whole (``multi_line``);
-    JSON lines are split into tasks.
+    JSON lines are split into tasks. Broken records: see :func:`split_broken`.
     """
     df = _json_files(spark, root, "product", schema, multi_line, nested_dirs=True)
     folder = _folder()
@@ -92,35 +134,86 @@ def read_raw_products(spark: SparkSession, root: str, marketplace: str | None =
         "product_group": group_from_path(folder), "marketplace": marketplace_from_path(folder)})
 
 
-def read_raw_reviews(spark: SparkSession, root: str, legacy_ids: tuple[str, ...] = (),
-                     schema: str = schemas.RAW_REVIEW, multi_line: bool = True) -> DataFrame:
-    """One row per raw review, with the product id (or the first legacy id that is set) and
-    the marketplace of its folder, and one row per broken record: see :func:`split_broken`."""
+def of_marketplace(rows: DataFrame, marketplace: str) -> DataFrame:
+    """The rows of :func:`read_raw_products` whose folder names the marketplace."""
+    return rows.where(_folder().contains(marketplace))
+
+
+def read_review_records(spark: SparkSession, root: str, legacy_ids: tuple[str, ...] = (),
+                        schema: str = schemas.RAW_REVIEW, multi_line: bool = True) -> DataFrame:
+    """One row per record of the raw review files: the product id (or the first legacy id that is
+    set), the marketplace of its folder and the nested reviews. Broken records: see
+    :func:`split_broken`."""
     schema = ", ".join([schema, *[f"{c} string" for c in legacy_ids]])
     df = _json_files(spark, root, "review", schema, multi_line, nested_dirs=True)
-    folder = _folder()
-    none = F.array(F.lit(None).cast(df.schema["reviews"].dataType.elementType))
-    reviews = F.when(F.col(CORRUPT).isNotNull(), none).otherwise(F.col("reviews"))
     return df.select(
         id_or_legacy("product_id", *legacy_ids).alias("product_id"),
-        marketplace_from_path(folder).alias("marketplace"),
-        F.explode(reviews).alias("_review"), CORRUPT,
-    ).select("product_id", "marketplace", "_review.*", CORRUPT)
+        marketplace_from_path(_folder()).alias("marketplace"), "reviews",
+        CORRUPT, FILE, POSITION, REASON)
 
 
-def read_partitioned(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """JSON lines as :func:`write_partitioned` leaves them. Filters on ``date``,
-    ``productgroup`` and ``marketplace`` skip whole folders."""
-    return spark.read.schema(
-        f"{schema}, date string, productgroup string, marketplace string").json(root)
+def each_review(records: DataFrame) -> DataFrame:
+    """One row per review, and one per broken record."""
+    none = F.array(F.lit(None).cast(records.schema["reviews"].dataType.elementType))
+    reviews = F.when(F.col(CORRUPT).isNotNull(), none).otherwise(F.col("reviews"))
+    return records.withColumn("_review", F.explode(reviews)).select(
+        "product_id", "marketplace", "_review.*", CORRUPT, FILE, POSITION, REASON)
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
+def read_raw_reviews(spark: SparkSession, root: str, legacy_ids: tuple[str, ...] = (),
+                     schema: str = schemas.RAW_REVIEW, multi_line: bool = True) -> DataFrame:
+    """The reviews of :func:`read_review_records`, one a row."""
+    return each_review(read_review_records(spark, root, legacy_ids, schema, multi_line))
+
+
+def read_partitioned(spark: SparkSession, root: str, schema: str, kind: str = "") -> DataFrame:
+    """JSON lines as :func:`write_partitioned` leaves them, of the files with ``kind`` in their
+    name. Filters on ``date``, ``productgroup`` and ``marketplace`` skip whole folders."""
+    return spark.read.schema(
+        f"{schema}, date string, productgroup string, marketplace string"
+    ).option("pathGlobFilter", _named(kind)).json(root)
+
+
+def _renamed(spark: SparkSession, root: str, kind: str) -> None:
+    """Gives Spark's files below ``root`` names that start with ``kind`` and end in ``.json``, as
+    the writer can't."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, old = fs.listFiles(top, True), []
+    while found.hasNext():
+        path = found.next().getPath()
+        if path.getName().startswith("part-"):
+            old.append(path)
+    for path in old:
+        stem = path.getName().rsplit(".", 1)[0]
+        if not fs.rename(path, hadoop.Path(path.getParent(), f"{kind}-{stem}.json")):
+            raise OSError(f"can't rename {path.toString()}")
+
+
+def write_partitioned(df: DataFrame, path: str, mode: str = "append", kind: str = "") -> None:
     """Raw layout ``date=/productgroup=/marketplace=`` as JSON lines, which Spark can split.
 
-    Each task writes its own file per folder, so a large folder is not one task's work.
+    Each task writes its own file per folder, so a large folder is not one task's work. ``kind``
+    starts the names of the new files, so that products and reviews can lie in one folder.
     """
     df.write.mode(mode).partitionBy("date", "productgroup", "marketplace").json(path)
+    if kind:
+        _renamed(df.sparkSession, path, kind)
+
+
+def write_arrays(records: DataFrame, path: str, kind: str, file_rows: int = 10_000) -> None:
+    """Raw layout with JSON arrays: rows of ``record`` (the JSON text of one record) and the folder
+    columns, dealt by the hash of the record to files of some ``file_rows`` each."""
+    folders = ["date", "productgroup", "marketplace"]
+    files = 1 + records.count() // file_rows
+    # Of a size that is a parameter, so the array of one file fits a task.
+    arrays = records.groupBy(*folders, F.pmod(F.xxhash64("record"), F.lit(files))).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("record")), ",\n"),
+                 F.lit("\n]")).alias("value"))
+    arrays.select("value", *folders).write.mode("append").option("maxRecordsPerFile", 1).option(
+        "lineSep", "\n").partitionBy(*folders).text(path)
+    _renamed(records.sparkSession, path, kind)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

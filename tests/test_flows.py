@@ -53,9 +53,18 @@ def test_new_files_are_scored_once(spark, sf_dir, tmp_path):
         assert query.exception() is None
         return spark.read.parquet(out)
 
-    fi.write_partitioned(products.where(half).select(*columns), root)
+    fi.write_partitioned(products.where(half).select(*columns), root, kind="products")
+    # Reviews beside the products are not taken for products, and broken lines are kept.
+    fi.write_partitioned(products.limit(3).select(*columns), root, kind="reviews")
+    folder = next((tmp_path / "raw").glob("date=*/productgroup=*/marketplace=*"))
+    (folder / "more_Products.json").write_text('{"product_id": \n')
     first = run().count()
-    fi.write_partitioned(products.where(~half).select(*columns), root)
+    query = incremental.keep_broken(incremental.stream_products(spark, root, RAW_PRODUCT),
+                                    f"{out}-broken", f"{state}-broken")
+    query.awaitTermination(300)
+    broken = spark.read.parquet(f"{out}-broken").collect()
+    assert [r[fi.CORRUPT].strip() for r in broken] == ['{"product_id":']
+    fi.write_partitioned(products.where(~half).select(*columns), root, kind="products")
     both = run()
     want = views.cleaned(spark, sf_dir)
     assert 0 < first < both.count() == want.count()

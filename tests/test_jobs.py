@@ -50,10 +50,17 @@ def test_all_jobs(spark, raw):
     source, out = str(raw / "raw"), str(raw / "out")
     adapters = {"alpha": ad.Adapter(adapter), "beta": ad.Adapter(adapter)}
 
+    with open(f"{source}/date=2024-01-01/broken_products.json", "w") as f:
+        f.write('[{"product_id": "x", "title": }, 7]')
     products = jobs.process_products(spark, source, out, adapters)
     assert products.count() == 40
+    lost = spark.read.parquet(f"{out}/broken_products").collect()
+    assert sorted((r._position, r._reason) for r in lost) == [(1, "broken")]
+    assert spark.read.parquet(f"{out}/unread_products").count() == 0
     assert spark.read.parquet(f"{out}/sellers").count() == 40
-    reviews = jobs.process_reviews(spark, source, out, adapters)
+    with pytest.raises(TypeError):
+        jobs.process_reviews(spark, source, out, adapters)
+    reviews = jobs.process_reviews(spark, source, out, adapters, danger_of=lambda t: F.lit(0.0))
     assert reviews.where("negativity_score > 0").count() == 20
 
     def make():

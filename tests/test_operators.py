@@ -139,6 +139,13 @@ def test_feedback_scores_without_the_column(spark):
     assert tuple(df.first()) == (1, "", 0.0, 0.0)
 
 
+def test_danger_must_be_given(spark):
+    df = spark.createDataFrame([("text",)], "content string")
+    with pytest.raises(ValueError):
+        rv.with_feedback_scores(df)
+    assert rv.with_feedback_scores(df, danger_of=lambda t: F.lit(0.25)).first().danger_score == 0.25
+
+
 def test_review_sums(spark):
     df = spark.createDataFrame(
         [("a", None, "t", 1.0, 0.5), ("a", None, "t", 2.0, 0.5), (None, "m", None, None, None)],
@@ -185,7 +192,8 @@ def test_detector_hook(spark):
     df = spark.createDataFrame([("/x/P%201_image_0.jpg", bytearray(b"12345")),
                                 ("/x/P2_image_0.jpg", bytearray(b"bad"))],
                                "path string, content binary")
-    assert tuples(im.detect(df, make)) == [("P 1", [{"high": 0.5}, {"low": 0.1}])]
+    # The path of a binary file is not encoded: what looks so is the name.
+    assert tuples(im.detect(df, make)) == [("P%201", [{"high": 0.5}, {"low": 0.1}])]
 
 
 # --- Annotations --------------------------------------------------------------------------

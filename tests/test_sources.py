@@ -9,6 +9,7 @@ from plugwatch.operators import annotations as an
 from plugwatch.session import work_dir
 from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
+from plugwatch.sources import tolerant
 
 
 def put(path, value):
@@ -56,6 +57,66 @@ def test_raw_reviews(spark, raw):
     assert [r[fi.CORRUPT] for r in broken.collect()] == ["{no review"]
 
 
+def test_records_of_broken_arrays():
+    fields = frozenset({"product_id", "reviews"})
+
+    def told(text):
+        return [(text[at:at + len(part)] == part, part, why) for at, part, why in tolerant.split_records(
+            text, fields)]
+
+    good = '{"product_id": "1", "reviews": [{"content": "a, {}"}]}'
+    for broken in ('{"product_id": "2", "reviews": [{"content": "b"}, {"content": "c"}',
+                   '{"product_id": "2', '{"product_id": }', '{"product_id": "2"]', "{", "nonsense"):
+        assert told(f"[{good}, {broken},\n {good}]") == [
+            (True, good, None), (True, broken, "broken"), (True, good, None)], broken
+    assert told(f"[{good} {good}") == [(True, good, None)] * 2
+    assert told(f"{good}\n{good}\n") == [(True, good, None)] * 2
+    assert told(f'[7, null, "x", [{good}], {good}]') == [
+        (True, x, "not a record") for x in ("7", "null", '"x"', f"[{good}]")] + [(True, good, None)]
+    assert told(f"[{good}] tail") == [(True, good, None), (True, " tail", "after the end")]
+    assert told("") == told("  \n") == told("[]") == told("[ ,]") == []
+    assert [w for *_, w in told('[{"product_id": "\udcff"}]')] == ["encoding"]
+
+
+def test_what_cannot_be_read_is_told(spark, tmp_path):
+    folder = tmp_path / "productgroup=Group A" / "marketplace=alpha+1 %"
+    put(folder / "products.json",
+        '[{"product_id": "1"}, {"product_id": "2", "title": , {"product_id": "3", "images": ["u"]}, 8]')
+    put(folder / "product_none.json", "[]")
+    put(folder / "product_empty.json", "")
+    put(folder / "product_bad.json", '[{"product_id": "4"}]')
+    # A checksum that doesn't fit: the file can be listed but not read.
+    (folder / ".product_bad.json.crc").write_bytes(b"crc\x00\x00\x00\x02\x00" + b"\x01\x02\x03\x04")
+    (folder / "product_bytes.json").write_bytes(b'[{"product_id": "5"}, {"product_id": "\xff"}, {"product_id": "6"}]')
+    put(folder / "reviews.json", [{"product_id": "9", "reviews": [{"content": "c"}]}])
+    df = fi.read_raw_products(spark, str(tmp_path))
+    good, broken = fi.split_broken(df)
+    assert rows(good, "product_id", "images", "marketplace") == [
+        ("1", None, "alpha+1 %"), ("3", ["u"], "alpha+1 %"), ("5", None, "alpha+1 %"), ("6", None, "alpha+1 %")]
+    name = F.substring_index(fi.FILE, "/", -1).alias("name")
+    assert rows(broken.select(name, fi.POSITION, fi.REASON), "name", fi.POSITION, fi.REASON) == [
+        ("product_bytes.json", 22, "encoding"), ("products.json", 22, "broken"),
+        ("products.json", 91, "not a record")]
+    unread = fi.unread_files(spark, str(tmp_path), "product", df)
+    assert rows(unread.select(name, fi.REASON), "name", fi.REASON) == [
+        ("product_bad.json", "nothing read"), ("product_empty.json", "empty"),
+        ("product_none.json", "nothing read")]
+    only, _ = fi.split_broken(fi.of_marketplace(df, "alpha+1 %"))
+    assert only.count() == 4 and fi.of_marketplace(df, "beta").count() == 0
+
+
+def test_both_kinds_in_one_layout(spark, tmp_path):
+    where = "date string, productgroup string, marketplace string"
+    products = spark.createDataFrame([("1", "t", "2024", "Group A", "m")], f"product_id string, title string, {where}")
+    reviews = spark.createDataFrame([("9", "2024", "Group A", "m")], f"product_id string, {where}")
+    for _ in range(2):
+        fi.write_partitioned(products, str(tmp_path), kind="products")
+    fi.write_partitioned(reviews, str(tmp_path), kind="reviews")
+    back = fi.read_partitioned(spark, str(tmp_path), "product_id string, title string", "product")
+    assert rows(back, "product_id", "title") == [("1", "t")] * 2
+    assert rows(fi.read_partitioned(spark, str(tmp_path), "product_id string", "review"), "product_id") == [("9",)]
+
+
 def test_partitioned_layout(spark, tmp_path):
     df = spark.createDataFrame(
         [("1", "2024", "Group A", "m"), ("2", "2024", "Group B", "n")],
