@@ -183,9 +183,10 @@ parts AS (
     CASE rank {of('role')} END AS role, rank IN ({weak}) AS weak
   FROM placed WHERE CASE rank {passes} END),
 linked AS (
-  SELECT *, count(DISTINCT role) OVER (PARTITION BY doc_id ORDER BY start
-      RANGE BETWEEN {secrets.SCOPE} PRECEDING AND {secrets.SCOPE} FOLLOWING) > 1 AS near
-  FROM parts),
+  SELECT *, EXISTS (
+    SELECT 1 FROM parts o WHERE o.doc_id = p.doc_id AND o.role != p.role
+      AND greatest(o.start - p.stop, p.start - o.stop) <= {secrets.SCOPE}) AS near
+  FROM parts p),
 told AS (
   SELECT * FROM linked l WHERE NOT weak OR near AND NOT EXISTS (
     SELECT 1 FROM parts s WHERE s.doc_id = l.doc_id AND NOT s.weak

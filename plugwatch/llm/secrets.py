@@ -2,9 +2,12 @@ r"""Secret scans by linking the parts of a credential.
 
 Strong parts (a keyword with a value, an access key identifier, a long hexadecimal string) are
 reported on their own. Weak ones (a user or client name, an unnamed token, an endpoint) are
-candidates; one is reported only if a complementary part starts within the same scope, that is
-at most ``SCOPE`` characters away in the same text. The interval join of the parts is a range
-frame over the parts of a text, sorted by start: linear, without pairs. Only column expressions:
+candidates; one is reported only if a complementary part lies within the same scope, that is
+with at most ``SCOPE`` characters between the two in the same text, however long they are. The
+interval join takes the parts of a text by start: of those that began before, how far the ones of each
+other role reach (a running maximum of ends), and of those that begin later, whether one of another
+role does so within the scope of the end (the next start of each role). Both are linear, without
+pairs. Only column expressions:
 ``split`` gives the gaps between matches and ``regexp_extract_all`` the matches, and a running sum of
 their lengths gives positions in code points.
 """
@@ -93,37 +96,45 @@ def scan(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame
     (start, rank, end, kind, weak), sorted by start and kind.
 
     Base kinds come first in ``PARTS`` and are always reported, also where they overlap. A weak
-    part is left out where it overlaps a strong one, and unless a part of another role starts at
-    most ``scope`` characters from its own start; a strong or weak one will do. A null text is
-    empty and has no spans. Rows that are repeated are scanned and returned once for each.
+    part is left out where it overlaps a strong one, and unless a part of another role, strong or
+    weak, overlaps it or has at most ``scope`` characters between itself and it. A null text is
+    empty and has no spans. Rows that are repeated are scanned and returned once for each. The
+    caller's columns keep their names and values; where one is called ``spans``, the added column is
+    ``spans_``, with as many ``_`` as make it a new one.
     """
+    out = "spans"
+    while out in df.columns and out != text_col:
+        out += "_"
     found = parts(df, text_col)
     role = F.element_at(F.array(*[F.lit(p.role) for p in PARTS]), F.col("rank") + 1)
     weak = F.element_at(F.array(*[F.lit(p.weak) for p in PARTS]), F.col("rank") + 1)
     found = found.withColumn("role", F.when(F.col("ok"), role)).withColumn("weak", weak)
-    near = Window.partitionBy("row_id").orderBy("start").rangeBetween(-scope, scope)
-    others = [F.count(F.when(F.col("role") == r, 1)).over(near) for r in ("access", "secret", "endpoint")]
-    total = others[0] + others[1] + others[2]
-    own = F.when(F.col("role") == "access", others[0]).when(
-        F.col("role") == "secret", others[1]).otherwise(others[2])
-    # Strong parts that began no later reach to ...; those that begin later begin at ...
-    strong = F.col("ok") & ~F.col("weak")
+    # Parts that begin at one place overlap, so both windows, which include those, may see them.
     until = Window.partitionBy("row_id").orderBy("start").rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     after = Window.partitionBy("row_id").orderBy("start").rangeBetween(
         Window.currentRow, Window.unboundedFollowing)
+    linked = F.lit(False)
+    for r in ("access", "secret", "endpoint"):
+        of_role = F.col("role") == r
+        reach = F.max(F.when(of_role, F.col("end"))).over(until)
+        begin = F.min(F.when(of_role, F.col("start"))).over(after)
+        close = (F.col("start") - reach <= scope) | (begin - F.col("end") <= scope)
+        linked = linked | ((F.col("role") != r) & F.coalesce(close, F.lit(False)))
+    # Strong parts that began no later reach to ...; those that begin later begin at ...
+    strong = F.col("ok") & ~F.col("weak")
     overlapped = (F.coalesce(F.max(F.when(strong, F.col("end"))).over(until), F.lit(-1))
                   > F.col("start")) | (F.coalesce(
                       F.min(F.when(strong, F.col("start"))).over(after), F.lit(2**62))
                       < F.col("end"))
-    told = found.withColumn("linked", total > own).withColumn("overlapped", overlapped)
+    told = found.withColumn("linked", linked).withColumn("overlapped", overlapped)
     reported = F.col("ok") & (~F.col("weak") | (F.col("linked") & ~F.col("overlapped")))
     kind = F.element_at(F.array(*[F.lit(p.kind) for p in PARTS]), F.col("rank") + 1)
     span = F.struct("start", "rank", "end", kind.alias("kind"), "weak")
     return told.groupBy("row_id").agg(
         F.any_value("row").alias("row"),
         F.sort_array(F.collect_list(F.when(reported, span))).alias("spans"),
-    ).select("row.*", "spans")
+    ).select("row.*", F.col("spans").alias(out))
 
 
 def joined(spans: Column) -> Column:
