@@ -107,15 +107,15 @@ def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def unread_files(spark: SparkSession, root: str, kind: str, rows: DataFrame) -> DataFrame:
     """The files of a kind that gave ``rows`` neither a row nor a broken record: ``_file``,
-    ``length`` and ``_reason``, ``empty`` or, where there are bytes, ``nothing read``: the file
-    can't be opened, or holds an empty list. Only names and sizes are listed."""
+    ``length`` and ``_reason``, ``nothing read``: the file can't be opened, or holds an empty list.
+    Only names and sizes are listed; Spark lists no files without bytes."""
     listed = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", _named(kind)).load(root)
         .select(F.col("_metadata.file_path").alias(FILE), "length")
     )
     return listed.join(rows.select(FILE).distinct(), FILE, "left_anti").withColumn(
-        REASON, F.when(F.col("length") == 0, "empty").otherwise("nothing read"))
+        REASON, F.lit("nothing read"))
 
 
 def read_raw_products(spark: SparkSession, root: str, marketplace: str | None = None,

@@ -9,26 +9,31 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Functions that run in tasks travel with the job, so executors need not have the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PARTS_DDL = "array<struct<position:bigint,record:string,reason:string>>"
 _SPACE = re.compile(r"[\s,]*")
 # Where a record may start again: after a comma, a bracket or a line break.
 _START = re.compile(r"[,\[\n]\s*(?=\{)")
-_DECODER = json.JSONDecoder()
+_BLANK = re.compile(r"\s*")
 
 
 def _value(text: str, at: int) -> tuple[object, int] | None:
     """The JSON value at ``at`` and its end, if it is whole and something fit follows."""
     try:
-        value, end = _DECODER.raw_decode(text, at)
+        value, end = json.JSONDecoder().raw_decode(text, at)
     except (ValueError, RecursionError):
         return None
-    after = re.compile(r"\s*").match(text, end).end()
+    after = _BLANK.match(text, end).end()
     return (value, end) if after == len(text) or text[after] in ",]{" else None
 
 
