@@ -8,14 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plugwatch.llm import decontaminate, exact_dedup, queries, simhash, toxicity
+from plugwatch.llm.common import packed
 from plugwatch.session import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model doesn't predict to be toxic."""
+    """Documents that the model doesn't predict to be toxic, with their own columns as they were."""
     model = queries.toxicity_model(docs, spark, sf_dir)
-    told = toxicity.score(docs, model, spans=False)
-    return told.filter("predicted = 0").select(*docs.columns)
+    rows = docs.select(packed(docs).alias("row"), "text")
+    return toxicity.score(rows, model, spans=False).filter("predicted = 0").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -306,9 +306,15 @@ SPANS = "array<struct<start:int,end:int,p:double>>"
 
 
 def _spans(text: str, p: np.ndarray, least: float) -> list[dict]:
-    """Offending words as (start, end, p), offsets in characters of the lower-cased text."""
-    return [{"start": m.start(), "end": m.end(), "p": float(x)}
-            for m, x in zip(_WORD.finditer(text.lower()), p) if x >= least]
+    """Offending words as (start, end, p), offsets in characters of the text. Words are matched in
+    lower case, where a character may become two."""
+    lower = text.lower()
+    found = [(m.start(), m.end(), float(x)) for m, x in zip(_WORD.finditer(lower), p) if x >= least]
+    if len(lower) != len(text):
+        ends = np.cumsum([len(c.lower()) for c in text])
+        found = [(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(ends, b - 1, "right")) + 1, x)
+                 for a, b, x in found]
+    return [{"start": a, "end": b, "p": x} for a, b, x in found]
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD,

@@ -244,3 +244,13 @@ def test_documents_leaks_are_found(spark):
     want = {r.doc_id for r in docs if any(i in flat(r.text) for i in items)}
     got = {r.doc_id for r in queries.op3_decontamination(spark, sf).collect()}
     assert want and want <= got
+
+
+def test_offsets_are_those_of_the_text():
+    """Where lower case is longer than the text, spans still cut the words out of the text."""
+    from plugwatch.llm import toxicity
+
+    text = "İİİ bad wordİ ẞΣ end"
+    words = [m.group() for m in toxicity._WORD.finditer(text.lower())]
+    found = toxicity._spans(text, np.ones(len(words)), 0.5)
+    assert [text[s["start"]:s["end"]].lower() for s in found] == words

@@ -99,9 +99,18 @@ def test_each_stage_takes_odd_tables(spark, sf_dir, odd, k):
         assert set(ids) <= {r.doc_id for r in df.collect()} and (k == 4 or len(ids) <= df.count())
 
 
+def test_toxicity_keeps_clashing_columns(spark, sf_dir, odd):
+    """The documents' own score and predicted, a dotted name too, pass through the stage."""
+    docs = odd.selectExpr("doc_id", "text", "lang", "source", "n_chars", "0.5D AS score",
+                          "7 AS predicted", "'z' AS `a.b`", "'r' AS row", "'t' AS label")
+    out = corpus_pipeline.drop_toxic(spark, docs, sf_dir)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    assert {tuple(r)[5:] for r in out.collect()} == {(0.5, 7, "z", "r", "t")}
+
+
 def test_registered(spark):
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
     assert "pipeline" in names and set(queries.ORACLE) <= set(queries.QUERIES)
 
