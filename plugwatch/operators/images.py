@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plugwatch.settings import SOCKET_TAGS, TAG_THRESHOLD
 
 PREDICTION_DDL = "array<struct<tag:string,probability:double>>"
+DETECTED_DDL = "product_id string, path string, predictions array<map<string,double>>, error string"
 
 
 def parse_predictions(text: Column) -> Column:

@@ -1,7 +1,8 @@
 """Training and evaluation of the logistic model.
 
 The model has few features, so it is fitted by Newton steps: one pass over the rows sums the
-gradient and the curvature, and the driver solves a system of a few equations. Spark's own
+gradient and the curvature by matrix products, and the driver solves a system of as many equations
+as there are weights. Spark's own
 estimator scales features to unit variance inside; with an unscaled penalty that makes scores
 of tiny variance, such as the danger score, so stiff that its line search fails.
 """
@@ -80,27 +81,90 @@ class TrainedModel:
             "predicted_class", F.get(names, best.cast("int") - 1))
 
 
-def _sums(model: TrainedModel, rows: DataFrame, terms: Sequence[str]):
-    """Loss, gradient and curvature of the model over all rows, in one aggregation."""
+def _partial_sums(columns: list[str], classes: list[str], outputs: list[str], weights, width: int):
+    """Loss, gradient and curvature of a partition's rows, one row: blocks of rows at a time."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        k = len(outputs)
+        loss, gradient, curvature = 0.0, np.zeros((k, width)), np.zeros((k, width, k, width))
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy() for c in columns] + [np.ones(batch.num_rows)])
+            label = batch.column("true_class").to_numpy(zero_copy_only=False)
+            z = x @ weights.T
+            x = x[:, :width]
+            if k == 1:
+                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                own = np.where(label == outputs[0], p[:, 0], 1 - p[:, 0])
+            else:
+                p = np.exp(z - z.max(axis=1, keepdims=True))
+                p /= p.sum(axis=1, keepdims=True)
+                own = p[np.arange(len(label)), np.searchsorted(classes, label)]
+            y = np.column_stack([label == c for c in outputs]).astype(float)
+            loss -= np.log(np.maximum(own, 1e-300)).sum()
+            gradient += (p - y).T @ x
+            for a in range(k):
+                for b in range(k):
+                    curvature[a, :, b] += (x * (p[:, a] * ((a == b) - p[:, b]))[:, None]).T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(
+            [np.concatenate([[loss], gradient.ravel(), curvature.ravel()])], pa.list_(pa.float64()))], ["sums"])
+
+    return run
+
+
+def _sums(model: TrainedModel, rows: DataFrame, terms: int):
+    """Loss, gradient and curvature of the model over all rows, for the first ``terms`` of the
+    features and the intercept.
+
+    Each task sums blocks of rows by matrix products. The tasks' sums are added up in groups of
+    about the square root of their number, so the driver adds as many.
+    """
     import numpy as np
 
-    k, n = len(model.outputs), len(terms)
-    p = [f"probability[{i}]" for i in range(k)]
-    y = [f"CAST(true_class = '{c}' AS DOUBLE)" for c in model.outputs]
-    likelihood = (f"if(true_class = '{model.outputs[0]}', {p[0]}, 1 - {p[0]})" if k == 1 else
-                  " + ".join(f"{a} * {b}" for a, b in zip(p, y)))
-    cells = [(a, i, b, j) for a in range(k) for i in range(n) for b in range(k) for j in range(n)
-             if (a, i) <= (b, j)]
-    sums = [f"-sum(ln(greatest({likelihood}, 1e-300D)))"]
-    sums += [f"sum(({p[a]} - {y[a]}) * {terms[i]})" for a in range(k) for i in range(n)]
-    sums += [f"sum({p[a]} * ({int(a == b)} - {p[b]}) * {terms[i]} * {terms[j]})"
-             for a, i, b, j in cells]
-    found = model.with_probabilities(rows).selectExpr(
-        *[f"{s} AS s{i}" for i, s in enumerate(sums)]).first()
-    curvature = np.zeros((k * n, k * n))
-    for (a, i, b, j), value in zip(cells, found[1 + k * n:]):
-        curvature[a * n + i, b * n + j] = curvature[b * n + j, a * n + i] = value
-    return found[0], np.array(found[1:1 + k * n]), curvature
+    def added(batches):
+        import pyarrow as pa
+
+        sums = [np.asarray(row.values) for batch in batches for row in batch.column(0)]
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(sums)], pa.list_(pa.float64()))], ["sums"])
+
+    k = len(model.outputs)
+    part = rows.mapInArrow(_partial_sums(
+        model.features, model.classes, model.outputs, np.asarray(model.weights), terms), "sums array<double>")
+    groups = max(1, round(rows.rdd.getNumPartitions() ** 0.5))
+    total = sum(np.array(r[0]) for r in part.repartition(groups).mapInArrow(
+        added, "sums array<double>").collect())
+    return total[0], total[1:1 + k * terms], total[1 + k * terms:].reshape(k * terms, k * terms)
+
+
+def residuals(model: TrainedModel, rows: DataFrame, classes: Sequence[str] = MODEL_CLASSES,
+              intercept: bool = False) -> DataFrame:
+    """How far the model is from the optimum: ``class``, ``feature`` and ``residual``, the slope of
+    the penalised loss there, which is zero at the optimum. Computed by column expressions, apart
+    from the sums of the training. Takes the rows of :func:`train`."""
+    outputs, names = model.outputs, [*model.features, *(["intercept"] if intercept else [])]
+    # Stored, so that the probabilities are not computed again for each feature.
+    data = stored(model.with_probabilities(_training_data(rows, model.features, classes)).select(
+        F.array(*[F.col(f"`{f}`") for f in model.features], *([F.lit(1.0)] if intercept else [])).alias("x"),
+        F.array(*[F.col("probability")[i] - (F.col("true_class") == c).cast("double")
+                  for i, c in enumerate(outputs)]).alias("miss")))
+    slopes = data.select("miss", F.posexplode("x").alias("at", "value")).groupBy("at").agg(
+        *[F.sum(F.col("miss")[i] * F.col("value")).alias(f"slope_{i}") for i in range(len(outputs))])
+    weights = rows.sparkSession.createDataFrame(
+        [(i, j, c, f, 0.0 if f == "intercept" and j == len(model.features) else float(w))
+         for i, (c, of) in enumerate(zip(outputs, model.weights.tolist()))
+         for j, (f, w) in enumerate(zip(names, of))],
+        "output int, at int, class string, feature string, weight double")
+    slope = F.element_at(F.array(*[f"slope_{i}" for i in range(len(outputs))]), F.col("output") + 1)
+    return weights.join(slopes, "at").select("class", "feature", (slope + F.col("weight")).alias("residual"))
+
+
+def _training_data(rows: DataFrame, features: Sequence[str], classes: Sequence[str]) -> DataFrame:
+    """The features as doubles and the label, of rows that have all of them."""
+    data = rows.select(*[F.col(f).cast("double").alias(f) for f in features],
+                       label_of(classes).alias("true_class"))
+    return data.replace(float("nan"), None, subset=list(features)).dropna()
 
 
 def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
@@ -108,27 +172,27 @@ def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
           max_steps: int = 100, tolerance: float = 1e-8) -> TrainedModel:
     """Fit a logistic model with an L2 penalty of weight 1 on the sum of the losses.
 
-    The intercept is not penalised. The rows are stored first, as each step reads them. Training
-    that has not converged after ``max_steps`` is an error.
+    The intercept is not penalised. The rows are stored first, as each step reads them; rows without
+    a label or with a feature that is null or no number are left out. Training that has not
+    converged after ``max_steps`` is an error.
     """
     import numpy as np
 
-    data = stored(rows.select(*[F.col(f).cast("double").alias(f) for f in features],
-                              label_of(classes).alias("true_class")))
+    data = stored(_training_data(rows, features, classes))
     present = sorted(r[0] for r in data.select("true_class").distinct().collect())
     if len(present) < 2:
         raise ValueError(f"training needs rows of at least two classes, found {present}")
     model = TrainedModel(features, present, None)
     k, width = len(model.outputs), len(features) + 1
-    terms = [f"`{f}`" for f in features] + (["1D"] if intercept else [])
+    terms = len(features) + bool(intercept)
     penalty = np.tile([1.0] * len(features) + ([0.0] if intercept else []), k)
 
     def at(values) -> TrainedModel:
         weights = np.zeros((k, width))
-        weights[:, :len(terms)] = values.reshape(k, len(terms))
+        weights[:, :terms] = values.reshape(k, terms)
         return TrainedModel(features, present, weights)
 
-    beta, step, last_loss = np.zeros(k * len(terms)), np.zeros(k * len(terms)), np.inf
+    beta, step, last_loss = np.zeros(k * terms), np.zeros(k * terms), np.inf
     for _ in range(max_steps):
         loss, gradient, curvature = _sums(at(beta), data, terms)
         loss += 0.5 * float(penalty @ beta**2)

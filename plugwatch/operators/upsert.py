@@ -89,16 +89,28 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         *keys, *[F.col(f"_best.{c}").alias(c) for c in ranked]).select(*df.columns)
 
 
+def merge_rows(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``target`` without the keys of ``new``, and ``new``; keys that are null match each other.
+
+    The target is joined, not grouped: it is shuffled only if the new keys are too many to be
+    broadcast, and never sorted for a maximum.
+    """
+    some = new.select(*[F.col(f"`{k}`").alias(f"_new_{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_new_{i}"))
+    return target.join(some, same, "left_anti").unionByName(new)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            order: Iterable[str] = ()) -> DataFrame:
     """The table after a merge: source rows replace or extend, other rows stay.
 
-    Of source rows with the same key the largest by ``order`` counts. Both tables are read and
-    grouped once. Keys of ``target`` are unique.
+    Of source rows with the same key the largest by ``order`` counts. Only the source is grouped,
+    and stored. Keys of ``target`` are unique. ``sources.buckets`` has a table of which a merge
+    reads and writes only a part.
     """
-    both = target.withColumn("_source", F.lit(0)).unionByName(
-        source.withColumn("_source", F.lit(1)))
-    return one_per_key(both, keys, ["_source", *order]).drop("_source")
+    return merge_rows(target, stored(one_per_key(source.select(*target.columns), keys, list(order))), keys)
 
 
 def upsert_products(target: DataFrame, df: DataFrame,
@@ -174,8 +186,8 @@ def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
     """``rows`` with ``reason``: null for the rows to append, else why a row is rejected.
 
     Reasons are ``null`` (a required column), ``reference`` (a missing parent) and ``key``
-    (the key exists, or an earlier valid row by ``order`` has it). ``order`` makes rows
-    distinct but for those equal in all columns, of which one is appended.
+    (the key exists, or an earlier valid row has it, by ``order`` and then by all other columns). Of
+    rows equal in all columns one is appended.
     """
     pk = list(constraints.primary_key)
     required = [*pk, *[c for c in constraints.not_null if c not in pk]]
@@ -196,10 +208,11 @@ def checked_append(target: DataFrame, rows: DataFrame, constraints: Constraints,
         "_reason",
         F.when(F.col("_null"), "null").when(F.col("_orphan"), "reference")
         .when(F.col("_taken"), "key"))
-    # First valid row per key, as a partial minimum instead of a window over a hot key.
-    first = checked.where(F.col("_reason").isNull()).groupBy(*pk).agg(
-        F.min(F.struct(*order)).alias("_first"))
-    late = F.col("_reason").isNull() & (F.struct(*order) != F.col("_first"))
+    # First valid row per key, as a partial minimum instead of a window over a hot key. Rows that
+    # tie in ``order`` are told apart by the rest, so that a key is never appended twice.
+    place = F.struct(*order, *[c for c in rows.columns if c not in order])
+    first = checked.where(F.col("_reason").isNull()).groupBy(*pk).agg(F.min(place).alias("_first"))
+    late = F.col("_reason").isNull() & ~place.eqNullSafe(F.col("_first"))
     told = join_unique(checked, first, pk).withColumn(
         "_reason", F.when(late, "key").otherwise(F.col("_reason")))
     again = told.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))

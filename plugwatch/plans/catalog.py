@@ -23,16 +23,19 @@ from plugwatch.operators import reviews as rv
 from plugwatch.operators import rules as ru
 from plugwatch.operators import scoring as sc
 from plugwatch.operators import upsert as up
-from plugwatch.plans import flows
+from plugwatch.plans import flows, jobs
 from plugwatch.plans import views as v
 from plugwatch.plans.oracle import (
     CTES, PARSE, _VALUE_OK, base_sql, chunk_ctes, needing, plain_letters, port_sql, spec_ctes,
     words,
 )
-from plugwatch.session import spread, work_dir
-from plugwatch.settings import MAX_IDS_PER_QUERY, PRODUCT_COLUMNS, SOCKET_TAGS, WATTAGE_LIMIT
+from plugwatch.session import spread, stored, work_dir
+from plugwatch.settings import (
+    MAX_IDS_PER_QUERY, MODEL_FEATURES, PRODUCT_COLUMNS, SOCKET_TAGS, WATTAGE_LIMIT,
+)
 from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
+from plugwatch.sources.buckets import BucketTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -606,12 +609,27 @@ def training_table(spark, sf_dir):
     return rows.withColumn("adjusted_danger_score", F.round("adjusted_danger_score", 6))
 
 
-@query()
+@query("SELECT 'non_compliant' AS class, unnest([" + ", ".join(
+    f"'{f}'" for f in (*MODEL_FEATURES, "intercept")) + "]) AS feature, 0.0::DOUBLE AS residual", {})
 def train_model(spark, sf_dir):
-    """Coefficients of the model trained on the spot-checks."""
-    model = flows.build_model(v.cleaned(spark, sf_dir), v.spot_checks(spark, sf_dir),
-                              v.scored_reviews(spark, sf_dir))
-    return model.coefficient_table(spark)
+    """Training on the spot-checks: how far the weights are from the optimum, which column expressions
+    over the same rows tell."""
+    rows = stored(flows.model_rows(v.cleaned(spark, sf_dir), v.spot_checks(spark, sf_dir),
+                                   v.scored_reviews(spark, sf_dir)))
+    model = mo.train(rows, intercept=True)
+    return mo.residuals(model, rows, intercept=True).select(
+        "class", "feature", F.round(F.abs("residual"), 5).alias("residual"))
+
+
+@query(ORACLE["final_decision"], {})
+def coefficient_round_trip(spark, sf_dir):
+    """The final decision by coefficients that were written to a CSV table and read back."""
+    weights = [*v.WEIGHTS.values(), v.INTERCEPT]
+    model = mo.TrainedModel(list(v.WEIGHTS), ["compliant", "non_compliant"], [weights])
+    path = work_dir(spark)
+    fi.write_csv(model.coefficient_table(spark), path)
+    decided = flows.decisions(v.merged(spark, sf_dir), *jobs.load_coefficients(spark, path))
+    return decided.select("product_id", _r("text_nc_prob"), _flag("final_non_compliant"))
 
 
 _PREDICTED = ("CASE WHEN toxic = 1 THEN 'ambiguous' WHEN doc_id % 5 = 0 THEN 'non_compliant'"
@@ -712,6 +730,29 @@ def product_upsert(spark, sf_dir):
         F.col("Rating").cast("double"), F.col("Price").cast("double"))
 
 
+@query(ORACLE["product_upsert"], {})
+def product_upsert_buckets(spark, sf_dir):
+    """The same merge into a stored table, of which only the touched buckets are rewritten."""
+    table = BucketTable(spark, work_dir(spark))
+    target = v.derived(v.table(spark, sf_dir, "part"), _TARGET_PRODUCTS)
+    table.create(target.select(*up.PRODUCT_COLUMNS), ["ProductID"], 16)
+    rows = up.conform_products(v.derived(v.table(spark, sf_dir, "lineitem"), _SOURCE_PRODUCTS), ("Currency",))
+    table.upsert(rows.where("reason IS NULL").drop("reason"), ["UploadDate"])
+    return table.read().withColumn("Description", F.coalesce("Description", F.lit(""))).select(
+        *_UPSERT_OUT, F.date_format("UploadDate", "yyyy-MM-dd").alias("UploadDate"),
+        F.col("Rating").cast("double"), F.col("Price").cast("double"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events", {})
+def append_batches(spark, sf_dir):
+    """Events appended in three batches, each of them twice, as a retried job would."""
+    path, events = work_dir(spark), v.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type")
+    for i in (0, 1, 2, 1, 0, 2):
+        fi.append_rows(events.where(F.col("event_id") % 3 == i), path, f"part-{i}")
+    return fi.read_appended(spark, path, events.schema)
+
+
 _SELLERS = (
     "SELECT concat(' ', s_name, ' ') AS Name, n_name AS Marketplace, CASE WHEN s_suppkey % 3 = 0"
     " THEN NULL ELSE concat('https://s.example/', CAST(s_suppkey AS STRING)) END AS URL"
@@ -1205,3 +1246,31 @@ def csv_round_trip(spark, sf_dir):
         " ':', x)))), ';')")
     return back.withColumn("specs", sp.specs_from_json(F.col("voltage_info"))).select(
         "product_id", "title", "text", F.coalesce(pairs, F.lit("")).alias("voltage_info"))
+
+
+@query("SELECT concat('S', s_suppkey) AS product_id, CAST(n AS INT) AS image_no, CASE WHEN s_suppkey % 7"
+       " != 0 THEN length(s_name) / 100.0 ELSE -1 END::DOUBLE AS size, CASE WHEN s_suppkey % 7 = 0 THEN"
+       " 'ValueError(''broken'')' ELSE '' END AS error FROM supplier, range(0, 2) t(n)"
+       " WHERE n <= s_suppkey % 3", {})
+def image_detection(spark, sf_dir):
+    """Image files of suppliers, at most two of each opened, by a detector that fails on some."""
+    root, out = work_dir(spark), work_dir(spark)
+    files = v.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), "s_suppkey").alias("name"),
+        F.explode(F.sequence(F.lit(0), (F.col("s_suppkey") % 3).cast("int"))).alias("no"),
+        F.when(F.col("s_suppkey") % 7 == 0, "bad").otherwise(F.col("s_name")).alias("value"))
+    fi.write_files(files.select("value", F.concat_ws("_image_", "name", "no").alias("name")), root, ".jpg")
+
+    def make():
+        def detect(content):
+            if content.strip() == b"bad":
+                raise ValueError("broken")
+            return [("size", len(content.strip()) / 100)]
+        return detect
+
+    told = jobs.predict_images(spark, root, out, make, max_images=2, batch_files=150)
+    failed = spark.read.parquet(f"{out}/image_failures")
+    number = F.regexp_extract("path", "_image_([0-9]+)", 1).cast("int").alias("image_no")
+    return told.select("product_id", number, F.col("predictions")[0]["size"].alias("size"),
+                       F.lit("").alias("error")).unionByName(
+        failed.select("product_id", number, F.lit(-1.0).alias("size"), "error"))

@@ -78,13 +78,18 @@ def decisions(merged: DataFrame, weights: Mapping[str, float], intercept: float,
     return decide(logistic(merged, weights, intercept, "text_nc_prob", fill_missing))
 
 
+def model_rows(products: DataFrame, spot_checks: DataFrame, reviews: DataFrame,
+               label_prefix: str = "") -> DataFrame:
+    """The spot-checks of cleaned products with their features; ``reviews`` are scored reviews."""
+    per_product = review_scores(reviews, ["product_id"], keep_null_keys=False)
+    return training_rows(
+        match_spot_checks(products, spot_checks, per_product), label_prefix=label_prefix)[0]
+
+
 def build_model(products: DataFrame, spot_checks: DataFrame, reviews: DataFrame,
                 label_prefix: str = "", intercept: bool = True) -> TrainedModel:
-    """Train on the spot-checks of cleaned products; ``reviews`` are scored reviews."""
-    per_product = review_scores(reviews, ["product_id"], keep_null_keys=False)
-    rows, _ = training_rows(
-        match_spot_checks(products, spot_checks, per_product), label_prefix=label_prefix)
-    return train(rows, intercept=intercept)
+    """Train on the rows of :func:`model_rows`."""
+    return train(model_rows(products, spot_checks, reviews, label_prefix), intercept=intercept)
 
 
 def all_reports(decided: DataFrame) -> dict[str, DataFrame]:

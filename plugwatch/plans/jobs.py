@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plugwatch import schemas
 from plugwatch.functions.specs import QUANTITIES, specs_json
@@ -16,7 +17,7 @@ from plugwatch.operators.decisions import match_spot_checks, training_rows
 from plugwatch.operators.model import TrainedModel, evaluate, train
 from plugwatch.operators.reviews import negativity, review_scores, with_feedback_scores
 from plugwatch.plans import flows
-from plugwatch.session import stored
+from plugwatch.session import stored, work_dir
 from plugwatch.settings import MODEL_FEATURES, NO_RECALLS, RecallLists
 from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
@@ -56,22 +57,35 @@ def process_reviews(spark: SparkSession, raw: str, out: str,
 
 
 def predict_images(spark: SparkSession, raw: str, out: str, make_detector: Callable,
-                   marketplace: str | None = None, max_images: int | None = None) -> DataFrame:
-    """Image files to ``image_predictions``, and those on which the detector fails, with the error,
-    to ``image_failures``.
-
-    The images are chosen by path alone, so that the bytes of the others are not read into
-    the choice.
+                   marketplace: str | None = None, max_images: int | None = None,
+                   batch_files: int = 50_000) -> DataFrame:
+    """Image files to ``image_predictions``, and those on which the detector fails, or that can't be
+    read, with the error, to ``image_failures``.
+
+    Images are chosen by their listed paths alone. The chosen files are opened in batches of some
+    ``batch_files``, whose paths are all that the driver holds; bytes go from the file to the
+    detector in one task, and never through an exchange.
     """
-    images = fi.read_images(spark, raw, marketplace)
+    chosen = fi.list_images(spark, raw, marketplace)
     if max_images:
-        chosen = im.cap_images(images.select("product_id", "path"), max_images)
-        images = images.join(chosen.select("path"), "path", "left_semi")
-    told = stored(im.detect_or_error(images, make_detector))
-    stored(told.where("error IS NOT NULL").select("product_id", "path", "error"),
-          f"{out}/image_failures")
-    return stored(told.where("error IS NULL").select("product_id", "predictions"),
-                 f"{out}/image_predictions")
+        chosen = im.cap_images(chosen, max_images)
+    chosen = stored(chosen)
+    batches = 1 + chosen.count() // batch_files
+    told_path = work_dir(spark)
+    for i in range(batches):
+        batch = F.pmod(F.xxhash64("path"), F.lit(batches)) == i
+        paths = [r["path"] for r in chosen.where(batch).select("path").collect()]
+        if paths:
+            im.detect_or_error(fi.open_images(spark, paths), make_detector).write.mode(
+                "append").parquet(told_path)
+    told = (spark.read.schema(im.DETECTED_DDL).parquet(told_path) if chosen.take(1)
+            else spark.createDataFrame([], im.DETECTED_DDL))
+    unread = chosen.join(told.select("path"), "path", "left_anti").select(
+        "product_id", "path", F.lit("the file can't be read").alias("error"))
+    failed = told.where("error IS NOT NULL").select("product_id", "path", "error")
+    stored(failed.unionByName(unread), f"{out}/image_failures")
+    return stored(told.where("error IS NULL").select("product_id", "path", "predictions"),
+                  f"{out}/image_predictions")
 
 
 def build_model(spark: SparkSession, out: str, spot_checks: str, label_prefix: str = "",

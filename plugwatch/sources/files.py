@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,9 +176,9 @@ def read_partitioned(spark: SparkSession, root: str, schema: str, kind: str = ""
     ).option("pathGlobFilter", _named(kind)).json(root)
 
 
-def _renamed(spark: SparkSession, root: str, kind: str) -> None:
-    """Gives Spark's files below ``root`` names that start with ``kind`` and end in ``.json``, as
-    the writer can't."""
+def _rename(spark: SparkSession, root: str, name) -> None:
+    """Gives Spark's files below ``root`` the path ``name(folder, file name)``, relative to the folder,
+    as the writer can't name its files."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     top = hadoop.Path(root)
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -186,11 +188,23 @@ def _renamed(spark: SparkSession, root: str, kind: str) -> None:
         if path.getName().startswith("part-"):
             old.append(path)
     for path in old:
-        stem = path.getName().rsplit(".", 1)[0]
-        if not fs.rename(path, hadoop.Path(path.getParent(), f"{kind}-{stem}.json")):
+        new = hadoop.Path(path.getParent(), name(path.getParent().getName(), path.getName()))
+        if not fs.rename(path, new):
             raise OSError(f"can't rename {path.toString()}")
 
 
+def _renamed(spark: SparkSession, root: str, kind: str) -> None:
+    """Names below ``root`` that start with ``kind`` and end in ``.json``."""
+    _rename(spark, root, lambda folder, name: f"{kind}-{name.rsplit('.', 1)[0]}.json")
+
+
+def write_files(df: DataFrame, path: str, suffix: str) -> None:
+    """One file for each row of ``df``, with the text ``value``, a line break and the name ``name`` +
+    ``suffix``, in a folder of its own. Names are unique, and plain letters, digits and ``_``."""
+    df.write.partitionBy("name").text(path)
+    _rename(df.sparkSession, path, lambda folder, name: folder.removeprefix("name=") + suffix)
+
+
 def write_partitioned(df: DataFrame, path: str, mode: str = "append", kind: str = "") -> None:
     """Raw layout ``date=/productgroup=/marketplace=`` as JSON lines, which Spark can split.
 
@@ -278,8 +292,9 @@ def write_image_entries(entries: DataFrame, path: str, mode: str = "overwrite")
     entries.write.mode(mode).json(path)
 
 
-def read_images(spark: SparkSession, root: str, marketplace: str | None = None) -> DataFrame:
-    """Image files ``*_image*.jpg`` below ``root`` with ``product_id`` from the file name."""
+def list_images(spark: SparkSession, root: str, marketplace: str | None = None) -> DataFrame:
+    """Image files ``*_image*.jpg`` below ``root`` as ``product_id`` (from the file name) and
+    ``path``. Files are listed, not opened."""
     from plugwatch.operators.images import image_id
 
     df = (
@@ -289,12 +304,54 @@ def read_images(spark: SparkSession, root: str, marketplace: str | None = None)
     if marketplace:
         df = df.where(F.regexp_replace("path", "/[^/]*$", "").contains(marketplace))
     # The path of a binary file is not encoded, unlike that in _metadata.
-    return df.withColumn("product_id", image_id(F.col("path")))
+    return df.select(image_id(F.col("path")).alias("product_id"), "path")
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append rows to a Parquet table."""
-    df.write.mode("append").parquet(path)
+def open_images(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` and ``content`` of these files; no others are opened. Files that have gone or can't
+    be read are left out."""
+    # What Spark would take for a pattern is part of the name.
+    exact = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+    return spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option(
+        "ignoreMissingFiles", True).load(exact).select("path", "content")
+
+
+def append_rows(df: DataFrame, path: str, batch: str) -> bool:
+    """Append the rows of a batch to a Parquet table, once: a batch that is there is not written
+    again, and one whose job failed is written anew. Tells whether it was written.
+
+    A batch is a folder, which Spark's committer marks as done at the end; ``batch`` names it.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch):
+        raise ValueError(f"not the name of a batch: {batch!r}")
+    spark, folder = df.sparkSession, f"{path.rstrip('/')}/_batch={batch}"
+    if batch in _batches(spark, path)[0]:
+        return False
+    df.write.mode("overwrite").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    return True
+
+
+def _batches(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The batches of a table that are done, and those that are not."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done, other = [], []
+    for found in fs.listStatus(top) if fs.exists(top) else ():
+        name = found.getPath().getName()
+        if name.startswith("_batch="):
+            ok = fs.exists(hadoop.Path(found.getPath(), "_SUCCESS"))
+            (done if ok else other).append(name.removeprefix("_batch="))
+    return sorted(done), sorted(other)
+
+
+def read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of the batches that are done."""
+    done, _ = _batches(spark, path)
+    folders = [f"{path.rstrip('/')}/_batch={b}" for b in done]
+    return (spark.read.schema(schema).parquet(*folders) if folders
+            else spark.createDataFrame([], schema))
 
 
 def path_columns(path: Column) -> dict[str, Column]:

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import math
 
 import numpy as np
@@ -17,6 +18,7 @@ from plugwatch.operators import reports as rp
 from plugwatch.operators import reviews as rv
 from plugwatch.operators import upsert as up
 from plugwatch.schemas import SPEC_DDL
+from plugwatch.session import stored
 
 AUS, UK = settings.SOCKET_TAGS
 
@@ -513,6 +515,26 @@ def test_checked_append(spark):
     assert len(reasons) == 14 and [x for x in reasons if not x[1]] == [(2, ""), (7, "")]
 
 
+def test_rows_that_tie_in_order_are_appended_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (2, "c"), (2, None)], "key int, value string")
+    out = up.checked_append(rows.limit(0), rows, up.Constraints(("key",)), ["key"])
+    assert sorted(tuples(out), key=str) == sorted([
+        (1, "a", None), (1, "b", "key"), (2, None, None), (2, None, "key"), (2, "c", "key")], key=str)
+
+
+def test_a_merge_does_not_sort_or_group_the_target(spark):
+    target = spark.range(1000).selectExpr("id AS k", "id AS x")
+    source = spark.createDataFrame([(1, 5), (1, 7), (2000, 1), (None, 1)], "k long, x long")
+    out = up.upsert(target, source, ["k"], ["x"])
+    assert {tuple(r) for r in out.where("k IS NULL OR k IN (1, 2, 2000)").collect()} == {
+        (1, 7), (2, 2), (2000, 1), (None, 1)}
+    assert out.count() == 1002
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Sort " not in plan
+    again = up.upsert(out, source, ["k"], ["x"])
+    assert again.count() == 1002
+
+
 def test_constraints_of_the_tables(spark):
     products = spark.createDataFrame([("p",)], "ProductID string")
     found = up.table_constraints("Reviews", {"Products": products})
@@ -552,6 +574,14 @@ def test_numbering_is_dense_and_batches_are_full(spark):
     assert [tuple(r) for r in sizes] == [(i, 64) for i in range(15)] + [(15, 40)]
 
 
+@pytest.mark.parametrize("bucket_rows, block", [(10, 3), (100, 1), (10**6, 4096)])
+def test_numbers_do_not_depend_on_the_buckets(spark, bucket_rows, block):
+    want = {r.id: r.row_no for r in nu.number_rows(spark.range(3000), ["id"]).collect()}
+    numbered = nu.number_rows(spark.range(3000), ["id"], bucket_rows=bucket_rows, block=block)
+    assert {r.id: r.row_no for r in numbered.collect()} == want
+    assert sorted(want, key=want.get) == sorted(want, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+
+
 def test_path_columns(spark):
     df = spark.createDataFrame([("/r/date=1/productgroup=group  b/marketplace=x/f",), ("/none",)],
                                "p string")
@@ -560,6 +590,26 @@ def test_path_columns(spark):
     assert got == [("group  b", "x"), (None, None)]
 
 
+def test_training_with_many_features(spark):
+    """200 features in three classes, next to each other in blocks; the slopes say it is the optimum."""
+    names = [f"f{i}" for i in range(200)]
+    df = spark.range(400).select(
+        *[((F.xxhash64("id", F.lit(i)) % 1000) / 1000).alias(f) for i, f in enumerate(names)],
+        *[(F.col("id") % 3 == i).cast("int").alias(c) for i, c in enumerate(("x", "y", "z"))])
+    df = stored(df.repartition(5))
+    model = mo.train(df, names, ["x", "y", "z"], intercept=True)
+    slopes = mo.residuals(model, df, ["x", "y", "z"], intercept=True).collect()
+    assert len(slopes) == 3 * 201 and max(abs(r.residual) for r in slopes) < 1e-5
+    assert {r.feature for r in slopes} == {*names, "intercept"}
+
+
+def test_rows_without_a_feature_are_left_out(spark):
+    df = spark.createDataFrame([(0.1, 1, 0), (0.9, 0, 1), (0.5, 1, 0), (0.7, 0, 1)], "a double, no int, yes int")
+    odd = spark.createDataFrame([(None, 1, 0), (float("nan"), 0, 1)], "a double, no int, yes int")
+    both = [mo.train(x, ["a"], ["no", "yes"]).weights for x in (df, df.union(odd))]
+    assert np.allclose(*both)
+
+
 def test_training_that_has_not_converged_is_an_error(spark):
     df = spark.createDataFrame([(0.1, 1, 0), (0.9, 0, 1), (0.5, 1, 0)], "a double, no int, yes int")
     assert mo.train(df, ["a"], ["no", "yes"]).classes == ["no", "yes"]

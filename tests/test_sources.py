@@ -10,6 +10,7 @@ from plugwatch.session import work_dir
 from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
 from plugwatch.sources import tolerant
+from plugwatch.sources.buckets import BucketTable
 
 
 def put(path, value):
@@ -182,15 +183,70 @@ def test_written_image_entries_are_read_back(spark, tmp_path):
 def test_image_files(spark, tmp_path):
     for name in ("alpha/P1_image_0.jpg", "beta/P2_IMAGE_1.jpg", "beta/x.jpg", "a/P3_image_0.png"):
         put(tmp_path / name, "bytes")
-    df = fi.read_images(spark, str(tmp_path))
+    df = fi.list_images(spark, str(tmp_path))
     assert rows(df, "product_id") == [("P1",), ("P2_IMAGE_1.jpg",)]
-    assert rows(fi.read_images(spark, str(tmp_path), "alpha"), "product_id") == [("P1",)]
+    assert rows(fi.list_images(spark, str(tmp_path), "alpha"), "product_id") == [("P1",)]
 
 
-def test_append(spark, tmp_path):
-    for _ in range(2):
-        fi.append_rows(spark.range(3), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
+def test_only_the_named_images_are_opened(spark, tmp_path):
+    names = ("P[1]_image_0.jpg", "P*_image_0.jpg", "P{a,b}_image_1.jpg", "P%201_image_0.jpg", "P 2_image_0.jpg")
+    for name in names:
+        put(tmp_path / name, name)
+    put(tmp_path / "P1_image_0.jpg", "another")
+    paths = [r.path for r in fi.list_images(spark, str(tmp_path)).collect() if "P1_" not in r.path]
+    df = fi.open_images(spark, paths)
+    assert sorted(bytes(r.content).decode() for r in df.collect()) == sorted(names)
+    # Bytes go straight from the scan to the task that looks at them.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and len(df.inputFiles()) == len(names)
+
+
+def test_an_appended_batch_counts_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert fi.append_rows(spark.range(3), path, "a") and fi.append_rows(spark.range(3, 5), path, "b")
+    assert not fi.append_rows(spark.range(3), path, "a")
+    assert rows(fi.read_appended(spark, path, "id long"), "id") == [(i,) for i in range(5)]
+    # A batch whose job has not ended doesn't count, and is written anew.
+    (tmp_path / "t" / "_batch=b" / "_SUCCESS").unlink()
+    assert rows(fi.read_appended(spark, path, "id long"), "id") == [(i,) for i in range(3)]
+    assert fi.append_rows(spark.range(3, 6), path, "b")
+    assert fi.read_appended(spark, path, "id long").count() == 6
+    assert fi.read_appended(spark, str(tmp_path / "none"), "id long").count() == 0
+    with pytest.raises(ValueError):
+        fi.append_rows(spark.range(3), path, "../b")
+
+
+def test_a_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        table.read()
+    df = spark.range(1000).selectExpr("id AS k", "id * 2 AS x", "'old' AS s")
+    table.create(df.union(df.selectExpr("k", "x - 1", "'less'")), ["k"], 16, ["x"])
+    assert table.read().exceptAll(df).count() == 0 and table.read().count() == 1000
+
+    def files():
+        return {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in (tmp_path / "t").rglob("*.parquet")}
+
+    before, first = files(), table.manifest()["folders"]
+    source = spark.createDataFrame([(7, 1, "new"), (7, 9, "newer"), (5000, 1, "more"), (None, 3, "null")],
+                                   "k long, x long, s string")
+    touched = table.upsert(source, ["x"])
+    assert 1 <= len(touched) <= 3
+    after, now = files(), table.manifest()["folders"]
+    assert {f: after[f] for f in before} == before
+    assert {b for b in now if now[b] != first.get(b)} == {str(b) for b in touched}
+    # Only the touched buckets' files were written: far fewer than there are buckets.
+    assert len({f.parent for f in set(after) - set(before)}) == len(touched)
+    want = {(i, i * 2, "old") for i in range(1000) if i != 7} | {(7, 9, "newer"), (5000, 1, "more"), (None, 3, "null")}
+    assert {tuple(r) for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert table.read(0).count() == 1000
+    # The same merge again changes no row, null keys included.
+    table.upsert(source, ["x"])
+    assert {tuple(r) for r in table.read().collect()} == want and table.versions() == [0, 1, 2]
+    assert table.upsert(source.limit(0)) == [] and table.read().count() == len(want)
+    with pytest.raises(RuntimeError):
+        table._commit(1, {})
+    assert table.vacuum(1) > 0 and {tuple(r) for r in table.read().collect()} == want
 
 
 def adapter(df):
