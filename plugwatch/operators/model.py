@@ -113,12 +113,16 @@ def _partial_sums(columns: list[str], classes: list[str], outputs: list[str], we
     return run
 
 
-def _sums(model: TrainedModel, rows: DataFrame, terms: int):
+# Tasks whose sums the driver adds up itself.
+FEW_TASKS = 64
+
+
+def _sums(model: TrainedModel, rows: DataFrame, terms: int, tasks: int):
     """Loss, gradient and curvature of the model over all rows, for the first ``terms`` of the
     features and the intercept.
 
-    Each task sums blocks of rows by matrix products. The tasks' sums are added up in groups of
-    about the square root of their number, so the driver adds as many.
+    Each task sums blocks of rows by matrix products. The sums of many tasks are added up in groups
+    of about the square root of their number, so the driver adds as many.
     """
     import numpy as np
 
@@ -132,9 +136,9 @@ def _sums(model: TrainedModel, rows: DataFrame, terms: int):
     k = len(model.outputs)
     part = rows.mapInArrow(_partial_sums(
         model.features, model.classes, model.outputs, np.asarray(model.weights), terms), "sums array<double>")
-    groups = max(1, round(rows.rdd.getNumPartitions() ** 0.5))
-    total = sum(np.array(r[0]) for r in part.repartition(groups).mapInArrow(
-        added, "sums array<double>").collect())
+    if tasks > FEW_TASKS:
+        part = part.repartition(round(tasks ** 0.5)).mapInArrow(added, "sums array<double>")
+    total = sum(np.array(r[0]) for r in part.collect())
     return total[0], total[1:1 + k * terms], total[1 + k * terms:].reshape(k * terms, k * terms)
 
 
@@ -184,7 +188,7 @@ def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
         raise ValueError(f"training needs rows of at least two classes, found {present}")
     model = TrainedModel(features, present, None)
     k, width = len(model.outputs), len(features) + 1
-    terms = len(features) + bool(intercept)
+    terms, tasks = len(features) + bool(intercept), data.rdd.getNumPartitions()
     penalty = np.tile([1.0] * len(features) + ([0.0] if intercept else []), k)
 
     def at(values) -> TrainedModel:
@@ -194,7 +198,7 @@ def train(rows: DataFrame, features: Sequence[str] = MODEL_FEATURES,
 
     beta, step, last_loss = np.zeros(k * terms), np.zeros(k * terms), np.inf
     for _ in range(max_steps):
-        loss, gradient, curvature = _sums(at(beta), data, terms)
+        loss, gradient, curvature = _sums(at(beta), data, terms, tasks)
         loss += 0.5 * float(penalty @ beta**2)
         if loss > last_loss + 1e-9 * abs(last_loss):  # too far: go back half the step
             step = step / 2

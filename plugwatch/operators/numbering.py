@@ -9,7 +9,7 @@ from plugwatch.settings import UPLOAD_BATCH
 
 
 # Rows of a bucket, which one task sorts, and buckets of a block, whose sizes one task adds up.
-BUCKET_ROWS, BLOCK = 100_000, 4096
+BUCKET_ROWS, BLOCK = 10_000, 4096
 
 
 def number_rows(df: DataFrame, key: list[str], out: str = "row_no",

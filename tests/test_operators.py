@@ -590,13 +590,14 @@ def test_path_columns(spark):
     assert got == [("group  b", "x"), (None, None)]
 
 
-def test_training_with_many_features(spark):
+def test_training_with_many_features(spark, monkeypatch):
     """200 features in three classes, next to each other in blocks; the slopes say it is the optimum."""
     names = [f"f{i}" for i in range(200)]
     df = spark.range(400).select(
         *[((F.xxhash64("id", F.lit(i)) % 1000) / 1000).alias(f) for i, f in enumerate(names)],
         *[(F.col("id") % 3 == i).cast("int").alias(c) for i, c in enumerate(("x", "y", "z"))])
     df = stored(df.repartition(5))
+    monkeypatch.setattr(mo, "FEW_TASKS", 1)
     model = mo.train(df, names, ["x", "y", "z"], intercept=True)
     slopes = mo.residuals(model, df, ["x", "y", "z"], intercept=True).collect()
     assert len(slopes) == 3 * 201 and max(abs(r.residual) for r in slopes) < 1e-5
