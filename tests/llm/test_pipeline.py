@@ -119,7 +119,7 @@ def test_registered(spark):
 def test_sql_on_larger_tables(spark, name):
     sf_dir = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     want = con.execute(queries.ORACLE[name])
     columns = sorted(d[0] for d in want.description)
