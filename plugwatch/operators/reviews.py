@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plugwatch.functions.text import NO_SPACE, word_count
+from plugwatch.operators.joins import join_unique
+from plugwatch.session import stored
 
 # --- Fixed value: a word without the punctuation around it (U: Unicode classes) --------
 WORD = rf"(?U)\w(?:{NO_SPACE}*\w)?"
@@ -149,6 +151,73 @@ def keyword_vectors(df: DataFrame, vector_col: str, order_col: str, limit: int =
     return [r[0] for r in rows]
 
 
+def _product(vector: Column, direction: Sequence[float]) -> Column:
+    """Product of each unit vector with ``direction``, which is taken as it is."""
+    import numpy as np
+
+    one = np.asarray([direction], dtype="float64")
+
+    @F.arrow_udf(T.DoubleType())
+    def product(vectors):
+        sims, pa = _similarities(vectors, one)
+        return pa.array(sims[:, 0])
+
+    return product(vector)
+
+
+# Keyword vectors that one pass over the texts compares them with.
+KEYWORD_BLOCK = 4096
+
+
+def _mean_direction(keywords: DataFrame) -> list[float | None]:
+    """Weighted mean of the unit vectors of (vector, weight), added up by Spark: one number for each
+    dimension."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
+    unit = keywords.withColumn("norm", norm).select("weight", F.posexplode(F.transform(
+        "vector", lambda x: F.coalesce(F.try_divide(x, F.col("norm")), F.lit(0.0)))))
+    rows = unit.groupBy("pos").agg(F.try_divide(
+        F.sum(F.col("col") * F.col("weight")), F.sum("weight")).alias("mean"))
+    return [r["mean"] for r in rows.orderBy("pos").collect()]
+
+
+def with_similarities(df: DataFrame, keywords: DataFrame, vector_col: str = "embedding",
+                      keyword_col: str = "embedding", weight_col: str | None = None,
+                      block: int = KEYWORD_BLOCK) -> DataFrame:
+    """Add ``max_similarity`` and ``mean_similarity``, the largest and the (weighted) mean cosine
+    with a table of keyword vectors of any length.
+
+    The mean takes one product with the mean direction, which Spark adds up. For the maximum
+    distinct keywords are dealt by hash into blocks of some ``block`` vectors; each pass over ``df``
+    compares it with one block and carries the largest value on, so no task and not the driver holds
+    more than a block. Between passes ``df`` is written to the shared folder: give it few columns.
+
+    Columns of these two names are replaced. A null or zero vector has the cosine 0 with all keywords. Null keywords are left out; without
+    any keyword, or with weights that add up to 0 for the mean, the value is null.
+    """
+    weight = F.lit(1.0) if weight_col is None else F.col(f"`{weight_col}`").cast("double")
+    words = stored(keywords.select(
+        F.col(f"`{keyword_col}`").cast("array<double>").alias("vector"), weight.alias("weight"),
+    ).where("vector IS NOT NULL"))
+    mean = _mean_direction(words)
+    distinct = words.select("vector").distinct()
+    blocks = 1 + distinct.count() // block
+    dealt = stored(distinct.withColumn(
+        "block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")).repartition("block"))
+    vector, none = F.col(f"`{vector_col}`"), F.lit(None).cast("double")
+    out = df.withColumns({
+        "max_similarity": none,
+        "mean_similarity": none if not mean or None in mean else _product(vector, mean)})
+    for i in range(blocks):
+        rows = [r["vector"] for r in dealt.where(F.col("block") == i).collect()]
+        if i:
+            # Written in between, so that a task holds one block.
+            out = stored(out)
+        if rows:
+            out = out.withColumn("max_similarity", F.greatest(
+                "max_similarity", max_similarity(vector, rows)))
+    return out
+
+
 def embed(texts: Column, make_encoder: Callable[[], Callable], batch_size: int = 32) -> Column:
     """Vectors of a text column by a caller's model, loaded once per Python worker.
 
@@ -161,6 +230,23 @@ def embed(texts: Column, make_encoder: Callable[[], Callable], batch_size: int =
     return model(F.coalesce(texts, F.lit("")))
 
 
+def with_vectors(df: DataFrame, make_encoder: Callable[[], Callable], text_col: str = "content",
+                 vector_col: str = "vector", batch_size: int = 32) -> DataFrame:
+    """Add the vector of each text by a caller's model, which sees every distinct text once.
+
+    The vectors of the distinct texts are written to the shared folder, so that lost executors don't
+    call the model again for what is done. They come back by a join on the digest of the text, in which a
+    hot text is split. A null text counts as empty; a column named ``vector_col`` is replaced.
+    """
+    text, digest = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "_text_digest"
+    texts = df.select(text.alias("text")).distinct()
+    vectors = stored(texts.select(
+        F.sha2("text", 256).alias(digest),
+        embed(F.col("text"), make_encoder, batch_size).alias(vector_col)))
+    keyed = df.drop(vector_col).withColumn(digest, F.sha2(text, 256))
+    return join_unique(keyed, vectors, [digest]).drop(digest)
+
+
 def with_feedback_scores(
     df: DataFrame,
     negativity_of: Callable[[Column], Column] = negativity,

@@ -210,32 +210,48 @@ def spec_extract_documents(spark, sf_dir):
     return _spec_rows(sp.expand_specs(_documents(spark, sf_dir)), "doc_id")
 
 
-_GIVEN = ("CASE WHEN p_size > 40 THEN 'input' WHEN p_size > 30 THEN 'rated current' END")
+# What an adapter gives for each quantity: a context and one value, which no text has.
+_GIVEN = "CASE WHEN p_size > 40 THEN 'input' WHEN p_size > 30 THEN 'rated current' END"
+_GIVEN_VALUES = {"V": "48 V", "A": "99 A", "W": "7 W"}
 
 
-@query("SELECT key AS product_id, context, value FROM specs WHERE kind = 'V' UNION ALL"
-       f" SELECT concat('P', p_partkey), {_GIVEN}, '48 V' FROM part WHERE {_GIVEN} IS NOT NULL"
-       f" AND (concat('P', p_partkey), {_GIVEN}) NOT IN"
-       " (SELECT (key, context) FROM specs WHERE kind = 'V')")
+@query("SELECT key AS product_id, kind, context, value FROM specs" + "".join(
+    f" UNION ALL SELECT concat('P', p_partkey), '{k}', {_GIVEN}, '{x}' FROM part WHERE {_GIVEN} IS NOT"
+    f" NULL AND (concat('P', p_partkey), {_GIVEN}) NOT IN (SELECT (key, context) FROM specs WHERE kind"
+    f" = '{k}')" for k, x in _GIVEN_VALUES.items()))
 def spec_merge(spark, sf_dir):
-    """Voltages given by an adapter, overridden by those of the text."""
+    """Specs given by an adapter, overridden by those of the text."""
     part = v.texts(spark, sf_dir, "part")
-    given = F.when(F.expr(f"{_GIVEN} IS NOT NULL"), F.array(F.struct(
-        F.expr(_GIVEN).alias("context"), F.array(F.lit("48 V")).alias("values"))))
+    given = {QUANTITY_OF[k]: F.when(F.expr(f"{_GIVEN} IS NOT NULL"), F.array(F.struct(
+        F.expr(_GIVEN).alias("context"), F.array(F.lit(x)).alias("values"))))
+        for k, x in _GIVEN_VALUES.items()}
     df = part.select(F.expr(v.PRODUCTS["product_id"]).alias("product_id"),
-                     F.expr(v.PRODUCTS["text"]).alias("text"), given.alias("voltage_info"))
-    merged = sp.expand_specs(df).select("product_id", F.explode("voltage_info").alias("s"))
-    return merged.select("product_id", "s.context", F.explode("s.values").alias("value"))
+                     F.expr(v.PRODUCTS["text"]).alias("text"),
+                     *[c.alias(name) for name, c in given.items()])
+    return _spec_rows(sp.expand_specs(df), "product_id").select(
+        "product_id", "kind", "context", "value")
 
 
-@query("SELECT product_id, CASE WHEN count(context) = 0 THEN NULL ELSE '{' || string_agg("
-       "entry, ', ' ORDER BY context_no) || '}' END AS voltage_json FROM products LEFT JOIN"
-       " (SELECT key, context, context_no, '\"' || context || '\": [' || string_agg('\"' ||"
-       " value || '\"', ', ' ORDER BY value_no) || ']' AS entry FROM specs WHERE kind = 'V'"
-       " GROUP BY key, context, context_no) ON key = product_id GROUP BY product_id")
+def _json_sql(kind: str) -> str:
+    """The JSON text of a product's specs of one kind; null without any."""
+    return (f"(SELECT '{{' || string_agg(entry, ', ' ORDER BY context_no) || '}}' FROM spec_entries e"
+            f" WHERE e.key = product_id AND e.kind = '{kind}')")
+
+
+_JSON_CTES = CTES | {"spec_entries": (
+    "SELECT key, kind, context_no, '\"' || context || '\": [' || string_agg('\"' || value || '\"', ', '"
+    " ORDER BY value_no) || ']' AS entry FROM specs GROUP BY key, kind, context, context_no")}
+
+
+def _json_columns() -> dict[str, Column]:
+    return {q: sp.specs_json(F.col(q)) for q in sp.QUANTITIES}
+
+
+@query("SELECT product_id, " + ", ".join(
+    f"{_json_sql(k)} AS {q}" for k, q in QUANTITY_OF.items()) + " FROM products", _JSON_CTES)
 def specs_as_json(spark, sf_dir):
     return v.with_specs(spark, sf_dir).select(
-        "product_id", sp.specs_json(F.col("voltage_info")).alias("voltage_json"))
+        "product_id", *[c.alias(q) for q, c in _json_columns().items()])
 
 
 # --- Rules and scores --------------------------------------------------------------------
@@ -411,6 +427,36 @@ def keyword_weighted_mean(spark, sf_dir):
         rv.mean_similarity(F.col("embedding"), keywords, weights), 6).alias("weighted"))
 
 
+@query("SELECT vec_id, round(max(c), 6) AS max_sim, round(sum(c * w) / sum(w), 6) AS mean_sim FROM"
+       " (SELECT vec_id, w, list_cosine_similarity(embedding::DOUBLE[], k) AS c FROM embeddings, (SELECT"
+       " label + 1 AS w, list_reverse(embedding)::DOUBLE[] AS k FROM embeddings)) GROUP BY vec_id", {})
+def similarity_to_many(spark, sf_dir):
+    """As many keyword vectors as texts, compared in blocks."""
+    vectors = v.table(spark, sf_dir, "embeddings")
+    keywords = vectors.select(F.reverse("embedding").alias("k"), (F.col("label") + 1).alias("w"))
+    scored = rv.with_similarities(
+        vectors.select("vec_id", "embedding"), keywords, "embedding", "k", "w", block=200)
+    return scored.select("vec_id", F.round("max_similarity", 6).alias("max_sim"),
+                         F.round("mean_similarity", 6).alias("mean_sim"))
+
+
+@query("SELECT id, length(t)::DOUBLE AS chars, (length(t) - length(replace(t, 'e', '')))::DOUBLE AS es"
+       " FROM (SELECT concat('D', doc_id) AS id, coalesce(text, '') AS t FROM documents UNION ALL SELECT"
+       " concat('P', p_partkey), p_type FROM part)", {})
+def text_vectors(spark, sf_dir):
+    """Vectors by a stub model of whole texts and of product types, of which few are distinct."""
+    def make():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), t.count("e")] for t in texts], dtype="float32")
+
+    documents = v.table(spark, sf_dir, "documents").selectExpr("concat('D', doc_id) AS id", "text")
+    types = v.table(spark, sf_dir, "part").selectExpr("concat('P', p_partkey) AS id", "p_type")
+    told = rv.with_vectors(documents.union(types), make, "text")
+    return told.select("id", F.col("vector")[0].cast("double").alias("chars"),
+                       F.col("vector")[1].cast("double").alias("es"))
+
+
 # --- Images ----------------------------------------------------------------------------------
 
 
@@ -447,17 +493,19 @@ def image_cap(spark, sf_dir):
         F.substring_index("path", "/", -1).alias("file"), "product_id")
 
 
-@query("SELECT event_id, list_reverse_sort([value, value / 2, 100.0]) [1] AS best,"
-       " list_reverse_sort([value, value / 2, 100.0]) [3] AS worst FROM events")
+@query("SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY probability DESC, place)"
+       " AS position, tag, probability FROM (SELECT event_id, 1 AS place, 'a' AS tag, value AS"
+       " probability FROM events UNION ALL SELECT event_id, 2, 'b', value / 2 FROM events UNION ALL"
+       " SELECT event_id, 3, 'c', 100.0::DOUBLE FROM events)")
 def prediction_order(spark, sf_dir):
-    """Predictions of one image by falling probability."""
+    """Predictions of one image by falling probability; equal ones as they came."""
     pairs = F.array(*[
         F.struct(F.lit(t).alias("tag"), c.alias("probability"))
         for t, c in (("a", F.col("value")), ("b", F.col("value") / 2), ("c", F.lit(100.0)))])
-    ordered = im.sort_predictions(pairs)
-    return v.table(spark, sf_dir, "events").select(
-        "event_id", ordered[0]["probability"].alias("best"),
-        ordered[2]["probability"].alias("worst"))
+    ordered = v.table(spark, sf_dir, "events").select(
+        "event_id", F.posexplode(im.sort_predictions(pairs)))
+    return ordered.select("event_id", (F.col("pos") + 1).cast("bigint").alias("position"), "col.tag",
+                          "col.probability")
 
 
 _URLS = ("CASE WHEN p_size > 25 THEN {a}'u1', 'u2', 'u3', 'u4'{b} WHEN p_size > 10 THEN"
@@ -555,22 +603,36 @@ def query_top30(spark, sf_dir):
     return _pct(rp.query_summary(v.decided(spark, sf_dir)))
 
 
+@query(_RATIO.format("query").replace("FROM relevant", "FROM (SELECT * REPLACE (query || ' ' ||"
+       " seller_id AS query) FROM relevant)") + " LIMIT 30")
+def query_top30_of_many(spark, sf_dir):
+    """The limit bites: each seller's products were found by queries of their own."""
+    decided = v.decided(spark, sf_dir)
+    return _pct(rp.query_summary(decided.withColumn("query", F.concat_ws(" ", "query", "seller_id"))))
+
+
 @query(_RATIO.format("marketplace"))
 def marketplace_summary(spark, sf_dir):
     return _pct(rp.marketplace_summary(v.decided(spark, sf_dir)))
 
 
+_LIST_FLAGS = ("final_non_compliant", "waterproof_flag", "adjusted_ip_incompliance", "recalled_flag",
+               "is_recall_brand", UK, AUS)
+
+
 @query("SELECT product_id, marketplace, product_group, title, seller_id, url, manufacturer,"
        " round(adjusted_danger_score, 6) AS adjusted_danger_score, coalesce(ip_rating, '') AS"
-       f" ip_rating, CAST(recalled_flag AS INT) AS recalled_flag, CAST({UK} AS INT) AS {UK},"
-       f" CAST({AUS} AS INT) AS {AUS} FROM relevant WHERE final_non_compliant")
+       " ip_rating, " + ", ".join(f"CAST({f} AS INT) AS {f}" for f in _LIST_FLAGS) + ", "
+       + ", ".join(f"{_json_sql(k)} AS {q}" for k, q in QUANTITY_OF.items())
+       + " FROM relevant WHERE final_non_compliant", _JSON_CTES)
 def non_compliant_list(spark, sf_dir):
+    """The whole report, specs as JSON text."""
     df = _plain_tags(rp.non_compliant_list(v.decided(spark, sf_dir)))
     return df.select(
         "product_id", "marketplace", "product_group", "title", "seller_id", "url",
         "manufacturer", _r("adjusted_danger_score"),
-        F.coalesce("ip_rating", F.lit("")).alias("ip_rating"), _flag("recalled_flag"),
-        _flag(UK), _flag(AUS))
+        F.coalesce("ip_rating", F.lit("")).alias("ip_rating"), *map(_flag, _LIST_FLAGS),
+        *[c.alias(q) for q, c in _json_columns().items()])
 
 
 # --- Training ----------------------------------------------------------------------------
@@ -1230,22 +1292,51 @@ def adapter_union(spark, sf_dir):
                            "category")
 
 
-@query("SELECT product_id, title, text, coalesce(j, '') AS voltage_info FROM products LEFT JOIN"
-       " (SELECT key, string_agg(context || ':' || value, ';' ORDER BY context_no, value_no) AS j"
-       " FROM specs WHERE kind = 'V' GROUP BY key) ON key = product_id")
+@query("SELECT m AS marketplace, CASE m WHEN 'mk_a' THEN 'rows' WHEN 'mk_c' THEN 'empty' ELSE 'error'"
+       " END AS outcome, CASE m WHEN 'mk_a' THEN n ELSE 0 END AS kept, CASE WHEN m IN ('mk_a', 'mk_c')"
+       " THEN n ELSE 0 END AS sellers FROM (SELECT marketplace AS m, count(*) AS n FROM products GROUP BY"
+       " marketplace UNION ALL SELECT 'mk_d', 0)")
+def marketplace_outcomes(spark, sf_dir):
+    """Of four marketplaces one fails in a task, one has no products and one fails in the plan."""
+    raw = v.products(spark, sf_dir)
+    none = {q: F.lit(None).cast(sp.SPEC_DDL) for q in sp.QUANTITIES}
+
+    def adapter(keep: str):
+        def process(rows: DataFrame):
+            sellers = rows.select(F.col("seller_id").alias("Name"), F.col("url").alias("URL"))
+            return rows.drop("marketplace").where(F.expr(keep)).withColumns(none), sellers
+        return ad.Adapter(process)
+
+    adapters = {"mk_a": adapter("title IS NOT NULL"),
+                "mk_b": adapter("if(title IS NOT NULL, raise_error('broken row'), true)"),
+                "mk_c": adapter("title IS NULL"), "mk_d": adapter("no_such_column")}
+    products, sellers, outcomes = ad.standardise_each(
+        spark, lambda m: raw.where(F.col("marketplace") == m), adapters)
+    kept = products.groupBy("marketplace").agg(F.count("*").alias("kept"))
+    sold = sellers.groupBy(F.col("Marketplace").alias("marketplace")).agg(F.count("*").alias("sold"))
+    return outcomes.select("marketplace", "outcome").join(kept, "marketplace", "left").join(
+        sold, "marketplace", "left").select(
+        "marketplace", "outcome", F.coalesce("kept", F.lit(0)).alias("kept"),
+        F.coalesce("sold", F.lit(0)).alias("sellers"))
+
+
+@query("SELECT product_id, title, text, " + ", ".join(
+    f"coalesce((SELECT string_agg(context || ':' || value, ';' ORDER BY context_no, value_no) FROM specs"
+    f" WHERE key = product_id AND kind = '{k}'), '') AS {q}" for k, q in QUANTITY_OF.items())
+       + " FROM products")
 def csv_round_trip(spark, sf_dir):
     """Products written to and read from a CSV table, specs as JSON text."""
     path = work_dir(spark)
-    df = v.with_specs(spark, sf_dir).select(
-        "product_id", "title", "text", sp.specs_json(F.col("voltage_info")).alias("voltage_info"))
-    fi.write_csv(df, path)
-    back = fi.read_csv(spark, path,
-                       "product_id string, title string, text string, voltage_info string")
-    pairs = F.expr(
-        "array_join(flatten(transform(specs, s -> transform(s.values, x -> concat(s.context,"
-        " ':', x)))), ';')")
-    return back.withColumn("specs", sp.specs_from_json(F.col("voltage_info"))).select(
-        "product_id", "title", "text", F.coalesce(pairs, F.lit("")).alias("voltage_info"))
+    columns = ["product_id", "title", "text", *sp.QUANTITIES]
+    fi.write_csv(v.with_specs(spark, sf_dir).withColumns(_json_columns()).select(columns), path)
+    back = fi.read_csv(spark, path, ", ".join(f"{c} string" for c in columns))
+
+    def pairs(q: str) -> Column:
+        specs = F.transform(sp.specs_from_json(F.col(q)), lambda s: F.transform(
+            s["values"], lambda x: F.concat(s["context"], F.lit(":"), x)))
+        return F.coalesce(F.array_join(F.flatten(specs), ";"), F.lit("")).alias(q)
+
+    return back.select("product_id", "title", "text", *map(pairs, sp.QUANTITIES))
 
 
 @query("SELECT concat('S', s_suppkey) AS product_id, CAST(n AS INT) AS image_no, CASE WHEN s_suppkey % 7"

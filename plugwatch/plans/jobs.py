@@ -15,7 +15,9 @@ from plugwatch.functions.specs import QUANTITIES, specs_json
 from plugwatch.operators import images as im
 from plugwatch.operators.decisions import match_spot_checks, training_rows
 from plugwatch.operators.model import TrainedModel, evaluate, train
-from plugwatch.operators.reviews import negativity, review_scores, with_feedback_scores
+from plugwatch.operators.reviews import (
+    negativity, review_scores, with_feedback_scores, with_vectors,
+)
 from plugwatch.plans import flows
 from plugwatch.session import stored, work_dir
 from plugwatch.settings import MODEL_FEATURES, NO_RECALLS, RecallLists
@@ -27,12 +29,14 @@ def process_products(spark: SparkSession, raw: str, out: str, adapters: Mapping[
                      pairs: DataFrame | None = None, recalls: RecallLists = NO_RECALLS,
                      for_model: bool = False, multi_line: bool = True) -> DataFrame:
     """Raw product files to ``products``, the sellers to ``sellers``, broken records to
-    ``broken_products``, and the files that gave nothing to ``unread_products``. The files are read
-    once, whatever the number of marketplaces."""
+    ``broken_products``, the files that gave nothing to ``unread_products``, and how each
+    marketplace went to ``marketplaces``. The files are read once, whatever the number of
+    marketplaces, and one that fails does not end the others."""
     rows = stored(fi.read_raw_products(spark, raw, multi_line=multi_line))
     stored(fi.split_broken(rows)[1], f"{out}/broken_products")
     stored(fi.unread_files(spark, raw, "product", rows), f"{out}/unread_products")
-    products, sellers = ad.standardise(ad.from_rows(rows), adapters, for_model)
+    products, sellers, outcomes = ad.standardise_each(spark, ad.from_rows(rows), adapters, for_model)
+    stored(outcomes, f"{out}/marketplaces")
     stored(sellers, f"{out}/sellers")
     return stored(flows.clean_products(products, pairs, recalls), f"{out}/products")
 
@@ -41,15 +45,19 @@ def process_reviews(spark: SparkSession, raw: str, out: str,
                     adapters: Mapping[str, ad.Adapter] | None = None, *,
                     danger_of: Callable[[Column], Column],
                     negativity_of: Callable[[Column], Column] = negativity,
+                    make_encoder: Callable[[], Callable] | None = None,
                     multi_line: bool = True) -> DataFrame:
     """Raw review files to ``reviews``, their sums to ``review_scores``, broken records to
     ``broken_reviews``, and the files that gave nothing to ``unread_reviews``. ``danger_of`` must be
-    given, as danger is a feature of the model."""
+    given, as danger is a feature of the model; with ``make_encoder`` it finds the vector of each
+    text, made once per distinct text, in the column ``vector``."""
     records = stored(fi.read_review_records(
         spark, raw, ad.legacy_ids(adapters or {}), multi_line=multi_line))
     rows, broken = fi.split_broken(fi.each_review(records))
     stored(broken, f"{out}/broken_reviews")
     stored(fi.unread_files(spark, raw, "review", records), f"{out}/unread_reviews")
+    if make_encoder:
+        rows = with_vectors(rows, make_encoder)
     cleaned, _ = flows.clean_reviews(with_feedback_scores(rows, negativity_of, danger_of))
     reviews = stored(cleaned, f"{out}/reviews")
     stored(review_scores(reviews), f"{out}/review_scores")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugwatch.functions.text import clean_listing_text
+from plugwatch.session import stored
 from plugwatch.settings import PRODUCT_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -62,6 +63,41 @@ def standardise(read: Callable[[str], DataFrame], adapters: Mapping[str, Adapter
             reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sellers))
 
 
+OUTCOMES = "marketplace string, outcome string, products long, sellers long, error string"
+
+
+def standardise_each(spark: SparkSession, read: Callable[[str], DataFrame],
+                     adapters: Mapping[str, Adapter], for_model: bool = False,
+                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Products and sellers of the marketplaces that succeed, and the outcome of each.
+
+    Every marketplace is written to the shared folder on its own, so that one whose adapter
+    fails, be it while the plan is built or in a task, takes nothing from the others and leaves
+    none of its rows. An outcome is ``rows``, ``empty`` (no products) or ``error`` with the
+    first line of the reason. If all fail, that is an error.
+    """
+    products, sellers, outcomes = [], [], []
+    for name, adapter in adapters.items():
+        try:
+            found, sold = adapter.process(read(name))
+            found = stored(canonical(found, name, for_model))
+            sold = stored(sold.withColumn("Marketplace", F.lit(name)))
+            counts = found.count(), sold.count()
+        except Exception as err:
+            log.exception("marketplace %s left out", name)
+            reason = str(err).strip().split("\n")[0]
+            outcomes.append((name, "error", 0, 0, f"{type(err).__name__}: {reason}"))
+            continue
+        products.append(found)
+        sellers.append(sold)
+        outcomes.append((name, "rows" if counts[0] else "empty", *counts, None))
+    if not products:
+        raise ValueError(f"no marketplace succeeded: {outcomes}")
+    return (reduce(DataFrame.unionByName, products),
+            reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sellers),
+            spark.createDataFrame(outcomes, OUTCOMES))
+
+
 def legacy_ids(adapters: Mapping[str, Adapter]) -> tuple[str, ...]:
     return tuple(a.legacy_id for a in adapters.values() if a.legacy_id)
 

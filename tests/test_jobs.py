@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,8 @@ def test_all_jobs(spark, raw):
         f.write('[{"product_id": "x", "title": }, 7]')
     products = jobs.process_products(spark, source, out, adapters)
     assert products.count() == 40
+    told = spark.read.parquet(f"{out}/marketplaces").select("marketplace", "outcome", "products")
+    assert sorted(map(tuple, told.collect())) == [("alpha", "rows", 20), ("beta", "rows", 20)]
     lost = spark.read.parquet(f"{out}/broken_products").collect()
     assert sorted((r._position, r._reason) for r in lost) == [(1, "broken")]
     assert spark.read.parquet(f"{out}/unread_products").count() == 0
@@ -63,6 +66,15 @@ def test_all_jobs(spark, raw):
     reviews = jobs.process_reviews(spark, source, out, adapters, danger_of=lambda t: F.lit(0.0))
     assert reviews.where("negativity_score > 0").count() == 20
 
+    def encoder():
+        return lambda texts: np.array([[len(t)] for t in texts], dtype="float32")
+
+    told = jobs.process_reviews(
+        spark, source, str(raw / "o3"), adapters, make_encoder=encoder,
+        danger_of=lambda t: F.get(F.col("vector"), 0).cast("double"))
+    assert {(r.review_text, r.danger_score) for r in told.collect()} == {
+        ("broken and dangerous", 20.0), ("good", 4.0)}
+
     def make():
         def detect(content):
             return [("Socket section/UK-German non-compliant", 0.95 if len(content) == 2 else 0.1)]

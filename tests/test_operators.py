@@ -136,6 +136,70 @@ def test_encoder_hook(spark):
     assert got == [[3.0, 1.0], [0.0, 1.0]]
 
 
+def test_vectors_of_distinct_texts(spark, tmp_path):
+    seen = str(tmp_path / "seen")
+
+    def make():
+        def encode(texts):
+            with open(seen, "a") as f:
+                f.writelines(f"{t}\n" for t in texts)
+            return np.stack([[float(len(t)), 1.0] for t in texts])
+        return encode
+
+    texts = ["hot"] * 400 + ["rare", "rarer", None, ""] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string").repartition(6)
+    df = df.withColumn("vector", F.lit("replaced"))
+    told = rv.with_vectors(df, make)
+    assert told.columns == ["id", "content", "vector"]
+    assert dict(told.select("id", "content").collect()) == dict(enumerate(texts))
+    assert told.count() == len(texts)
+    assert {(r.content, tuple(r.vector)) for r in told.collect()} == {
+        (t, (float(len(t or "")), 1.0)) for t in texts}
+    # Collected twice, and the model has still seen each text once.
+    with open(seen) as f:
+        assert sorted(f.read().split("\n")[:-1]) == ["", "hot", "rare", "rarer"]
+    assert rv.with_vectors(df.limit(0), make).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 7, 5000])
+def test_similarities_in_blocks(spark, block):
+    rng = np.random.default_rng(3)
+    vectors, words = rng.normal(size=(30, 8)), rng.normal(size=(20, 8))
+    # All cosines of the first vector are negative; one keyword repeats, one is zero, one null.
+    vectors[0], words = -1.0, np.abs(words)
+    weights = np.append(rng.uniform(1, 2, 20), [3.0, 0.5])
+    words = np.vstack([words, words[:1], np.zeros(8)])
+    df = spark.createDataFrame(
+        [(i, x.tolist()) for i, x in enumerate(vectors)] + [(30, None), (31, [0.0] * 8)],
+        "id int, v array<float>").withColumn("max_similarity", F.lit("replaced"))
+    table = spark.createDataFrame(
+        [(x.tolist(), float(w)) for x, w in zip(words, weights)] + [(None, 9.0)],
+        "k array<double>, w double")
+    got = {r.id: r for r in rv.with_similarities(df, table, "v", "k", "w", block).collect()}
+    norms = np.outer(np.linalg.norm(vectors, axis=1), np.linalg.norm(words, axis=1))
+    cosines = np.divide(vectors @ words.T, norms, out=np.zeros_like(norms), where=norms > 0)
+    for i in range(30):
+        assert got[i].max_similarity == pytest.approx(cosines[i].max(), abs=1e-6)
+        assert got[i].mean_similarity == pytest.approx(
+            np.average(cosines[i], weights=weights), abs=1e-6)
+    assert [got[i][c] for i in (30, 31) for c in ("max_similarity", "mean_similarity")] == [0.0] * 4
+
+
+def test_similarities_with_many_or_no_keywords(spark):
+    rng = np.random.default_rng(4)
+    vectors, words = rng.normal(size=(50, 16)), rng.normal(size=(5000, 16))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(vectors)], "id int, v array<double>")
+    table = spark.createDataFrame([(x.tolist(),) for x in words], "k array<double>")
+    got = rv.with_similarities(df, table, "v", "k").orderBy("id").collect()
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    cosines = unit(vectors) @ unit(words).T
+    assert [r.max_similarity for r in got] == pytest.approx(cosines.max(axis=1).tolist())
+    assert [r.mean_similarity for r in got] == pytest.approx(cosines.mean(axis=1).tolist())
+    none = rv.with_similarities(df, table.limit(0), "v", "k").collect()
+    assert len(none) == 50 and {(r.max_similarity, r.mean_similarity) for r in none} == {(None, None)}
+    assert rv.with_similarities(df.limit(0), table, "v", "k").count() == 0
+
+
 def test_feedback_scores_without_the_column(spark):
     df = rv.with_feedback_scores(spark.createDataFrame([(1,)], "id int"))
     assert tuple(df.first()) == (1, "", 0.0, 0.0)

@@ -274,6 +274,36 @@ def test_adapters(spark, raw):
         ad.standardise(ad.read_marketplace(spark, raw), {"alpha": ad.Adapter(adapter)}, True)
 
 
+def test_a_marketplace_that_fails_in_a_task(spark, raw):
+    def failing(df):
+        # Passes the first row, so that the task fails half-way.
+        bad = F.expr("if(product_id = '2', raise_error('second row'), title)")
+        return adapter(df)[0].withColumn("title", bad), df
+
+    def bad_sellers(df):
+        found, sold = adapter(df)
+        return found, sold.withColumn("Name", F.expr("raise_error('no seller')"))
+
+    def empty(df):
+        found, sold = adapter(df)
+        return found.where("product_id IS NULL"), sold
+
+    read = ad.read_marketplace(spark, raw)
+    adapters = {"beta": ad.Adapter(failing), "alpha": ad.Adapter(adapter),
+                "gamma": ad.Adapter(empty), "delta": ad.Adapter(bad_sellers)}
+    products, sellers, outcomes = ad.standardise_each(
+        spark, lambda name: read("alpha"), adapters)
+    assert rows(products, "product_id", "marketplace") == [("1", "alpha"), ("2", "alpha")]
+    assert rows(sellers, "Marketplace") == [("alpha",)] * 2 + [("gamma",)] * 2
+    told = {r.marketplace: r for r in outcomes.collect()}
+    assert {m: (r.outcome, r.products, r.sellers) for m, r in told.items()} == {
+        "alpha": ("rows", 2, 2), "beta": ("error", 0, 0), "gamma": ("empty", 0, 2),
+        "delta": ("error", 0, 0)}
+    assert "second row" in told["beta"].error and "no seller" in told["delta"].error
+    with pytest.raises(ValueError, match="second row"):
+        ad.standardise_each(spark, lambda name: read("alpha"), {"beta": ad.Adapter(failing)})
+
+
 class SharedFolder:
     """A session that names a shared folder, or a cluster session that does not."""
 
