@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plugwatch.functions.text import any_of, strip
 from plugwatch.operators.joins import join_unique
 from plugwatch.operators.rules import in_irrelevant_category, known_groups, rule_flag
+from plugwatch.session import stored
 from plugwatch.settings import GROUP_RULES, IP_MOISTURE_MIN, NO_RECALLS, GroupRule, RecallLists
 
 # --- Fixed values: patterns ----------------------------------------------------------------
@@ -77,11 +81,84 @@ def with_irrelevance(df: DataFrame, pairs: DataFrame | None = None,
         "is_irrelevant", F.col("is_irrelevant") | F.col("_listed")).drop("_listed")
 
 
-def with_recalls(df: DataFrame, recalls: RecallLists = NO_RECALLS) -> DataFrame:
+# Characters of the recalled models and brands that one pass over the texts looks for; an
+# automaton takes some 40 bytes for each.
+PHRASE_CHARS = 2_000_000
+_MODEL, _BRAND = 1, 2
+
+
+def _kinds_found(text: Column, phrases: Sequence[tuple[str, int]]) -> Column:
+    """The kinds of the phrases that a text holds, as bits; all are looked for in one reading."""
+    built = []
+
+    @F.arrow_udf(T.IntegerType())
+    def found(texts):
+        import ahocorasick
+        import pyarrow as pa
+
+        if not built:
+            built.append(ahocorasick.Automaton())
+            for phrase, kinds in phrases:
+                built[0].add_word(phrase, kinds)
+            built[0].make_automaton()
+
+        def kinds_in(value):
+            seen = 0
+            for _, kinds in built[0].iter(value or ""):
+                seen |= kinds
+                if seen == _MODEL | _BRAND:
+                    break
+            return seen
+
+        return pa.array(map(kinds_in, texts.to_pylist()), pa.int32())
+
+    return found(text)
+
+
+def with_recall_table(df: DataFrame, recalls: DataFrame, phrase_chars: int = PHRASE_CHARS) -> DataFrame:
+    """:func:`with_recalls` for a table (kind, value) of any length; kinds are ``id``, ``model``
+    and ``brand``.
+
+    Ids and manufacturers are joined. Models and brands inside a text are found by an automaton, for
+    some ``phrase_chars`` characters of phrases in one pass; of more, ``df`` is written to the shared
+    folder between the passes. Null and empty values match nothing, other kinds are not looked at.
+    """
+    wanted = stored(recalls.select("kind", F.col("value").cast("string").alias("value")).where(
+        "kind IN ('id', 'model', 'brand') AND value <> ''").distinct())
+    of = lambda kind, c: wanted.where(F.col("kind") == kind).select(c)
+    out = df.withColumn("manufacturer", strip(F.coalesce(F.col("manufacturer"), F.lit(""))))
+    out = listed(out, of("id", F.col("value").alias("product_id")), ["product_id"], "_listed_id")
+    out = listed(out.withColumn("_maker", F.lower("manufacturer")),
+                 of("brand", F.lower("value").alias("_maker")), ["_maker"], "_listed_maker")
+    bit = F.when(F.col("kind") == "model", _MODEL).otherwise(_BRAND)
+    phrases = wanted.where("kind <> 'id'").groupBy("value").agg(F.bit_or(bit).alias("kinds"))
+    blocks = 1 + (phrases.agg(F.sum(F.length("value").cast("long"))).first()[0] or 0) // phrase_chars
+    dealt = stored(phrases.withColumn(
+        "block", F.pmod(F.xxhash64("value"), F.lit(blocks)).cast("int")).repartition("block"))
+    out = out.withColumn("_kinds", F.lit(0))
+    for i in range(blocks):
+        rows = [(r["value"], r["kinds"]) for r in dealt.where(F.col("block") == i).collect()]
+        if i:
+            # Written in between, so that a task holds one block.
+            out = stored(out)
+        if rows:
+            out = out.withColumn(
+                "_kinds", F.col("_kinds").bitwiseOR(_kinds_found(F.col("text"), rows)))
+    holds = lambda kind: F.col("_kinds").bitwiseAND(F.lit(kind)) != 0
+    return out.withColumns({
+        "recalled_flag": F.col("_listed_id") | holds(_MODEL),
+        "is_recall_brand": F.col("_listed_maker") | holds(_BRAND),
+    }).drop("_listed_id", "_listed_maker", "_maker", "_kinds")
+
+
+def with_recalls(df: DataFrame, recalls: RecallLists | DataFrame = NO_RECALLS) -> DataFrame:
     """Add ``recalled_flag`` and ``is_recall_brand``; ``manufacturer`` is stripped.
 
-    An empty list matches nothing.
+    An empty list matches nothing. Short lists become literals of the plan; give long ones as a
+    table (:func:`with_recall_table`).
     """
+    if isinstance(recalls, DataFrame):
+        return with_recall_table(df, recalls)
     text = F.col("text")
 
     def member(c: Column, values) -> Column:

@@ -343,6 +343,31 @@ def recall_flags_without_lists(spark, sf_dir):
         "product_id", _flag("recalled_flag"), _flag("is_recall_brand"))
 
 
+# Recalled ids, models and brands out of the documents and parts: text of some stands in the list.
+_RECALLED = ("SELECT 'id' AS kind, concat('P', doc_id) AS value FROM documents WHERE doc_id % 11 = 0 UNION"
+             " SELECT 'model', substring(text, 20, 16) FROM documents WHERE doc_id % 3 = 0 UNION"
+             " SELECT 'brand', substring(text, 60, 12) FROM documents WHERE doc_id % 4 = 1 UNION"
+             " SELECT 'brand', p_brand FROM part WHERE p_partkey % 5 = 0")
+
+
+@query("SELECT product_id, CAST(coalesce(EXISTS (SELECT 1 FROM recalled WHERE kind = 'model' AND value <>"
+       " '' AND contains(text, value)), false) OR product_id IN (SELECT value FROM recalled WHERE kind ="
+       " 'id') AS INT) AS recalled_flag, CAST(coalesce(EXISTS (SELECT 1 FROM recalled WHERE kind = 'brand'"
+       " AND value <> '' AND contains(text, value)), false) OR manufacturer IN (SELECT value FROM recalled"
+       " WHERE kind = 'brand') AS INT) AS is_recall_brand FROM (SELECT concat('P', doc_id) AS product_id,"
+       " text, concat('Brand#', doc_id % 60) AS manufacturer FROM documents)", {"recalled": _RECALLED})
+def recalls_of_many(spark, sf_dir):
+    """Recall lists as a table that grows with the documents, in several blocks."""
+    for name in ("documents", "part"):
+        v.table(spark, sf_dir, name).createOrReplaceTempView(f"recalled_from_{name}")
+    recalls = spark.sql(_RECALLED.replace("FROM ", "FROM recalled_from_"))
+    products = _documents(spark, sf_dir).selectExpr(
+        "concat('P', doc_id) AS product_id", "text",
+        "concat(' brand#', doc_id % 60, ' ') AS manufacturer")
+    return fl.with_recall_table(products, recalls, 4_000).select(
+        "product_id", _flag("recalled_flag"), _flag("is_recall_brand"))
+
+
 @query("SELECT product_id, coalesce(ip_rating, '') AS ip_rating, coalesce(ip_ingress, -1) AS"
        " ip_ingress, coalesce(ip_moisture, -1) AS ip_moisture, coalesce(CAST(ip_incompliance AS"
        " INT), -1) AS ip_incompliance FROM all_flagged")

@@ -29,7 +29,7 @@ from plugwatch.settings import GROUP_RULES, NO_RECALLS, TAG_THRESHOLD, GroupRule
 def clean_products(
     products: DataFrame,
     pairs: DataFrame | None = None,
-    recalls: RecallLists = NO_RECALLS,
+    recalls: RecallLists | DataFrame = NO_RECALLS,
     rules: tuple[GroupRule, ...] = GROUP_RULES,
     find_specs: bool = True,
     clean_encoding: bool = False,

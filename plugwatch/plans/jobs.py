@@ -26,7 +26,7 @@ from plugwatch.sources import files as fi
 
 
 def process_products(spark: SparkSession, raw: str, out: str, adapters: Mapping[str, ad.Adapter],
-                     pairs: DataFrame | None = None, recalls: RecallLists = NO_RECALLS,
+                     pairs: DataFrame | None = None, recalls: RecallLists | DataFrame = NO_RECALLS,
                      for_model: bool = False, multi_line: bool = True) -> DataFrame:
     """Raw product files to ``products``, the sellers to ``sellers``, broken records to
     ``broken_products``, the files that gave nothing to ``unread_products``, and how each

@@ -75,6 +75,43 @@ def test_recalls(spark):
     assert {tuple(r[-2:]) for r in fl.with_recalls(df).collect()} == {(False, False)}
 
 
+@pytest.mark.parametrize("chars", [3, 2_000_000])
+def test_recall_table(spark, chars):
+    df = spark.createDataFrame(
+        [("1", "has M.1 inside", " acme "), ("2", "has Mx1", None), ("3", None, "ACME"),
+         ("4", "an Acme thing", "x"), ("5", "an acme thing", "x"), (None, "", ""),
+         ("6", "both M.1 and Acme", ""), ("6", "both M.1 and Acme", "")],
+        "product_id string, text string, manufacturer string")
+    table = spark.createDataFrame(
+        [("id", "2"), ("model", "M.1"), ("brand", "Acme"), ("brand", "Acme"), ("model", ""),
+         ("brand", None), ("id", None), ("other", "has"), (None, "has")], "kind string, value string")
+    lists = settings.RecallLists(ids=("2",), models=("M.1",), brands=("Acme",))
+    columns = ("product_id", "text", "manufacturer", "recalled_flag", "is_recall_brand")
+    want = sorted(map(tuple, fl.with_recalls(df, lists).select(*columns).collect()), key=str)
+    got = fl.with_recall_table(df, table, chars)
+    assert sorted(map(tuple, got.select(*columns).collect()), key=str) == want
+    assert got.columns == [*df.columns, "recalled_flag", "is_recall_brand"]
+    none = fl.with_recalls(df, table.limit(0)).collect()
+    assert len(none) == 8 and {tuple(r[-2:]) for r in none} == {(False, False)}
+    assert fl.with_recalls(df.limit(0), table).count() == 0
+
+
+def test_many_recalls_leave_the_plan_small(spark):
+    df = spark.range(300).selectExpr(
+        "CAST(id AS string) AS product_id", "'' AS manufacturer",
+        "concat('a kettle of type K', id * 977, 'x, red') AS text")
+
+    def flagged(n):
+        many = spark.range(n).selectExpr("'model' AS kind", "concat('K', id, 'x') AS value").unionAll(
+            spark.range(n).selectExpr("'brand' AS kind", "concat('K', id * 2, 'x,') AS value"))
+        return fl.with_recalls(df, many)
+
+    got = {int(r.product_id): (r.recalled_flag, r.is_recall_brand) for r in flagged(100_000).collect()}
+    assert got == {i: (i * 977 < 100_000, i * 977 < 200_000 and i % 2 == 0) for i in range(300)}
+    plan = lambda n: len(flagged(n)._jdf.queryExecution().executedPlan().toString())
+    assert plan(10_000) < 1.2 * plan(10)
+
+
 def test_ip_rating(spark):
     df = spark.createDataFrame([("is ip67 now IP20",), ("IPX2",), ("IP6X",), ("xIP67",), (None,)],
                                "text string")
