@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from plugwatch.llm.common import packed
 
 SALTS = 64
+# Rates of at most so many sources, with names of at most so many bytes in all, are broadcast.
+FEW_SOURCES, FEW_BYTES = 100_000, 1 << 23
 # Above this mean the distribution is drawn as a sum of several, as exp(-mean) would underflow.
 MEAN_AT_ONCE = 256.0
 
@@ -80,7 +82,8 @@ def repetitions(mean: Column, seed: int, key: Column) -> Column:
 
 
 def mix(df: DataFrame, rate: DataFrame, seed: int = 0, id_col: str = "doc_id",
-        source_col: str = "source", text_col: str = "text", extra: bool = True) -> DataFrame:
+        source_col: str = "source", text_col: str = "text", extra: bool = True,
+        few_sources: int = FEW_SOURCES) -> DataFrame:
     """The mixture in random order: the rows of ``df``, each as often as drawn.
 
     ``rate`` has (source, rate). A null source is a source of its own; one that ``rate`` lacks
@@ -88,18 +91,26 @@ def mix(df: DataFrame, rate: DataFrame, seed: int = 0, id_col: str = "doc_id",
     identity are drawn alike. ``extra`` adds ``copy`` (from 1) and ``shuffle_key``, unless the
     table has such columns. An empty table gives an empty one.
 
-    The rates are joined on the salted source, so that a hot source is spread whether or not Spark
-    finds the rates small enough to broadcast. Rows are dealt out by a hash of the copy and sorted
+    The rates are counted first. Those of up to ``few_sources`` sources are broadcast, so that a
+    text is shuffled only for the order; more are joined on the salted source, which spreads a hot
+    one. Both give the same rows. Rows are dealt out by a hash of the copy and sorted
     by it within each partition, which is a random order of the whole without a sampling pass.
     """
     key = F.coalesce(F.col(f"`{id_col}`").cast("string"),
                      F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
     rows = df.select(packed(df).alias("row"), F.col(f"`{source_col}`").alias("source"),
-                     key.alias("key")).withColumn("salt", F.pmod(F.hash("key"), F.lit(SALTS)))
-    salted = rate.select(F.col("source").alias("s"), "rate", F.explode(
-        F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_s"))
+                     key.alias("key"))
+    rate = rate.select(F.col("source").alias("s"), "rate")
+    sources, named = rate.agg(F.count(F.lit(1)), F.sum(F.octet_length("s"))).first()
+    same = F.col("source").eqNullSafe(F.col("s"))
+    if sources <= few_sources and (named or 0) <= FEW_BYTES:
+        joined = rows.join(F.broadcast(rate), same)
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        joined = rows.withColumn("salt", F.pmod(F.hash("key"), F.lit(SALTS))).join(
+            rate.withColumn("salt_s", salts), same & (F.col("salt") == F.col("salt_s")))
     drawn = (
-        rows.join(salted, rows["source"].eqNullSafe(salted["s"]) & (rows["salt"] == salted["salt_s"]))
+        joined
         .withColumn("n", repetitions(F.col("rate"), seed, F.col("key")))
         .filter(F.col("n") > 0)
         .select("row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))

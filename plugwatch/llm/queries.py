@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plugwatch.llm import alignment, chat, decontaminate, exact_dedup, language, mixing, resampling
 from plugwatch.llm import secrets, simhash, substring, suffixes, toxicity, warc
+from plugwatch.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +32,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixture(docs: DataFrame) -> DataFrame:
     """Sources by the square root of their sizes, as large as the input."""
-    sizes = mixing.source_sizes(docs)
+    sizes = stored(mixing.source_sizes(docs))
     rates = mixing.rates(sizes, mixing.tempered_weights(sizes, MIX_POWER))
     return mixing.mix(docs, rates, MIX_SEED)
 

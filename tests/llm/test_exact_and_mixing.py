@@ -95,6 +95,21 @@ def test_mix_odd(odd, spark):
     assert mx.rates(none, mx.tempered_weights(none, 0.5)).count() == 0
 
 
+def test_many_sources_give_the_same_rows(odd, spark):
+    rate = spark.createDataFrame([("a", 2.0), (None, 3.0), ("none", 1.0)], "source string, rate double")
+    few, many = (Counter(map(str, mx.mix(odd, rate, 5, few_sources=n).collect())) for n in (3, 2))
+    assert few == many and few
+
+
+def test_texts_are_shuffled_once(read, spark):
+    docs = read("documents")
+    rate = spark.createDataFrame([("a", 2.0)], "source string, rate double")
+    plan = mx.mix(docs, rate)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    plan = mx.mix(docs, rate, few_sources=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt_s" in plan
+
+
 def test_order_is_a_hash_and_repeats(read):
     docs = read("documents")
     sizes = mx.source_sizes(docs)
