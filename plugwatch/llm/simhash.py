@@ -6,12 +6,18 @@ that bit taken out (a wildcard). Equality joins of these variants find every pai
 bucket only per segment, because a wildcard bucket joins the fingerprints that have the bit with
 those that lack it. Whole distances are then verified.
 
+Texts from one template can share a segment by the thousand. In a bucket that is large on both
+sides, the other segments differ by at most three bits, so three of their six blocks are equal:
+there a fingerprint stands once for each choice of three blocks, which finds the same pairs.
+
 Documents with equal fingerprints are one node, so copies are never paired up. Nodes with no
 partner need no further work; the others are grouped by ``components``.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -23,6 +29,9 @@ from plugwatch.session import stored
 
 BITS, SEGMENT = 64, 32
 SHINGLE, DISTANCE = 3, 3
+# A bucket with more fingerprints than this on both sides is split. Random halves don't get there
+# before there are some 10^11 distinct fingerprints.
+HOT = 64
 # Shingles whose bits are counted at once: bounds a task's memory for a very long text.
 BLOCK = 1 << 16
 
@@ -63,6 +72,16 @@ def hex_text(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), BITS // 4, "0"))
 
 
+def _choices(blocks: int = 6, kept: int = 3) -> list[int]:
+    """Masks of a segment that leave ``kept`` of its ``blocks`` blocks."""
+    ends = [SEGMENT * i // blocks for i in range(blocks + 1)]
+    each = [(1 << b) - (1 << a) for a, b in zip(ends, ends[1:])]
+    return [sum(some) for some in combinations(each, kept)]
+
+
+LOW_HALF, HIGH_HALF = f"(fp & {(1 << SEGMENT) - 1})", f"shiftrightunsigned(fp, {SEGMENT})"
+
+
 def variants(nodes: DataFrame, side: int) -> DataFrame:
     """Index keys of the fingerprints in ``fp``: (slot, key, fp). ``side`` 0 has the wildcard
     variants of segments whose bit is 0, side 1 of those whose bit is 1; both have the whole ones.
@@ -71,27 +90,63 @@ def variants(nodes: DataFrame, side: int) -> DataFrame:
         f"transform(filter(sequence(0, {SEGMENT - 1}), b -> (shiftright(%s, b) & 1) = {side}),"
         f" b -> struct(%d + b as slot, %s & ~shiftleft(1L, b) as key))"
     )
-    low, high = "(fp & 4294967295)", "shiftrightunsigned(fp, 32)"
-    each = [one % (seg, at, seg) for seg, at in ((low, 0), (high, 64))]
+    each = [one % (seg, at, seg) for seg, at in ((LOW_HALF, 0), (HIGH_HALF, 64))]
     whole = [f"array(struct({at + SEGMENT} as slot, {seg} as key))"
-             for seg, at in ((low, 0), (high, 64))]
+             for seg, at in ((LOW_HALF, 0), (HIGH_HALF, 64))]
     return nodes.select("fp", F.explode(F.expr(f"concat({', '.join(each + whole)})")).alias("v")) \
         .select("fp", "v.slot", "v.key")
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def hot_buckets(nodes: DataFrame, hot: int = HOT) -> DataFrame:
+    """The (slot, key) with more than ``hot`` fingerprints on each side.
+
+    A side of a bucket is all fingerprints with one value of one segment, so the values are
+    counted, and only the frequent ones are looked up among their neighbours."""
+    values = nodes.select(F.explode(F.expr(
+        f"array(struct(0 as at, {LOW_HALF} as key), struct(64 as at, {HIGH_HALF} as key))")).alias("v"))
+    often = stored(values.groupBy("v.at", "v.key").count().filter(F.col("count") > hot).select("at", "key"))
+    bits = F.sequence(F.lit(0), F.lit(SEGMENT - 1))
+    each = often.select("at", "key", F.explode(bits).alias("bit")).selectExpr(
+        "at + bit as slot", "key & ~shiftleft(1L, bit) as key",
+        "cast(shiftright(key, bit) & 1 as int) as side")
+    both = each.groupBy("slot", "key").agg(F.countDistinct("side").alias("sides")).filter("sides = 2")
+    return stored(both.select("slot", "key").union(
+        often.select((F.col("at") + SEGMENT).alias("slot"), "key")))
+
+
+def candidates(nodes: DataFrame, hot: int = HOT) -> DataFrame:
+    """The pairs of the buckets, before their distance is verified: (a, b, slot, part).
+
+    ``part`` numbers the choice of blocks; it is -1 in a bucket that is not split."""
+    split = hot_buckets(nodes, hot).withColumn("split", F.lit(True))
+    other = f"(CASE WHEN slot < 64 THEN {HIGH_HALF} ELSE {LOW_HALF} END)"
+    parts = ", ".join(f"struct({i} as part, {other} & {mask}L as rest)" for i, mask in enumerate(_choices()))
+    dealt = f"inline(CASE WHEN split THEN array({parts}) ELSE array(struct(-1 as part, 0L as rest)) END)"
+    a, b = (
+        variants(nodes, side).join(split, ["slot", "key"], "left")
+        .selectExpr("fp", "slot", "key", dealt).withColumnRenamed("fp", "ab"[side])
+        for side in (0, 1))
+    return a.join(b, ["slot", "key", "part", "rest"]).select("a", "b", "slot", "part")
+
+
+def links(nodes: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame:
     """The pairs (a, b) of distinct fingerprints in ``fp`` at most ``distance`` bits apart.
 
     Complete for distances up to 3 (two segments, one of which differs by one bit at most). A
-    pair may come once for each segment.
+    pair may come once for each segment. Buckets with more than ``hot`` fingerprints on both
+    sides are split; a pair that meets in several of their parts counts in the first.
     """
     if not 0 <= distance <= 3:
         raise ValueError("two segments find pairs up to three bits apart")
-    a, b = (variants(nodes, s).withColumnRenamed("fp", "ab"[s]) for s in (0, 1))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    apart = F.col("a").bitwiseXOR(F.col("b"))
     whole = F.col("slot").isin(SEGMENT, 64 + SEGMENT)
-    return a.join(b, ["slot", "key"]).filter(
-        near & (~whole | (F.col("a") < F.col("b")))).select("a", "b")
+    rest = F.when(F.col("slot") < 64, F.shiftrightunsigned(apart, SEGMENT)).otherwise(
+        apart.bitwiseAND(F.lit((1 << SEGMENT) - 1)))
+    first = F.array_position(F.array(*[
+        rest.bitwiseAND(F.lit(mask)) == 0 for mask in _choices()]), True) - 1
+    return candidates(nodes, hot).filter(
+        (F.bit_count(apart) <= distance) & (~whole | (F.col("a") < F.col("b")))
+        & ((F.col("part") < 0) | (F.col("part") == first))).select("a", "b")
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -126,10 +181,12 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def _rooted(df: DataFrame, id_col: str, text_col: str, shingle: int,
             distance: int) -> tuple[DataFrame, DataFrame]:
-    """The rows as (id, fp), stored, and the distinct fingerprints as (fp, first, root): the least
-    identity that has it, and the one that names its component."""
-    fps = stored(df.select(F.col(f"`{id_col}`").alias("id"),
-                           fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp")))
+    """The rows as (id, mark, fp), stored, ``mark`` a hash that tells the texts of one identity
+    apart, and the distinct fingerprints as (fp, first, root): the least identity that has it, and
+    the one that names its component."""
+    text = F.col(f"`{text_col}`")
+    fps = stored(df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("mark"),
+                           fingerprint(text, shingle).alias("fp")))
     nodes = fps.groupBy("fp").agg(F.min("id").alias("first"))
     grouped = components(links(nodes.select("fp"), distance))
     return fps, nodes.join(grouped, nodes["fp"] == grouped["node"], "left").select(
@@ -156,20 +213,19 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of ``df`` per group: the one with the smallest identity, null ones last, and of
-    those the one with the smallest fingerprint. Rows alike in both are one text but for what the
-    fingerprint doesn't tell; any one of them stays. An identity that leads several groups, by
-    rows with different texts, stays once for each."""
-    _, named = _rooted(df, id_col, text_col, shingle, distance)
+    those the one with the smallest fingerprint. Of rows alike in both the one with the smallest
+    hash of its text stays. An identity that leads several groups, by rows with different texts,
+    stays once for each. Texts are fingerprinted once, and found again by identity and hash."""
+    fps, named = _rooted(df, id_col, text_col, shingle, distance)
     lead = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "fp"))
-    ends = named.groupBy("root").agg(lead.alias("lead")).select("lead.*")
+    ends = named.groupBy("root").agg(lead.alias("lead")).select("lead.first", "lead.fp")
+    # Grouped before the join, as many rows may have one identity or none, and one fingerprint.
+    texts = fps.groupBy("id", "fp").agg(F.min("mark").alias("mark")).join(
+        ends.withColumnRenamed("fp", "lead"),
+        (F.col("fp") == F.col("lead")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    stay = texts.select(F.col("id").alias("stay"), F.col("mark").alias("stay_mark"))
     rows = df.select(F.col(f"`{id_col}`").alias("id"), packed(df).alias("row"),
-                     F.col(f"`{text_col}`").alias("text"))
-    told = lambda some: rows.filter(some).select(
-        "id", "row", fingerprint(F.col("text"), shingle).alias("fp"))
-    known = told("id is not null").join(
-        ends.filter("not none").select(F.col("first").alias("id"), "fp"), ["id", "fp"], "left_semi")
-    one = known.groupBy("id", "fp").agg(F.any_value("row").alias("row"))
-    # Rows without an identity are grouped first, as many may have one fingerprint.
-    lone = told("id is null").groupBy("fp").agg(F.any_value("row").alias("row")).join(
-        ends.filter("none").select("fp"), "fp", "left_semi")
-    return one.select("row.*").unionByName(lone.select("row.*"))
+                     F.xxhash64(F.col(f"`{text_col}`")).alias("mark"))
+    same = (F.col("mark") == F.col("stay_mark")) & F.col("id").eqNullSafe(F.col("stay"))
+    one = rows.join(stay, same, "left_semi").groupBy("id", "mark").agg(F.any_value("row").alias("row"))
+    return one.select("row.*")

@@ -96,6 +96,48 @@ def test_links_are_complete(spark, distance):
     assert got == want
 
 
+def within(fps, distance=3):
+    """All pairs at most ``distance`` bits apart, by brute force in blocks."""
+    bits = np.array(sorted(fps), dtype=np.uint64)
+    found = set()
+    for i, one in enumerate(bits):
+        near = np.bitwise_count(bits[:i] ^ one) <= distance
+        found |= {frozenset((signed(int(x)), signed(int(one)))) for x in bits[:i][near]}
+    return found
+
+
+@pytest.mark.parametrize("hot", [0, 5, 64, 10**6])
+def test_buckets_are_split_exactly(spark, hot):
+    rng = random.Random(7)
+    halves = [rng.getrandbits(32) for _ in range(3)]
+    halves += [halves[0] ^ 1 << 9, halves[1] ^ 1 << 31]  # both sides of a wildcard bucket are large
+    fps = {half << shift | rng.getrandbits(32) << (32 - shift)
+           for half in halves for shift in (0, 32) for _ in range(90)}
+    for f in list(fps):
+        fps |= {f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))) for _ in range(3)}
+    nodes = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    got = Counter(frozenset(r) for r in sh.links(nodes, hot=hot).collect())
+    assert set(got) == within(fps)
+    assert max(got.values()) <= 2  # once for each segment
+
+
+def test_hot_segment_makes_few_candidates(spark):
+    """A third of all fingerprints have one half in common."""
+    rng = random.Random(8)
+    half = rng.getrandbits(32)
+    fps = {rng.getrandbits(32) << 32 | half for _ in range(10_000)}
+    fps |= {rng.getrandbits(64) for _ in range(20_000)}
+    nodes = spark.createDataFrame([(signed(f),) for f in fps], "fp long").repartition(8)
+    assert sh.hot_buckets(nodes).collect() == [(sh.SEGMENT, half)]
+    # Unsplit, the bucket alone would make 10^8 pairs.
+    assert sh.candidates(nodes).filter("a <> b").count() < 40 * len(fps)
+
+
+def test_texts_are_fingerprinted_once(read):
+    plan = sh.near_dedup(read("documents"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
 def test_links_beyond_two_segments_are_refused(spark):
     with pytest.raises(ValueError):
         sh.links(spark.range(0).select(F.col("id").alias("fp")), 4)
