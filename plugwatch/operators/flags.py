@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from plugwatch.functions.text import any_of, strip
 from plugwatch.operators.joins import join_unique
+from plugwatch.operators.phrases import kinds_in_texts, text_key
 from plugwatch.operators.rules import in_irrelevant_category, known_groups, rule_flag
 from plugwatch.session import stored
 from plugwatch.settings import GROUP_RULES, IP_MOISTURE_MIN, NO_RECALLS, GroupRule, RecallLists
@@ -81,8 +82,8 @@ def with_irrelevance(df: DataFrame, pairs: DataFrame | None = None,
         "is_irrelevant", F.col("is_irrelevant") | F.col("_listed")).drop("_listed")
 
 
-# Characters of the recalled models and brands that one pass over the texts looks for; an
-# automaton takes some 40 bytes for each.
+# Characters of the recalled models and brands up to which one automaton looks for them; it
+# takes some 40 bytes for each.
 PHRASE_CHARS = 2_000_000
 _MODEL, _BRAND = 1, 2
 
@@ -119,9 +120,10 @@ def with_recall_table(df: DataFrame, recalls: DataFrame, phrase_chars: int = PHR
     """:func:`with_recalls` for a table (kind, value) of any length; kinds are ``id``, ``model``
     and ``brand``.
 
-    Ids and manufacturers are joined. Models and brands inside a text are found by an automaton, for
-    some ``phrase_chars`` characters of phrases in one pass; of more, ``df`` is written to the shared
-    folder between the passes. Null and empty values match nothing, other kinds are not looked at.
+    Ids and manufacturers are joined. Models and brands inside a text are found by an automaton if they
+    have less than ``phrase_chars`` characters; more of them by a filter and a join
+    (:mod:`plugwatch.operators.phrases`), which read each text once, whatever the number of phrases.
+    Null and empty values match nothing, other kinds are not looked at.
     """
     wanted = stored(recalls.select("kind", F.col("value").cast("string").alias("value")).where(
         "kind IN ('id', 'model', 'brand') AND value <> ''").distinct())
@@ -132,18 +134,15 @@ def with_recall_table(df: DataFrame, recalls: DataFrame, phrase_chars: int = PHR
                  of("brand", F.lower("value").alias("_maker")), ["_maker"], "_listed_maker")
     bit = F.when(F.col("kind") == "model", _MODEL).otherwise(_BRAND)
     phrases = wanted.where("kind <> 'id'").groupBy("value").agg(F.bit_or(bit).alias("kinds"))
-    blocks = 1 + (phrases.agg(F.sum(F.length("value").cast("long"))).first()[0] or 0) // phrase_chars
-    dealt = stored(phrases.withColumn(
-        "block", F.pmod(F.xxhash64("value"), F.lit(blocks)).cast("int")).repartition("block"))
-    out = out.withColumn("_kinds", F.lit(0))
-    for i in range(blocks):
-        rows = [(r["value"], r["kinds"]) for r in dealt.where(F.col("block") == i).collect()]
-        if i:
-            # Written in between, so that a task holds one block.
-            out = stored(out)
-        if rows:
-            out = out.withColumn(
-                "_kinds", F.col("_kinds").bitwiseOR(_kinds_found(F.col("text"), rows)))
+    chars = phrases.agg(F.sum(F.length("value").cast("long"))).first()[0] or 0
+    if chars < phrase_chars:
+        rows = [(r["value"], r["kinds"]) for r in phrases.collect()]
+        out = out.withColumn("_kinds", _kinds_found(F.col("text"), rows) if rows else F.lit(0))
+    else:
+        found = kinds_in_texts(df.select("text"), phrases, (_MODEL, _BRAND))
+        out = join_unique(out.withColumn("_text", text_key(F.col("text"))),
+                          found.select(F.col("text_key").alias("_text"), F.col("kinds").alias("_kinds")),
+                          ["_text"]).drop("_text").withColumn("_kinds", F.coalesce("_kinds", F.lit(0)))
     holds = lambda kind: F.col("_kinds").bitwiseAND(F.lit(kind)) != 0
     return out.withColumns({
         "recalled_flag": F.col("_listed_id") | holds(_MODEL),

@@ -1,6 +1,9 @@
 import datetime as dt
+import functools
 import hashlib
 import math
+import operator
+import random
 
 import numpy as np
 import pytest
@@ -14,6 +17,7 @@ from plugwatch.operators import flags as fl
 from plugwatch.operators import images as im
 from plugwatch.operators import model as mo
 from plugwatch.operators import numbering as nu
+from plugwatch.operators import phrases as ph
 from plugwatch.operators import reports as rp
 from plugwatch.operators import reviews as rv
 from plugwatch.operators import upsert as up
@@ -717,3 +721,44 @@ def test_training_that_has_not_converged_is_an_error(spark):
     assert mo.train(df, ["a"], ["no", "yes"]).classes == ["no", "yes"]
     with pytest.raises(ValueError, match="converged"):
         mo.train(df, ["a"], ["no", "yes"], max_steps=1)
+
+
+def _phrase_case(n):
+    """Texts with phrases of 1 to 40 bytes, some cut by one letter, some of both kinds."""
+    rng = random.Random(n)
+    some = lambda k: "".join(rng.choice("abcdé ") for _ in range(k))
+    phrases = sorted({some(rng.choice([1, 4, 5, 9, 16, 17, 31, 40])) for _ in range(n)} - {""})
+    table = {p: rng.choice([1, 2, 3]) for p in phrases if len(p) > 1 or p == "é"}
+    texts = ["", "é", "x" * 50] + [some(rng.randint(0, 60)) + rng.choice(phrases)[:rng.choice([-1, 99])]
+                                   + some(rng.randint(0, 9)) for _ in range(80)]
+    want = {t: k for t in texts if (k := functools.reduce(
+        operator.or_, (kinds for p, kinds in table.items() if p in t), 0))}
+    return texts, table, want
+
+
+@pytest.mark.parametrize("n,slab,bits", [(40, 1 << 20, 256), (300, 70, 256), (200, 1 << 20, 0)])
+def test_phrases_in_texts(spark, monkeypatch, n, slab, bits):
+    """Also where long texts are cut, and where the filter is so full that most places are wrong."""
+    texts, table, want = _phrase_case(n)
+    monkeypatch.setattr(ph, "SLAB", slab)
+    if not bits:
+        monkeypatch.setattr(ph, "MOST_BITS", 3)
+        monkeypatch.setattr(ph, "_filter", lambda *_: b"\xff")
+    df = spark.createDataFrame([(t,) for t in [*texts, *texts, None]], "text string").repartition(3)
+    phrases = spark.createDataFrame(list(table.items()), "value string, kinds int")
+    got = ph.kinds_in_texts(df, phrases, (1, 2))
+    keyed = df.distinct().withColumn("text_key", ph.text_key(F.col("text")))
+    assert {r.text: r.kinds for r in keyed.join(got, "text_key").collect()} == want
+
+
+def test_recall_lists_of_any_length_write_the_texts_once_or_less(spark, monkeypatch):
+    """The texts are not written again for each block of phrases."""
+    written = []
+    for module in (fl, ph):
+        monkeypatch.setattr(module, "stored", lambda df, store=module.stored: written.append(df.columns) or store(df))
+    df = spark.range(60).selectExpr("CAST(id AS string) AS product_id", "'' AS manufacturer",
+                                    "concat('a kettle of type K', id * 7, 'x, red') AS text")
+    many = spark.range(200).selectExpr("'model' AS kind", "concat('K', id, 'x') AS value")
+    got = {int(r.product_id): r.recalled_flag for r in fl.with_recall_table(df, many, 10).collect()}
+    assert got == {i: i * 7 < 200 for i in range(60)}
+    assert len(written) <= 6 and not [c for c in written if "text" in c]
