@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from plugwatch.functions.text import NO_SPACE, word_count
 from plugwatch.operators.joins import join_unique
-from plugwatch.session import stored
+from plugwatch.session import spread, stored
 
 # --- Fixed value: a word without the punctuation around it (U: Unicode classes) --------
 WORD = rf"(?U)\w(?:{NO_SPACE}*\w)?"
@@ -165,8 +165,9 @@ def _product(vector: Column, direction: Sequence[float]) -> Column:
     return product(vector)
 
 
-# Keyword vectors that one pass over the texts compares them with.
-KEYWORD_BLOCK = 4096
+# Keyword vectors, and vectors of texts, that are compared by one matrix product, and the largest cosines
+# that a task holds before it passes them on.
+KEYWORD_BLOCK, VECTOR_BLOCK, HELD = 4096, 2048, 1 << 20
 
 
 def _mean_direction(keywords: DataFrame) -> list[float | None]:
@@ -180,16 +181,72 @@ def _mean_direction(keywords: DataFrame) -> list[float | None]:
     return [r["mean"] for r in rows.orderBy("pos").collect()]
 
 
+_PACK_DDL = "rows binary, data binary, dims int"
+
+
+def _packed(block: int):
+    """Unit vectors of (vector) or (vector, row) as matrices of at most ``block`` rows."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                vectors = batch.column(0).slice(at, block)
+                flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")
+                matrix = flat.reshape(len(vectors), -1)
+                norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+                unit = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+                ids = batch.column(1).slice(at, block).to_numpy().tobytes() if batch.num_columns > 1 else b""
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids], pa.binary()), pa.array([unit.tobytes()], pa.binary()),
+                     pa.array([unit.shape[1]], pa.int32())], ["rows", "data", "dims"])
+
+    return run
+
+
+def _largest(batches):
+    """The largest cosine of each row with the keywords it is paired with here."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = {}
+
+    def told():
+        rows = np.frombuffer(b"".join(held), "int64")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows), pa.array(np.concatenate(list(held.values())))], ["_row", "_largest"])
+
+    for batch in batches:
+        for ids, data, words, dims in zip(*(batch.column(i) for i in range(4))):
+            ids, dims = ids.as_py(), dims.as_py()
+            matrix, keywords = (np.frombuffer(x.as_buffer(), "float64") for x in (data, words))
+            best = (matrix.reshape(-1, dims) @ keywords.reshape(-1, dims).T).max(axis=1) if dims else np.zeros(
+                len(ids) // 8)
+            held[ids] = np.maximum(held[ids], best) if ids in held else best
+            if len(held) * VECTOR_BLOCK > HELD:
+                yield told()
+                held.clear()
+    if held:
+        yield told()
+
+
+def _order(df: DataFrame) -> list[str]:
+    """The columns of ``df`` as they lie, and the similarities that it doesn't have."""
+    new = ["max_similarity", "mean_similarity"]
+    return [f"`{c}`" for c in [*df.columns, *(c for c in new if c not in df.columns)]]
+
+
 def with_similarities(df: DataFrame, keywords: DataFrame, vector_col: str = "embedding",
                       keyword_col: str = "embedding", weight_col: str | None = None,
                       block: int = KEYWORD_BLOCK) -> DataFrame:
     """Add ``max_similarity`` and ``mean_similarity``, the largest and the (weighted) mean cosine
     with a table of keyword vectors of any length.
 
-    The mean takes one product with the mean direction, which Spark adds up. For the maximum
-    distinct keywords are dealt by hash into blocks of some ``block`` vectors; each pass over ``df``
-    compares it with one block and carries the largest value on, so no task and not the driver holds
-    more than a block. Between passes ``df`` is written to the shared folder: give it few columns.
+    The mean takes one product with the mean direction, which Spark adds up. For the maximum the
+    distinct keywords are packed into blocks of at most ``block`` vectors and the rows into blocks of
+    ``VECTOR_BLOCK``; Spark deals out the pairs of blocks, and a task holds few of them. ``df`` is
+    written to the shared folder once, whatever the number of keywords.
 
     Columns of these two names are replaced. A null or zero vector has the cosine 0 with all keywords. Null keywords are left out; without
     any keyword, or with weights that add up to 0 for the mean, the value is null.
@@ -199,23 +256,20 @@ def with_similarities(df: DataFrame, keywords: DataFrame, vector_col: str = "emb
         F.col(f"`{keyword_col}`").cast("array<double>").alias("vector"), weight.alias("weight"),
     ).where("vector IS NOT NULL"))
     mean = _mean_direction(words)
-    distinct = words.select("vector").distinct()
-    blocks = 1 + distinct.count() // block
-    dealt = stored(distinct.withColumn(
-        "block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")).repartition("block"))
+    some = stored(words.select("vector").distinct().mapInArrow(_packed(block), _PACK_DDL))
     vector, none = F.col(f"`{vector_col}`"), F.lit(None).cast("double")
-    out = df.withColumns({
-        "max_similarity": none,
-        "mean_similarity": none if not mean or None in mean else _product(vector, mean)})
-    for i in range(blocks):
-        rows = [r["vector"] for r in dealt.where(F.col("block") == i).collect()]
-        if i:
-            # Written in between, so that a task holds one block.
-            out = stored(out)
-        if rows:
-            out = out.withColumn("max_similarity", F.greatest(
-                "max_similarity", max_similarity(vector, rows)))
-    return out
+    rows = stored(df.withColumns({
+        "mean_similarity": none if not mean or None in mean else _product(vector, mean),
+        "_row": F.monotonically_increasing_id()}))
+    if not some.take(1):
+        return rows.drop("_row").withColumn("max_similarity", none).select(_order(df))
+    packs = stored(rows.where(vector.isNotNull()).select(vector.alias("vector"), "_row").mapInArrow(
+        _packed(VECTOR_BLOCK), _PACK_DDL))
+    largest = spread(packs).crossJoin(some.select(F.col("data").alias("words"))).select(
+        "rows", "data", "words", "dims").mapInArrow(_largest, "_row long, _largest double").groupBy(
+        "_row").agg(F.max("_largest").alias("_largest"))
+    return join_unique(rows, largest, ["_row"]).withColumn(
+        "max_similarity", F.coalesce("_largest", F.lit(0.0))).select(_order(df))
 
 
 def embed(texts: Column, make_encoder: Callable[[], Callable], batch_size: int = 32) -> Column:

@@ -762,3 +762,18 @@ def test_recall_lists_of_any_length_write_the_texts_once_or_less(spark, monkeypa
     got = {int(r.product_id): r.recalled_flag for r in fl.with_recall_table(df, many, 10).collect()}
     assert got == {i: i * 7 < 200 for i in range(60)}
     assert len(written) <= 6 and not [c for c in written if "text" in c]
+
+
+def test_similarities_write_the_rows_once(spark, monkeypatch):
+    """Whatever the number of keyword blocks; and each row is compared with all of them."""
+    written = []
+    store = rv.stored
+    monkeypatch.setattr(rv, "stored", lambda df: written.append(df.columns) or store(df))
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 4))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(vectors)], "id int, v array<double>")
+    got = rv.with_similarities(df, df.select(F.reverse("v").alias("k")), "v", "k", block=3).collect()
+    assert len([c for c in written if "id" in c]) == 1 and len(written) <= 4
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (unit @ unit[:, ::-1].T).max(axis=1)
+    assert {r.id: r.max_similarity for r in got} == pytest.approx(dict(enumerate(want)))
