@@ -5,7 +5,7 @@ Tables between the jobs are Parquet below one folder; reports and coefficients a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,28 +64,39 @@ def process_reviews(spark: SparkSession, raw: str, out: str,
     return reviews
 
 
+def _opened_by_spark(spark: SparkSession, chosen: DataFrame, batch_files: int) -> Iterator[DataFrame]:
+    """The chosen files batch by batch. The paths are written by batch, so that each is read once."""
+    batches, path = 1 + chosen.count() // batch_files, work_dir(spark)
+    batch = F.pmod(F.xxhash64("path"), F.lit(batches)).cast("int").alias("batch")
+    chosen.select("path", batch).repartition("batch").write.partitionBy("batch").parquet(path)
+    dealt = spark.read.schema("path string, batch int").parquet(path)
+    for i in range(batches):
+        paths = [r["path"] for r in dealt.where(F.col("batch") == i).collect()]
+        if paths:
+            yield fi.open_images(spark, paths)
+
+
 def predict_images(spark: SparkSession, raw: str, out: str, make_detector: Callable,
                    marketplace: str | None = None, max_images: int | None = None,
                    batch_files: int = 50_000) -> DataFrame:
     """Image files to ``image_predictions``, and those on which the detector fails, or that can't be
     read, with the error, to ``image_failures``.
 
-    Images are chosen by their listed paths alone. The chosen files are opened in batches of some
-    ``batch_files``, whose paths are all that the driver holds; bytes go from the file to the
-    detector in one task, and never through an exchange.
+    Images are chosen by their listed paths alone. Of local files the tasks open the chosen ones, at most
+    ``batch_files`` each; of another store they are opened in batches of some ``batch_files``, whose
+    paths are all that the driver holds. Bytes go from the file to the detector in one task, and never
+    through an exchange.
     """
     chosen = fi.list_images(spark, raw, marketplace)
     if max_images:
         chosen = im.cap_images(chosen, max_images)
-    chosen = stored(chosen)
-    batches = 1 + chosen.count() // batch_files
-    told_path = work_dir(spark)
-    for i in range(batches):
-        batch = F.pmod(F.xxhash64("path"), F.lit(batches)) == i
-        paths = [r["path"] for r in chosen.where(batch).select("path").collect()]
-        if paths:
-            im.detect_or_error(fi.open_images(spark, paths), make_detector).write.mode(
-                "append").parquet(told_path)
+    chosen, told_path = stored(chosen), work_dir(spark)
+    if fi.is_local(spark, raw):
+        opened = [fi.open_chosen(chosen, min(batch_files, 256))]
+    else:
+        opened = _opened_by_spark(spark, chosen, batch_files)
+    for images in opened:
+        im.detect_or_error(images, make_detector).write.mode("append").parquet(told_path)
     told = (spark.read.schema(im.DETECTED_DDL).parquet(told_path) if chosen.take(1)
             else spark.createDataFrame([], im.DETECTED_DDL))
     unread = chosen.join(told.select("path"), "path", "left_anti").select(

@@ -198,11 +198,55 @@ def _renamed(spark: SparkSession, root: str, kind: str) -> None:
     _rename(spark, root, lambda folder, name: f"{kind}-{name.rsplit('.', 1)[0]}.json")
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds ``path`` in the file system, where tasks can open it too."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
+def _local_path(path: str) -> str:
+    return re.sub("^file:/*", "/", path)
+
+
+def _write_each(df: DataFrame, path: str) -> None:
+    """Writes each row's ``value`` and a line break to the file ``file`` below the local ``path``. Each task
+    writes its files under their names, so the driver handles none; one that is run again replaces them."""
+    root = _local_path(path)
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+
+        made = set()
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder, _, last = f"{root}/{name}".rpartition("/")
+                if folder not in made:
+                    os.makedirs(folder, exist_ok=True)
+                    made.add(folder)
+                # Spark reads no names that start with a point.
+                part = f"{folder}/.{uuid.uuid4().hex}"
+                with open(part, "wb") as f:
+                    f.write((value or "").encode() + b"\n")
+                os.replace(part, f"{folder}/{last}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    df.select("file", "value").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def write_files(df: DataFrame, path: str, suffix: str) -> None:
     """One file for each row of ``df``, with the text ``value``, a line break and the name ``name`` +
-    ``suffix``, in a folder of its own. Names are unique, and plain letters, digits and ``_``."""
+    ``suffix``; paths are in the order of the names. Names are unique, and plain letters, digits and ``_``."""
+    spark = df.sparkSession
+    if is_local(spark, path):
+        # The first letters, so that paths lie in the order of the names.
+        folder = F.left("name", F.lit(4))
+        return _write_each(df.select(
+            F.concat(folder, F.lit("/"), F.col("name"), F.lit(suffix)).alias("file"), "value"), path)
     df.write.partitionBy("name").text(path)
-    _rename(df.sparkSession, path, lambda folder, name: folder.removeprefix("name=") + suffix)
+    _rename(spark, path, lambda folder, name: folder.removeprefix("name=") + suffix)
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "append", kind: str = "") -> None:
@@ -316,6 +360,32 @@ def open_images(spark: SparkSession, paths: list[str]) -> DataFrame:
         "ignoreMissingFiles", True).load(exact).select("path", "content")
 
 
+def open_chosen(chosen: DataFrame, task_files: int = 256) -> DataFrame:
+    """``path`` and ``content`` of the local files of a table with their ``path``, as of :func:`open_images`: each
+    task opens some ``task_files``, and the driver holds none of the paths."""
+    def read(batches):
+        import pyarrow as pa
+
+        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
+        for batch in batches:
+            rows, size = [], 0
+            for path in batch.column(0).to_pylist():
+                try:
+                    with open(_local_path(path), "rb") as f:
+                        rows.append((path, f.read()))
+                except OSError:
+                    continue
+                size += len(rows[-1][1])
+                if size > 1 << 24:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], schema=schema)
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], schema=schema)
+
+    tasks = 1 + chosen.count() // task_files
+    return chosen.select("path").repartition(tasks, "path").mapInArrow(read, "path string, content binary")
+
+
 def append_rows(df: DataFrame, path: str, batch: str) -> bool:
     """Append the rows of a batch to a Parquet table, once: a batch that is there is not written
     again, and one whose job failed is written anew. Tells whether it was written.

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from plugwatch import schemas
 from plugwatch.functions import specs as sp
 from plugwatch.operators import annotations as an
+from plugwatch.plans import jobs
 from plugwatch.session import work_dir
 from plugwatch.sources import adapters as ad
 from plugwatch.sources import files as fi
@@ -318,3 +320,44 @@ def test_work_dir_is_in_the_shared_folder():
     assert work_dir(SharedFolder("hdfs:///x/")).startswith("hdfs:///x/plugwatch-")
     with pytest.raises(ValueError):
         work_dir(SharedFolder())
+
+
+def _no_rename(*_):
+    raise AssertionError("the driver renames no file")
+
+
+def test_images_are_named_and_opened_by_the_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fi, "_rename", _no_rename)
+    monkeypatch.setattr(fi, "open_images", _no_rename)
+    df = spark.range(40).selectExpr("concat('P', id div 4, '_image_', id % 4) AS name", "CAST(id AS string) AS value")
+    root = str(tmp_path / "images")
+    fi.write_files(df, root, ".jpg")
+    seen = tmp_path / "seen"
+
+    def make():
+        def detect(content):
+            with open(seen, "ab") as f:
+                f.write(content)
+            return [("size", len(content) / 10)]
+        return detect
+
+    told = jobs.predict_images(spark, root, str(tmp_path / "out"), make, max_images=2, batch_files=3)
+    assert sorted(r.product_id for r in told.collect()) == sorted(f"P{i // 2}" for i in range(20))
+    # No others are opened, and these once.
+    assert sorted(map(int, seen.read_text().split())) == [i for i in range(40) if i % 4 < 2]
+
+
+def test_a_file_that_has_gone_is_left_out(spark, tmp_path):
+    (tmp_path / "a b%20.jpg").write_bytes(b"x")
+    paths = [f"file:{tmp_path}/a b%20.jpg", f"file:{tmp_path}/gone.jpg"]
+    got = fi.open_chosen(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert [(r.path, bytes(r.content)) for r in got] == [(paths[0], b"x")]
+
+
+def test_images_in_another_store_come_by_spark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fi, "is_local", lambda *_: False)
+    for i in range(9):
+        (tmp_path / f"P{i}_image_0.jpg").write_bytes(b"x")
+    told = jobs.predict_images(spark, str(tmp_path), str(tmp_path / "out"), lambda: lambda c: [("a", 1.0)],
+                               batch_files=2)
+    assert sorted(r.product_id for r in told.collect()) == [f"P{i}" for i in range(9)]
