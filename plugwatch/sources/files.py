@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from plugwatch.operators.attribution import (
     group_from_path, id_or_legacy, marketplace_from_path,
 )
 from plugwatch.operators.images import parse_predictions
+from plugwatch.session import stored
 from plugwatch.sources.tolerant import split_parts
 
 CORRUPT = "_corrupt_record"
@@ -73,13 +75,16 @@ def _json_files(spark: SparkSession, root: str, kind: str, schema: str, multi_li
     broken = F.col(CORRUPT)
     # Spark refuses to read the column of broken records alone, so another one is looked at.
     some = F.when(broken.isNotNull() | F.col(f"`{names[0]}`").isNotNull(), broken)
-    rows = reader.json(root).withColumn(FILE, F.col("_metadata.file_path")).withColumn(
-        "_part", F.explode_outer(split_parts(some, names)))
-    part = F.col("_part")
+    rows = reader.json(root).withColumns(
+        {FILE: F.col("_metadata.file_path"), "_parts": split_parts(some, names)})
+    # The text of a whole file is not repeated for each of its records.
+    rows = rows.withColumns({
+        "_whole": broken.isNull(), CORRUPT: F.when(F.size("_parts") > 0, None).otherwise(broken),
+    }).withColumn("_part", F.explode_outer("_parts"))
+    part, whole = F.col("_part"), F.col("_whole")
     again = F.from_json(part["record"], T.StructType(
         [*plain.fields, T.StructField(CORRUPT, T.StringType())]), options)
     rows = rows.withColumn("_again", F.when(part["record"].isNotNull() & part["reason"].isNull(), again))
-    whole = broken.isNull()
     read = whole | (F.col("_again").isNotNull() & F.col(f"_again.{CORRUPT}").isNull())
     told = F.coalesce(part["reason"], F.when(part.isNull(), "empty").otherwise("broken"))
     rows = rows.select(
@@ -238,13 +243,15 @@ def _write_each(df: DataFrame, path: str) -> None:
 
 def write_files(df: DataFrame, path: str, suffix: str) -> None:
     """One file for each row of ``df``, with the text ``value``, a line break and the name ``name`` +
-    ``suffix``; paths are in the order of the names. Names are unique, and plain letters, digits and ``_``."""
+    ``suffix``; paths are in the order of the names. Rows of one name are lines of one file. Names are plain
+    letters, digits and ``_``."""
     spark = df.sparkSession
     if is_local(spark, path):
-        # The first letters, so that paths lie in the order of the names.
-        folder = F.left("name", F.lit(4))
-        return _write_each(df.select(
-            F.concat(folder, F.lit("/"), F.col("name"), F.lit(suffix)).alias("file"), "value"), path)
+        name = F.coalesce("name", F.lit("__HIVE_DEFAULT_PARTITION__")).alias("name")
+        lines = df.groupBy(name).agg(F.array_join(F.collect_list(F.coalesce("value", F.lit(""))), "\n").alias("value"))
+        # In folders by the first letters, so that paths lie in the order of the names.
+        return _write_each(lines.select(
+            F.concat(F.left("name", F.lit(4)), F.lit("/"), F.col("name"), F.lit(suffix)).alias("file"), "value"), path)
     df.write.partitionBy("name").text(path)
     _rename(spark, path, lambda folder, name: folder.removeprefix("name=") + suffix)
 
@@ -260,18 +267,41 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append", kind: str
         _renamed(df.sparkSession, path, kind)
 
 
+# What Spark writes as % and two digits in the name of a folder.
+_ESCAPED = "([\\x01-\\x1F\"#%'*/:=?\\\\\\x7F{\\[\\]^])"
+
+
+def _folder_name(name: str) -> Column:
+    """The folder that Spark's writer gives a value of the column ``name``."""
+    value = F.coalesce(F.col(name), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    letters = F.transform(F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0)), lambda c: F.when(
+        c.rlike(_ESCAPED), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c))
+    return F.concat(F.lit(f"{name}="), F.when(value.rlike(_ESCAPED), F.array_join(letters, "")).otherwise(value))
+
+
 def write_arrays(records: DataFrame, path: str, kind: str, file_rows: int = 10_000) -> None:
     """Raw layout with JSON arrays: rows of ``record`` (the JSON text of one record) and the folder
     columns, dealt by the hash of the record to files of some ``file_rows`` each."""
-    folders = ["date", "productgroup", "marketplace"]
-    files = 1 + records.count() // file_rows
+    spark, folders = records.sparkSession, ["date", "productgroup", "marketplace"]
+    # An empty value has the folder of a null one.
+    records = records.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")) for c in folders})
+    # Written, so that Spark measures how small it is.
+    sizes = stored(records.groupBy(*folders).agg(
+        (1 + F.floor(F.count(F.lit(1)) / file_rows)).alias("_files")))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in folders]
+    dealt = records.alias("r").join(sizes.alias("s"), same).select(
+        *[f"r.{c}" for c in folders], "record", F.pmod(F.xxhash64("record"), F.col("_files")).alias("_no"))
     # Of a size that is a parameter, so the array of one file fits a task.
-    arrays = records.groupBy(*folders, F.pmod(F.xxhash64("record"), F.lit(files))).agg(
+    arrays = dealt.groupBy(*folders, "_no").agg(
         F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("record")), ",\n"),
                  F.lit("\n]")).alias("value"))
+    if is_local(spark, path):
+        name = F.concat(F.lit(f"{kind}-{uuid.uuid4().hex}-"), F.col("_no").cast("string"), F.lit(".json"))
+        return _write_each(arrays.select(
+            F.concat_ws("/", *map(_folder_name, folders), name).alias("file"), "value"), path)
     arrays.select("value", *folders).write.mode("append").option("maxRecordsPerFile", 1).option(
         "lineSep", "\n").partitionBy(*folders).text(path)
-    _renamed(records.sparkSession, path, kind)
+    _renamed(spark, path, kind)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -326,6 +326,43 @@ def _no_rename(*_):
     raise AssertionError("the driver renames no file")
 
 
+def test_arrays_are_named_where_they_are_written(spark, tmp_path, monkeypatch):
+    """Each folder has files of its own number, under names that the tasks give, and folders are
+    named as Spark's writer names them."""
+    monkeypatch.setattr(fi, "_renamed", _no_rename)
+    odd = ["a", "b/c=d%", None, "", "x y+z", "é[ß]"]
+    records = spark.range(600).selectExpr(
+        "to_json(named_struct('product_id', CAST(id AS string))) AS record", "'2024-01-01' AS date",
+        "'Group A' AS productgroup", "id % 6 AS k").join(
+        spark.createDataFrame(list(enumerate(odd)), "k long, marketplace string"), "k").drop("k")
+    root = tmp_path / "raw"
+    fi.write_arrays(records, str(root), "products", 50)
+    fi.write_arrays(records.limit(0), str(root), "products", 50)
+    found = [p for p in root.rglob("*") if p.is_file()]
+    assert len(found) <= 1 + 600 // 50 + 5 and all(p.name.startswith("products") for p in found)
+    assert {p.suffix for p in found} == {".json"}
+    plain = str(tmp_path / "spark")
+    records.write.partitionBy("date", "productgroup", "marketplace").text(plain)
+    folders = lambda top: {str(p.relative_to(top)) for p in Path(top).rglob("*") if p.is_dir()}
+    assert folders(root) == folders(plain)
+    got = fi.read_raw_products(spark, str(root)).select("product_id").collect()
+    assert sorted(int(r[0]) for r in got) == list(range(600))
+
+
+def test_text_of_a_broken_file_is_not_repeated(spark, tmp_path):
+    """Of records cut out of a broken file none carries the text of the whole file."""
+    (tmp_path / "products.json").write_text(
+        "[" + ", ".join(['{"product_id": "%d", "title": "%s"}' % (i, "t" * 900) for i in range(30)])
+        + ', {"product_id": "31"')
+    rows = fi.read_raw_products(spark, str(tmp_path))
+    good, bad = fi.split_broken(rows)
+    assert good.count() == 30 and [r[fi.CORRUPT] for r in bad.collect()] == ['{"product_id": "31"']
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate explode" in line)
+    before = plan[plan.index(generate):].splitlines()[1]
+    assert "Project" in before and "(size(" in before
+
+
 def test_images_are_named_and_opened_by_the_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(fi, "_rename", _no_rename)
     monkeypatch.setattr(fi, "open_images", _no_rename)
@@ -361,3 +398,13 @@ def test_images_in_another_store_come_by_spark(spark, tmp_path, monkeypatch):
     told = jobs.predict_images(spark, str(tmp_path), str(tmp_path / "out"), lambda: lambda c: [("a", 1.0)],
                                batch_files=2)
     assert sorted(r.product_id for r in told.collect()) == [f"P{i}" for i in range(9)]
+
+
+def test_rows_of_one_name_are_lines_of_one_file(spark, tmp_path):
+    df = spark.createDataFrame([("P1_image_0", "a"), ("P1_image_0", "a"), ("P2_image_0", None), (None, "c")],
+                               "name string, value string").repartition(3)
+    fi.write_files(df, str(tmp_path / "images"), ".jpg")
+    paths = fi.list_images(spark, str(tmp_path / "images"))
+    got = fi.open_chosen(paths).collect()
+    assert {r.path.rpartition("/")[2]: bytes(r.content) for r in got} == {
+        "P1_image_0.jpg": b"a\na\n", "P2_image_0.jpg": b"\n"}
