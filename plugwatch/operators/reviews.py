@@ -168,6 +168,8 @@ def _product(vector: Column, direction: Sequence[float]) -> Column:
 # Keyword vectors, and vectors of texts, that are compared by one matrix product, and the largest cosines
 # that a task holds before it passes them on.
 KEYWORD_BLOCK, VECTOR_BLOCK, HELD = 4096, 2048, 1 << 20
+# Keyword blocks up to so many, and so many bytes in all, go to every task; more are dealt out in pairs.
+FEW_BLOCKS, FEW_BYTES = 64, 8 << 20
 
 
 def _mean_direction(keywords: DataFrame) -> list[float | None]:
@@ -184,6 +186,17 @@ def _mean_direction(keywords: DataFrame) -> list[float | None]:
 _PACK_DDL = "rows binary, data binary, dims int"
 
 
+def _paired(packs: DataFrame, some: DataFrame) -> DataFrame:
+    """Each block of rows with each block of keywords. Few keywords are joined by the number of their
+    block, so the rows are read once and not shuffled."""
+    n, held = some.agg(F.count("*"), F.sum(F.octet_length("data").cast("long"))).first()
+    words = some.select("block", F.col("data").alias("words"))
+    if n > FEW_BLOCKS or held > FEW_BYTES:
+        return packs.crossJoin(words)
+    blocks = [F.lit(r["block"]) for r in some.select("block").collect()]
+    return packs.withColumn("block", F.explode(F.array(*blocks))).join(F.broadcast(words), "block")
+
+
 def _packed(block: int):
     """Unit vectors of (vector) or (vector, row) as matrices of at most ``block`` rows."""
     def run(batches):
@@ -256,7 +269,8 @@ def with_similarities(df: DataFrame, keywords: DataFrame, vector_col: str = "emb
         F.col(f"`{keyword_col}`").cast("array<double>").alias("vector"), weight.alias("weight"),
     ).where("vector IS NOT NULL"))
     mean = _mean_direction(words)
-    some = stored(words.select("vector").distinct().mapInArrow(_packed(block), _PACK_DDL))
+    some = stored(words.select("vector").distinct().mapInArrow(_packed(block), _PACK_DDL).withColumn(
+        "block", F.monotonically_increasing_id()))
     vector, none = F.col(f"`{vector_col}`"), F.lit(None).cast("double")
     rows = stored(df.withColumns({
         "mean_similarity": none if not mean or None in mean else _product(vector, mean),
@@ -265,7 +279,7 @@ def with_similarities(df: DataFrame, keywords: DataFrame, vector_col: str = "emb
         return rows.drop("_row").withColumn("max_similarity", none).select(_order(df))
     packs = stored(rows.where(vector.isNotNull()).select(vector.alias("vector"), "_row").mapInArrow(
         _packed(VECTOR_BLOCK), _PACK_DDL))
-    largest = spread(packs).crossJoin(some.select(F.col("data").alias("words"))).select(
+    largest = _paired(spread(packs), some).select(
         "rows", "data", "words", "dims").mapInArrow(_largest, "_row long, _largest double").groupBy(
         "_row").agg(F.max("_largest").alias("_largest"))
     return join_unique(rows, largest, ["_row"]).withColumn(

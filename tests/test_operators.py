@@ -202,6 +202,21 @@ def test_vectors_of_distinct_texts(spark, tmp_path):
     assert rv.with_vectors(df.limit(0), make).count() == 0
 
 
+def test_few_and_many_keyword_blocks_are_paired_alike(spark, monkeypatch):
+    """Few blocks are joined by number, without a nested loop; more are crossed."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(20)], "id int, v array<double>")
+    words = spark.createDataFrame([(rng.normal(size=4).tolist(),) for _ in range(15)], "k array<double>")
+    few = rv.with_similarities(df, words, "v", "k", block=2)
+    assert "NestedLoop" not in few._jdf.queryExecution().executedPlan().toString()
+    few = few.orderBy("id").collect()
+    for name in ("FEW_BLOCKS", "FEW_BYTES"):
+        with monkeypatch.context() as m:
+            m.setattr(rv, name, 0)
+            many = rv.with_similarities(df, words, "v", "k", block=2).orderBy("id").collect()
+        assert [r.max_similarity for r in many] == pytest.approx([r.max_similarity for r in few])
+
+
 @pytest.mark.parametrize("block", [1, 7, 5000])
 def test_similarities_in_blocks(spark, block):
     rng = np.random.default_rng(3)
