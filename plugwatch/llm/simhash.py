@@ -117,7 +117,9 @@ def hot_buckets(nodes: DataFrame, hot: int = HOT) -> DataFrame:
 def candidates(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     """The pairs of the buckets, before their distance is verified: (a, b, slot, part).
 
-    ``part`` numbers the choice of blocks; it is -1 in a bucket that is not split."""
+    ``part`` numbers the choice of blocks; it is -1 in a bucket that is not split. Spark takes the
+    variants for no larger than the fingerprints they come from, some 34 times too small, so they
+    are kept from being broadcast."""
     split = hot_buckets(nodes, hot).withColumn("split", F.lit(True))
     other = f"(CASE WHEN slot < 64 THEN {HIGH_HALF} ELSE {LOW_HALF} END)"
     parts = ", ".join(f"struct({i} as part, {other} & {mask}L as rest)" for i, mask in enumerate(_choices()))
@@ -126,7 +128,7 @@ def candidates(nodes: DataFrame, hot: int = HOT) -> DataFrame:
         variants(nodes, side).join(split, ["slot", "key"], "left")
         .selectExpr("fp", "slot", "key", dealt).withColumnRenamed("fp", "ab"[side])
         for side in (0, 1))
-    return a.join(b, ["slot", "key", "part", "rest"]).select("a", "b", "slot", "part")
+    return a.join(b.hint("merge"), ["slot", "key", "part", "rest"]).select("a", "b", "slot", "part")
 
 
 def links(nodes: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame:
@@ -204,8 +206,9 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     fps, named = _rooted(df, id_col, text_col, shingle, distance)
     ends = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    # ``fps`` has a row per document and few bytes on disk for equal texts, so it isn't broadcast.
     return (
-        fps.join(named.select("fp", "root").join(ends, "root").select("fp", "component_id"), "fp")
+        fps.hint("merge").join(named.select("fp", "root").join(ends, "root").select("fp", "component_id"), "fp")
         .select(F.col("id").alias(id_col), hex_text(F.col("fp")).alias("fingerprint"), "component_id")
     )
 

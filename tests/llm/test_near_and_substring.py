@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from llm_brute import plain_simhash
 from plugwatch.llm import simhash as sh
 from plugwatch.llm import substring as sb
+from plugwatch.session import stored
 
 
 def signed(x):
@@ -138,6 +140,27 @@ def test_texts_are_fingerprinted_once(read):
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_variants_are_not_broadcast(spark):
+    """Spark takes the exploded variants for no larger than the fingerprints."""
+    nodes = stored(spark.range(3000).select(F.xxhash64("id").alias("fp")))
+    plan = final_plan(sh.candidates(nodes))
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[slot#\d+, key#\d+L, part#", plan)
+    assert not re.search(r"BroadcastHashJoin \[slot#\d+, key#\d+L, part#", plan)
+
+
+def test_rows_of_documents_are_not_broadcast(table):
+    """Many documents with one text take few bytes on disk."""
+    rows = [(i, f"text number {i % 7} of some") for i in range(3000)]
+    plan = final_plan(sh.group(table(rows)))
+    assert not re.search(r"BroadcastHashJoin \[fp#\d+L\], \[fp#\d+L\], Inner", plan)
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[fp#\d+L\], \[fp#\d+L\], Inner", plan)
+
+
 def test_links_beyond_two_segments_are_refused(spark):
     with pytest.raises(ValueError):
         sh.links(spark.range(0).select(F.col("id").alias("fp")), 4)
