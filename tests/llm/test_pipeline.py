@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from llm_brute import brute_matches, lowered, plain_simhash, poisson, point
-from plugwatch.llm import mixing, queries, toxicity
+from plugwatch.llm import mixing, queries, simhash, toxicity
 
 
 def after(rows, spark, sf_dir, docs):
@@ -108,6 +108,19 @@ def test_toxicity_keeps_clashing_columns(spark, sf_dir, odd):
     assert {tuple(r)[5:] for r in out.collect()} == {(0.5, 7, "z", "r", "t")}
 
 
+def test_near_copies_are_found_without_broadcast_variants(spark, sf_dir, monkeypatch):
+    """Exploded variants, which Spark takes for small, don't pass through the driver."""
+    seen, components = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda pairs: seen.append(pairs) or components(pairs))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert corpus_pipeline.drop_near_copies(spark, docs, sf_dir).count() > 0
+    (pairs,) = seen
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = re.findall(r"(\w+Join)(?:\(skew=true\))? \[slot#\d+, key#\d+L, part#", plan)
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
 def test_registered(spark):
     names = list(entry.queries())
     for n in range(1, 14):
